@@ -339,15 +339,13 @@ def staging_replaced(spark, d):
     return by_file(staging.read_staging(spark, path))
 
 
-def write_extracts(spark, d, ordered: bool = True) -> str:
-    """The raw view as CSV files in folders; half the folders with another column order."""
+def write_extracts(spark, d) -> str:
+    """The raw view as CSV files; half the rows in files of another column order."""
     path = scratch_path(spark, "extracts")
-    rows = extract(spark, d).withColumnRenamed("SOURCE FILE", "folder")
-    even = F.col("STAT_VALUE").rlike("[02468]$")
-    order = [c for c in rows.columns if c != "folder"]
-    rows.filter(even).select(*order, "folder").write.partitionBy("folder").csv(f"{path}", header=True, mode="append")
-    flipped = order[::-1] if ordered else order
-    rows.filter(~even).select(*flipped, "folder").write.partitionBy("folder").csv(f"{path}", header=True, mode="append")
+    rows = extract(spark, d).drop("SOURCE FILE")
+    even = F.coalesce(F.col("STAT_VALUE").rlike("[02468]$"), F.lit(False))
+    rows.filter(even).write.csv(path, header=True, mode="append")
+    rows.filter(~even).select(*rows.columns[::-1]).write.csv(path, header=True, mode="append")
     return path
 
 
@@ -373,7 +371,7 @@ def bulk(spark, d):
     """Batches of files into staging; a second run finds nothing left to do."""
     source, base = write_extracts(spark, d), scratch_path(spark, "bulk")
     for _ in range(2):
-        bulk_load.run_bulk_load(spark, source, f"{base}/staging", f"{base}/manifest", now=NOW)
+        bulk_load.run_bulk_load(spark, source, f"{base}/staging", f"{base}/manifest", batch_size=1, now=NOW)
     return totals(staging.read_staging(spark, f"{base}/staging", manifest.read_manifest(spark, f"{base}/manifest")))
 
 

@@ -19,11 +19,12 @@ from catalog.registry import (
     transfers,
 )
 from switchflow.functions.labels import LAG_LABELS
-from switchflow.functions.stats import average_rank
+from switchflow.functions.stats import average_rank_large
 from switchflow.operators import bands, describe, joins, models, reshape, study
 from switchflow.operators import offers as offer_ops
 from switchflow.operators import periods
 from switchflow.plans.offer_study import study_dataset
+from switchflow.session import materialize
 
 DOUBLES = frozenset(METRICS) - {"n_offers", "cprg_retailer_size", "is_above_market"}
 
@@ -45,6 +46,11 @@ def data(spark, d):
     return study_dataset(transfers(spark, d), prepared(spark, d), START, END, YEAR)
 
 
+def saved(spark, d):
+    """The master frame, written once: exact medians read their input twice."""
+    return materialize(data(spark, d), "study")
+
+
 # --- offers ------------------------------------------------------------------------
 
 _OFFER_COLS = "offer_id, retailer, identifier_date, start_date, total_bill_pre_transaction"
@@ -105,7 +111,7 @@ SELECT retailer, total_late_payment_fee, fee_rank, count(*) AS n FROM (SELECT *,
 def price_rank(spark, d):
     """Tie-averaged ranks where ties are the rule."""
     rows = prepared(spark, d).select("retailer", "total_late_payment_fee")
-    ranked = average_rank(rows, ["retailer"], "total_late_payment_fee", "fee_rank")
+    ranked = average_rank_large(rows, ["retailer"], "total_late_payment_fee", "fee_rank")
     return ranked.groupBy(*ranked.columns).agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -202,7 +208,7 @@ _SEG_OUT = f"price_group, round(avg_value, 6) AS avg_value, round(median_value,
 
 @query("segment_by_band", f"{STUDY} SELECT {_SEG_OUT} FROM ({_segment('price_vs_market', 'transfer_rate')})")
 def segment_by_band(spark, d):
-    return bands.segment_by_band(data(spark, d), "price_vs_market")
+    return bands.segment_by_band(saved(spark, d), "price_vs_market")
 
 
 @query(
@@ -210,7 +216,7 @@ def segment_by_band(spark, d):
     f"{STUDY} SELECT {_SEG_OUT}, '4 Weeks Ago (Lag 4w)' AS lag FROM ({_segment('price_vs_market_lag4w', 'total_transfers_out')})",
 )
 def segment_by_band_absolute(spark, d):
-    return bands.segment_by_band(data(spark, d), "price_vs_market_lag4w", "total_transfers_out", LAG_LABELS[4])
+    return bands.segment_by_band(saved(spark, d), "price_vs_market_lag4w", "total_transfers_out", LAG_LABELS[4])
 
 
 def _lag_col(n: int) -> str:
@@ -224,13 +230,13 @@ _SEGMENTS = STUDY + ", seg AS (" + " UNION ALL ".join(
 
 @query("segment_all_lags", f"{_SEGMENTS} SELECT lag_weeks, lag, {_SEG_OUT} FROM seg")
 def segment_all_lags(spark, d):
-    return bands.segment_all_lags(data(spark, d))
+    return bands.segment_all_lags(saved(spark, d))
 
 
 @query("segment_stacked", f"{_SEGMENTS} SELECT lag, {_SEG_OUT} FROM seg WHERE lag_weeks <= 2")
 def segment_stacked(spark, d):
     """Single-lag summaries put below each other by column name."""
-    frame = data(spark, d)
+    frame = saved(spark, d)
     return bands.segment_union([bands.segment_by_band(frame, _lag_col(n), lag_label=LAG_LABELS[n]) for n in (0, 2)])
 
 
@@ -248,7 +254,7 @@ _DIFF = (
  round(difference_from_baseline, 6) AS difference_from_baseline, round(pct_difference, 6) AS pct_difference FROM diff""",
 )
 def vs_baseline(spark, d):
-    out = bands.vs_baseline(bands.segment_all_lags(data(spark, d)))
+    out = bands.vs_baseline(bands.segment_all_lags(saved(spark, d)))
     return out.select("lag", "price_group", "avg_value", "avg_baseline", "difference_from_baseline", "pct_difference")
 
 
@@ -258,7 +264,7 @@ def vs_baseline(spark, d):
 FROM diff WHERE price_group = 'Much higher (>10%)' ORDER BY 2 DESC""",
 )
 def strongest_lag(spark, d):
-    return bands.strongest_lag(bands.vs_baseline(bands.segment_all_lags(data(spark, d))))
+    return bands.strongest_lag(bands.vs_baseline(bands.segment_all_lags(saved(spark, d))))
 
 
 def _threshold(value: str) -> str:
@@ -293,7 +299,7 @@ def threshold_by_entity(spark, d):
 FROM data WHERE avg_contract_term IS NOT NULL AND transfer_rate IS NOT NULL GROUP BY 1""",
 )
 def contract_effect(spark, d):
-    return bands.class_effect(data(spark, d), "contract")
+    return bands.class_effect(saved(spark, d), "contract")
 
 
 def _class_sql(name: str, col: str, low: str, mid: str, high: str) -> str:
@@ -328,7 +334,7 @@ _MODEL = (
  count(*) AS n_weeks FROM model GROUP BY 1""",
 )
 def contract_investigation(spark, d):
-    return bands.contract_investigation(models.model_frame(data(spark, d)))
+    return bands.contract_investigation(fitted_frame(spark, d))
 
 
 @query(
@@ -362,7 +368,7 @@ _DESCRIBED = ["transfer_rate", "price_vs_market", "avg_contract_term", "n_offers
     ),
 )
 def describe_columns(spark, d):
-    return describe.describe_columns(data(spark, d), _DESCRIBED)
+    return describe.describe_columns(saved(spark, d), _DESCRIBED)
 
 
 # --- models -----------------------------------------------------------------------------
@@ -380,7 +386,7 @@ def model_frame(spark, d):
 
 def fitted_frame(spark, d):
     """The model frame, written once: fits read it many times."""
-    return models.materialize(models.model_frame(data(spark, d)))
+    return materialize(models.model_frame(data(spark, d)), "model")
 
 
 @query(

@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from catalog.views import FX_OFFERS, FX_RAW, FX_TRANSFERS, spark_view
+from switchflow.functions.dates import year_month
 from switchflow.sources.frames import with_calendar
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,9 +35,7 @@ def query(name: str, sql: str | None = None):
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Doubles to six places, so summation order cannot show in a comparison."""
-    return df.select(
-        *[F.round(F.col(f"`{n}`"), digits).alias(n) if t == "double" else F.col(f"`{n}`") for n, t in df.dtypes]
-    )
+    return df.selectExpr(*[f"round(`{n}`, {digits}) AS `{n}`" if t == "double" else f"`{n}`" for n, t in df.dtypes])
 
 
 def transfers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,7 +44,7 @@ def transfers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return transfers(spark, sf_dir).withColumn("YearMonth", F.date_format("stat_date", "yyyy-MM"))
+    return transfers(spark, sf_dir).withColumn("YearMonth", year_month("stat_date"))
 
 
 def offers(spark: SparkSession, sf_dir: str) -> DataFrame:

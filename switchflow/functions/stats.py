@@ -64,6 +64,9 @@ def exact_quantiles(
     keys = list(keys)
     names = sorted(probs, key=lambda n: probs[n])
     margin = 4.0 / accuracy
+    # Interpolation reaches one rank beyond p * n, except at the median. The margin
+    # covers that rank once a group has 2 / margin rows; smaller groups count as inside.
+    whole = 0 if all(p == 0.5 for p in probs.values()) else int(2 / margin)
     edges = []
     for name in names:
         edges += [max(0.0, probs[name] - margin), min(1.0, probs[name] + margin)]
@@ -77,7 +80,7 @@ def exact_quantiles(
         one = base.agg(F.struct(*sketch).alias("s"))
         placed = base.withColumn("_s", one.scalar()).select("_v", "_s._n", "_s._q")
 
-    inside = F.lit(False)
+    inside = F.col("_n") <= whole
     for i in range(len(names)):
         inside = inside | F.col("_v").between(F.col("_q")[2 * i], F.col("_q")[2 * i + 1])
     below = F.array_max(F.filter("_q", lambda q: q < F.col("_v")))
@@ -124,9 +127,20 @@ def exact_median(df: DataFrame, keys: Sequence[str], value: str, alias: str) ->
     return exact_quantiles(df, keys, value, {alias: 0.5})
 
 
-def average_rank(df: DataFrame, keys: Sequence[str], value: str, alias: str, buckets: int = 64) -> DataFrame:
+def average_rank(df: DataFrame, keys: Sequence[str], value: str, alias: str) -> DataFrame:
     """Rank of `value` inside each group, ties sharing their mean rank; null stays null.
 
+    One window: for groups that are bounded by construction (a row per entity). For
+    groups that can run hot use `average_rank_large`.
+    """
+    order = W.partitionBy(*keys).orderBy(F.col(value).asc_nulls_last())
+    ties = F.count(F.lit(1)).over(W.partitionBy(*keys, value))
+    return df.withColumn(alias, F.when(F.col(value).isNotNull(), F.rank().over(order) + (ties - 1) / 2.0))
+
+
+def average_rank_large(df: DataFrame, keys: Sequence[str], value: str, alias: str, buckets: int = 64) -> DataFrame:
+    """`average_rank` that never brings a whole group together.
+
     Ranks are found on distinct values with counts, so ties collapse on the map
     side. Each group's values are cut at sketched bounds into `buckets` ranges:
     bucket totals (at most `buckets` + 1 rows a group) give the offset, and the

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from switchflow.operators.topk import positions
-from switchflow.session import ensure_checkpoint_dir
+from switchflow.session import materialize
 
 TARGET = "total_transfers_out"
 
@@ -98,16 +98,6 @@ def model_frame(df: DataFrame) -> DataFrame:
     return rows.select("date", "retailer", "customer_count", *doubles, F.log("customer_count").alias("log_customer_size"))
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write the frame to the shared checkpoint folder and cut its lineage.
-
-    Iterative fits read their input many times; a written copy survives the loss of
-    executors and is not planned again.
-    """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
-
-
 def expand_terms(terms: Sequence[str]) -> list[str]:
     """Main effects before products, each once: `a*b` becomes a, b and `a:b`."""
     mains: list[str] = []
@@ -272,7 +262,7 @@ class TreeFit:
 
 
 def _tree_design(df: DataFrame, y: str, features: Sequence[str]) -> DataFrame:
-    return materialize(_design(df, y, features))
+    return materialize(_design(df, y, features), "design")
 
 
 def forest(
@@ -331,7 +321,7 @@ def permutation_importance(fit: TreeFit, df: DataFrame, y: str = TARGET, seed: i
     ).dropna()
     names = [f"_t{i}" for i in range(len(features))]
     spread = flat.withColumn("_h", F.xxhash64("label", *names, F.lit(seed)))
-    rows = materialize(positions(spread, ["_h", "label", *names], "_i").drop("_h"))
+    rows = materialize(positions(spread, ["_h", "label", *names], "_i").drop("_h"), "shuffle")
     n = rows.count()
     if n < 2:
         raise ValueError("at least two rows are needed to shuffle a feature")

@@ -104,5 +104,6 @@ def offer_snapshots(
     if dense:
         grid = dense_grid(offers.select("retailer").distinct(), start, end)
         cells = join_nullsafe(grid, cells, cell, "left").fillna(0, subset=["n_offers"])
+    # A week holds one row per retailer, so this window's groups are even and bounded.
     ranked = average_rank(cells, ["date"], "median_price", "price_competitiveness_rank")
     return ranked.select(*cell, *SNAPSHOT_METRICS)

@@ -81,10 +81,10 @@ def lagged_wide(snapshots: DataFrame, lags: Sequence[int] = LAGS) -> DataFrame:
     wide = shifted.groupBy(*CELL).agg(
         *[F.max(F.when(F.col("_lag") == n, F.col("_m"))).alias(f"_m{n}") for n in (0, *lags)]
     )
-    return wide.select(
+    return wide.selectExpr(
         *CELL,
-        *[F.col("_m0")[c].alias(c) for c in metrics],
-        *[F.col(f"_m{n}")[c].alias(f"{c}_lag{n}w") for n in lags for c in metrics],
+        *[f"_m0.{c} AS {c}" for c in metrics],
+        *[f"_m{n}.{c} AS {c}_lag{n}w" for n in lags for c in metrics],
     )
 
 
@@ -94,7 +94,8 @@ def attach_lags(weekly: DataFrame, snapshots: DataFrame, lags: Sequence[int] = L
 
 
 def analysis_dataset(
-    weekly_rates: DataFrame,
+    weekly: DataFrame,
+    base: DataFrame,
     snapshots: DataFrame,
     lags: Sequence[int] = LAGS,
     min_rows: int = 100,
@@ -107,12 +108,13 @@ def analysis_dataset(
     `faithful_fanout` each of the m rows of a cell appears m ** len(lags) times, and
     the repeats count towards `min_rows`.
 
-    Lags never add rows, so the row-count filter runs before they are joined.
+    Neither the base nor the lags add rows, so the row-count filter runs first.
     """
-    rows = weekly_rates
+    rows = weekly
     if faithful_fanout:
         size = rows.groupBy(*CELL).agg(F.count(F.lit(1)).alias("_n"))
         copies = F.sequence(F.lit(1), F.pow("_n", F.lit(len(lags))).cast("int"))
         rows = left_join_nullsafe(rows, size, list(CELL)).withColumn("_copy", F.explode(copies)).drop("_n", "_copy")
-    kept = min_group_size(rows, ["retailer"], min_rows).filter(F.col("customer_count").isNotNull())
-    return attach_lags(kept, snapshots, lags)
+    kept = min_group_size(rows, ["retailer"], min_rows)
+    rated = transfer_rates(kept, base).filter(F.col("customer_count").isNotNull())
+    return attach_lags(rated, snapshots, lags)

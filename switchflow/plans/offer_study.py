@@ -14,9 +14,9 @@ from switchflow.operators.study import (
     analysis_dataset,
     customer_base,
     daily_transfers,
-    transfer_rates,
     weekly_transfers,
 )
+from switchflow.session import materialize
 
 
 def study_dataset(
@@ -31,11 +31,11 @@ def study_dataset(
 ) -> DataFrame:
     """Master frame from enriched movements and prepared offers."""
     weekly = weekly_transfers(daily_transfers(facts, year))
-    rates = transfer_rates(weekly, customer_base(facts, year))
+    base = customer_base(facts, year)
     # Empty cells carry only nulls into the left joins of the lags, apart from their
     # offer count, so the dense grid is kept.
     snapshots = offer_snapshots(offers, start, end)
-    return analysis_dataset(rates, snapshots, lags, min_rows, faithful_fanout)
+    return analysis_dataset(weekly, base, snapshots, lags, min_rows, faithful_fanout)
 
 
 def study_tables(data: DataFrame) -> dict[str, DataFrame]:
@@ -59,7 +59,7 @@ def study_tables(data: DataFrame) -> dict[str, DataFrame]:
 def study_models(data: DataFrame, trees: int = 500, rounds: int = 100) -> dict[str, DataFrame]:
     """Fit all five models; returns coefficient, importance and leaderboard frames."""
     spark = data.sparkSession
-    frame = models.materialize(models.model_frame(data))
+    frame = materialize(models.model_frame(data), "model")
     linear = models.ols(frame, terms=models.PREDICTORS)
     poly = models.ols(frame, terms=models.POLYNOMIAL)
     inter = models.ols(frame, terms=models.INTERACTIONS)

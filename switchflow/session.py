@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULTS = {
     # Wall-clock data: no zone shifting between reader, engine and oracle.
@@ -44,7 +44,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Point `DataFrame.checkpoint` at the shared folder if nothing did yet."""
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(scratch_path(spark, "checkpoints"))
+def materialize(df: DataFrame, label: str = "frame") -> DataFrame:
+    """Write the frame to the shared folder and go on from the written copy.
+
+    For frames that are read several times (iterative fits, exact order statistics):
+    the lineage is cut, the copy survives the loss of executors, and as Parquet it
+    still prunes columns and carries sizes for the join planner.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
