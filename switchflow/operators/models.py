@@ -74,6 +74,9 @@ READINGS = {
     ("avg_late_fee", 1): "Higher late fees → More transfers",
 }
 
+# Memory for the split statistics of one pass: more nodes per pass, fewer passes.
+NODE_MEMORY_MB = 1024
+
 # Smallest share of a predictor's variance that the earlier ones may leave unexplained.
 ALIAS_TOLERANCE = 1e-7
 
@@ -272,7 +275,7 @@ def forest(
     """Random forest. Depth is bounded (the node tables of one level live on the driver)."""
     rf = RandomForestRegressor(
         numTrees=trees, featureSubsetStrategy=str(per_split), maxDepth=depth, minInstancesPerNode=5, seed=seed,
-        cacheNodeIds=True, checkpointInterval=10,
+        maxMemoryInMB=NODE_MEMORY_MB,
     )
     return TreeFit(rf.fit(_tree_design(df, y, features)), list(features))
 
@@ -283,8 +286,8 @@ def boosted(
 ) -> TreeFit:
     """Gradient-boosted trees on squared error."""
     gbt = GBTRegressor(
-        maxIter=rounds, maxDepth=depth, stepSize=rate, seed=seed, lossType="squared", cacheNodeIds=True,
-        checkpointInterval=10,
+        maxIter=rounds, maxDepth=depth, stepSize=rate, seed=seed, lossType="squared",
+        maxMemoryInMB=NODE_MEMORY_MB,
     )
     return TreeFit(gbt.fit(_tree_design(df, y, features)), list(features))
 

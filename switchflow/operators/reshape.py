@@ -95,17 +95,22 @@ def flow_matrix(
             raise ValueError(f"more than {limit} matrix columns; use flow_matrix_long")
         columns = sorted(r[0] for r in found)
     columns = list(columns)
-    wide = fine.groupBy(source).pivot(target, columns).agg(F.sum(value)).fillna(0, subset=columns)
-    wide = wide.select(source, *columns)
+    pivoted = fine.groupBy(source).pivot(target, columns).agg(F.sum(value))
+    wide = pivoted.select(source, *[F.coalesce(_named(c), F.lit(0)).alias(c) for c in columns])
     if not totals:
         return wide
-    row_sum: Column = reduce(lambda a, b: a + b, [F.col(f"`{c}`") for c in columns], F.lit(0).cast("long"))
+    row_sum: Column = reduce(lambda a, b: a + b, [_named(c) for c in columns], F.lit(0).cast("long"))
     wide = wide.withColumn(TOTAL_OUT, row_sum)
-    sums = wide.agg(*[F.coalesce(F.sum(F.col(f"`{c}`")), F.lit(0)).alias(c) for c in [*columns, TOTAL_OUT]])
-    bottom = sums.select(F.lit(TOTAL_IN).alias(source), *[F.col(f"`{c}`") for c in [*columns, TOTAL_OUT]])
+    sums = wide.agg(*[F.coalesce(F.sum(_named(c)), F.lit(0)).alias(c) for c in [*columns, TOTAL_OUT]])
+    bottom = sums.select(F.lit(TOTAL_IN).alias(source), *[_named(c) for c in [*columns, TOTAL_OUT]])
     return wide.unionByName(bottom)
 
 
+def _named(column: str) -> Column:
+    """A column whose name may hold dots, spaces or backticks."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
 def with_intensity(matrix: DataFrame, value: str, is_total: str = "is_total", alias: str = "intensity") -> DataFrame:
     """Cell shade: value over the greatest cell, clamped to [0, 1]; totals stay null."""
     greatest = matrix.filter(~F.col(is_total)).agg(F.max(value)).scalar()
