@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from catalog.registry import EDGES, T, labelled, query, transfers
 from switchflow.operators import flows, joins, periods, reshape, topk, trends
+from switchflow.session import materialize
 
 S, FROM, TO = "FRMP_Retailer_size", "FRMP_Retailer_name", "NEWFRMP_Retailer_name"
 
@@ -230,6 +231,11 @@ def gaining_totals(spark, d):
 
 # --- flows ----------------------------------------------------------------------
 
+def held_edges(spark, d):
+    """The edge list, written once: node and link tables use it many times."""
+    return materialize(flows.flows(transfers(spark, d)), "edges")
+
+
 @query("flow_edges", f"{EDGES} SELECT * FROM edges")
 def flow_edges(spark, d):
     return flows.flows(transfers(spark, d))
@@ -276,12 +282,12 @@ nodes AS (SELECT CAST(row_number() OVER (ORDER BY side, total DESC, label, size
 
 @query("flow_nodes_from", f"{_nodes_sql('from')} SELECT * FROM nodes")
 def flow_nodes_from(spark, d):
-    return flows.flow_nodes(flows.flows(transfers(spark, d)), "from")
+    return flows.flow_nodes(held_edges(spark, d), "from")
 
 
 @query("flow_nodes_to", f"{_nodes_sql('to')} SELECT * FROM nodes")
 def flow_nodes_to(spark, d):
-    return flows.flow_nodes(flows.flows(transfers(spark, d)), "to")
+    return flows.flow_nodes(held_edges(spark, d), "to")
 
 
 def _links_sql(side: str) -> str:
@@ -292,12 +298,12 @@ FROM sub LEFT JOIN nodes a ON a.side = 'from' AND a.label = {FROM} LEFT JOIN nod
 
 @query("flow_links_from", _links_sql("from"))
 def flow_links_from(spark, d):
-    return flows.flow_links(flows.flows(transfers(spark, d)), "from")
+    return flows.flow_links(held_edges(spark, d), "from")
 
 
 @query("flow_links_to", _links_sql("to"))
 def flow_links_to(spark, d):
-    return flows.flow_links(flows.flows(transfers(spark, d)), "to")
+    return flows.flow_links(held_edges(spark, d), "to")
 
 
 _CUBE = f"""{EDGES}, c AS (SELECT CASE WHEN grouping({FROM}) = 1 THEN 'Total In' ELSE {FROM} END AS {FROM},
@@ -322,7 +328,7 @@ def flow_matrix_wide(spark, d):
 
     The matrix's own columns depend on the data; the long form checks every cell.
     """
-    wide = reshape.flow_matrix(flows.flows(transfers(spark, d)), FROM, TO, "transfers")
+    wide = reshape.flow_matrix(held_edges(spark, d), FROM, TO, "transfers")
     cells = [c for c in wide.columns if c not in (FROM, reshape.TOTAL_OUT)]
     n_cells = sum((F.when(F.col(f"`{c}`") != 0, 1).otherwise(0) for c in cells), F.lit(0)).cast("long")
     return wide.select(FROM, reshape.TOTAL_OUT, n_cells.alias("n_cells"))

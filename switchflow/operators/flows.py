@@ -31,7 +31,8 @@ def flows(df: DataFrame, at: str = "latest_date") -> DataFrame:
     the report charts; `latest_month` takes that day's whole month.
     """
     moves = transfers_of(df)
-    last = moves.filter(F.col("FinYear") == current_fin_year(df)).agg(F.max("stat_date").alias("d"))
+    # Greatest year first, then its greatest date: one aggregate, run once.
+    last = moves.agg(F.max(F.struct("FinYear", "stat_date"))["stat_date"].alias("d"))
     if at == "latest_date":
         moves = moves.filter(F.col("stat_date") == last.scalar())
     elif at == "latest_month":

@@ -265,7 +265,10 @@ class TreeFit:
 
 
 def _tree_design(df: DataFrame, y: str, features: Sequence[str]) -> DataFrame:
-    return materialize(_design(df, y, features), "design")
+    """Written design matrix, spread over the cluster: every tree level reads it."""
+    design = materialize(_design(df, y, features), "design")
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return design.repartition(slots) if design.rdd.getNumPartitions() < slots else design
 
 
 def forest(

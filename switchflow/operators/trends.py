@@ -33,7 +33,7 @@ def period_columns(grain: str, date: str = "stat_date") -> list[Column]:
     if grain == "day":
         return [F.col(date)]
     if grain == "month":
-        return [year_month(date).alias("YearMonth"), month_start(date).alias(date)]
+        return [month_start(date).alias(date)]
     if grain == "quarter":
         return [F.col("FinYearQuarter")]
     if grain == "finyear":
@@ -51,7 +51,11 @@ def period_names(grain: str, date: str = "stat_date") -> list[str]:
 
 
 def sum_by(df: DataFrame, grain: str, by: Sequence[str], value: str = "stat_value", alias: str = "transfers") -> DataFrame:
-    return df.groupBy(*period_columns(grain), *by).agg(total(value).alias(alias))
+    """Sum per period and category. Month labels are made after the aggregation."""
+    sums = df.groupBy(*period_columns(grain), *by).agg(total(value).alias(alias))
+    if grain != "month":
+        return sums
+    return sums.select(year_month("stat_date").alias("YearMonth"), "stat_date", *by, alias)
 
 
 def trend(
@@ -88,8 +92,10 @@ def trend_all_grains(
     grouping sets over the monthly sums. `grain` and `period` name each row's group.
     """
     facts = transfers_of(df)
-    monthly = facts.groupBy(year_month("stat_date").alias("month"), "FinYearQuarter", "FinYear", category).agg(
-        total(value).alias(alias)
+    monthly = (
+        facts.groupBy(month_start("stat_date").alias("month"), "FinYearQuarter", "FinYear", category)
+        .agg(total(value).alias(alias))
+        .withColumn("month", year_month("month"))
     )
     grains = ["month", "FinYearQuarter", "FinYear"]
     cols = [F.col(c) for c in [*grains, category]]

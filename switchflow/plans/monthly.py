@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +14,7 @@ from switchflow.operators.conform import conform
 from switchflow.operators.joins import enrich
 from switchflow.operators.quality import assert_ids
 from switchflow.schema import EXCLUDED_FINYEARS
+from switchflow.session import materialize
 from switchflow.sources.frames import load_frame, read_view, with_calendar, write_snapshot
 from switchflow.sources.manifest import assert_new, mark_done, read_manifest
 from switchflow.sources.raw import list_inputs, newest_file, read_raw
@@ -66,11 +67,18 @@ def run_month(spark: SparkSession, paths: Paths, source_file: str | None = None,
     return name
 
 
-def report(facts: DataFrame, excluded: Sequence[str] = EXCLUDED_FINYEARS) -> dict[str, DataFrame]:
-    """All result frames of the monthly report, by name. Lazy: nothing runs here."""
+def report(
+    facts: DataFrame, excluded: Sequence[str] = EXCLUDED_FINYEARS, hold: Callable[[DataFrame], DataFrame] = materialize
+) -> dict[str, DataFrame]:
+    """All result frames of the monthly report, by name.
+
+    The edge list and the size movements feed several frames each, so they are
+    computed once and held (written to the shared folder unless `hold` does
+    otherwise). Everything else is lazy.
+    """
     df = periods.report_facts(facts, excluded)
-    edges = flows.flows(df)
-    sizes = flows.size_flows(df)
+    edges = hold(flows.flows(df))
+    sizes = hold(flows.size_flows(df))
     daily = periods.latest_month_rows(df)
     out = {
         "coverage": trends.coverage(df),
