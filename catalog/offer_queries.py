@@ -33,8 +33,13 @@ def prepared(spark, d):
     return offer_ops.prepare_offers(offers(spark, d))
 
 
+def held_offers(spark, d):
+    """Prepared offers, written once: a snapshot reads them for each of its measures."""
+    return materialize(prepared(spark, d), "offers")
+
+
 def snapshots(spark, d):
-    return offer_ops.offer_snapshots(prepared(spark, d), START, END)
+    return offer_ops.offer_snapshots(held_offers(spark, d), START, END)
 
 
 def rates(spark, d):
@@ -43,7 +48,7 @@ def rates(spark, d):
 
 
 def data(spark, d):
-    return study_dataset(transfers(spark, d), prepared(spark, d), START, END, YEAR)
+    return study_dataset(transfers(spark, d), held_offers(spark, d), START, END, YEAR)
 
 
 def saved(spark, d):
@@ -93,7 +98,7 @@ def dense_grid(spark, d):
 
 @query("market_median", f"{OFFERS} SELECT date, round(median(total_bill_pre_transaction), 6) AS vic_median FROM active GROUP BY date")
 def market_median(spark, d):
-    return offer_ops.market_median(joins.active_on(prepared(spark, d), START, END))
+    return offer_ops.market_median(joins.active_on(held_offers(spark, d), START, END))
 
 
 @query("offer_snapshots", sql_rounded(SNAPSHOTS, "snap", ["date", "retailer", *METRICS], DOUBLES))
@@ -177,7 +182,7 @@ _FAN_SQL = (
 
 @query("analysis_fanout", _FAN_SQL)
 def analysis_fanout(spark, d):
-    frame = study_dataset(transfers(spark, d), prepared(spark, d), START, END, YEAR, faithful_fanout=True)
+    frame = study_dataset(transfers(spark, d), held_offers(spark, d), START, END, YEAR, faithful_fanout=True)
     return frame.select("date", "Year", "Month", "retailer", "transfer_rate", "price_vs_market", "price_vs_market_lag8w")
 
 

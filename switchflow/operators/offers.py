@@ -93,6 +93,8 @@ def offer_snapshots(
 
     Offers generate the Mondays they cover once, and all cells come from grouped
     aggregates. `dense` adds the empty cells (`n_offers` = 0) of every retailer.
+    Pass written offers (`session.materialize`): each measure reads them again, which
+    is cheap from a table and repeats the latest-sighting join otherwise.
     """
     cell = ["date", "retailer"]
     active = active_on(offers, start, end)
