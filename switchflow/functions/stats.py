@@ -59,7 +59,8 @@ def exact_quantiles(
        group arrives as a few thousandths of its rows.
     3. A running count over those cells finds the exact ranks.
 
-    Groups without any non-null value do not appear.
+    `df` is read twice: pass a written frame if it is expensive to compute. Groups
+    without any non-null value do not appear.
     """
     keys = list(keys)
     names = sorted(probs, key=lambda n: probs[n])

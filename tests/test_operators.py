@@ -60,6 +60,19 @@ def test_trend_reads_the_facts_once(spark, sf):
     assert plan.count("lineitem.parquet") == 1
 
 
+def test_unused_columns_and_the_other_measure_are_not_read(spark, sf):
+    plan = trends.trend(transfers(spark, sf), "month")._jdf.queryExecution().executedPlan().toString()
+    assert "Union" not in plan
+    for column in ("l_extendedprice", "l_returnflag", "s_name", "c_name"):
+        assert column not in plan
+
+
+def test_latest_month_is_found_in_one_pass(spark, sf):
+    """Year and month are two scalars of one aggregate; Spark merges them."""
+    plan = periods.latest_month_rows(transfers(spark, sf))._jdf.queryExecution().optimizedPlan().toString()
+    assert "mergedValue" in plan
+
+
 def test_shares_sum_to_100(spark, sf):
     out = trends.share_of_total(transfers(spark, sf), "month").groupBy("YearMonth").agg(F.sum("pct").alias("p"))
     assert out.filter("abs(p - 100) > 1e-9").isEmpty()
