@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,14 +33,11 @@ def build_session(app: str = "switchflow", master: str | None = None, conf: dict
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the cluster's shared folder (`spark.checkpoint.dir`).
 
-    Only a local[*] session without that setting falls back to a temporary
-    folder of this machine; on a cluster executors could not see one.
+    Without that setting it is a folder below the warehouse, which executors share too.
     """
     base = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = tempfile.mkdtemp(prefix="switchflow-")
+        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
