@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from switchflow.llm import chat, packing, rules, secrets, simhash, token_store
+from switchflow.llm import chat, packing, quality_model, rules, secrets, simhash, token_store
 from switchflow.llm.common import table
 from switchflow.session import scratch_path
 
@@ -84,3 +84,12 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = rules.apply_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query("op5_quality_classifier")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality_model.fit(docs, table(spark, sf_dir, "labels"))
+    scored = quality_model.with_score(docs, model).drop("text")
+    at_least = F.col("score") >= quality_model.THRESHOLD
+    return scored.select("doc_id", quality_model.held_out(F.col("doc_id")).alias("held_out"), "score", at_least.cast("int").alias("predicted"))
