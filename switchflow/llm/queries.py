@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from switchflow.llm import chat, packing, quality_model, rules, secrets, simhash, token_store
+from switchflow.llm import chat, decontaminate, packing, pii, quality_model, rules, secrets, simhash, token_store
 from switchflow.llm.common import table
 from switchflow.session import scratch_path
 
@@ -93,3 +93,15 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality_model.with_score(docs, model).drop("text")
     at_least = F.col("score") >= quality_model.THRESHOLD
     return scored.select("doc_id", quality_model.held_out(F.col("doc_id")).alias("held_out"), "score", at_least.cast("int").alias("predicted"))
+
+
+@query("op7_pii_surrogates")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its personal data replaced."""
+    return pii.replace_pii(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op4_decontamination")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, with the item, the similarity and the place."""
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
