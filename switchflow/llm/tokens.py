@@ -12,6 +12,7 @@ import regex
 
 # White space other than the plain space; beside one of these a space does not start a piece by itself.
 OTHER_SPACE = [c for c in map(chr, range(0x3001)) if c.isspace() and c != " "]
+ROW = 200  # pieces encoded in one string
 REMEMBERED = 600_000  # words, and pieces, that a worker keeps; when full, others are encoded again where they occur
 
 
@@ -84,9 +85,23 @@ def id_encoder(path: str) -> Pieces:
 
     t = Tokenizer.from_file(path)
 
-    def encode(pieces: list[str]) -> list[bytes]:
+    def alone(pieces: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes() for e in t.encode_batch_fast(pieces, add_special_tokens=False)]
 
+    def encode(pieces: list[str]) -> list[bytes]:
+        # A space and letters is one piece wherever it stands, so such pieces are encoded in rows, and cut by their numbers.
+        plain = [p for p in pieces if p[:1] == " " and p[1:].isalpha()]
+        rows = [plain[i : i + ROW] for i in range(0, len(plain), ROW)]
+        got: dict[str, bytes] = {}
+        for row, e in zip(rows, t.encode_batch(["".join(r) for r in rows], add_special_tokens=False), strict=True):
+            ids, of = np.array(e.ids, dtype="<u4").tobytes(), np.array(e.word_ids)
+            ends = [0, *(np.flatnonzero(of[1:] != of[:-1]) + 1).tolist(), len(of)]
+            if len(ends) == len(row) + 1:
+                got.update((p, ids[4 * a : 4 * b]) for p, a, b in zip(row, ends, ends[1:], strict=False))
+        rest = [p for p in pieces if p not in got]
+        got.update(zip(rest, alone(rest), strict=True))
+        return [got[p] for p in pieces]
+
     return Pieces(encode, PATTERN, b"".join, [x.content for x in t.get_added_tokens_decoder().values()])
 
 
