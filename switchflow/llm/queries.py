@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from switchflow.llm import chat, decontaminate, packing, pii, quality_model, rules, secrets, simhash, token_store
+from switchflow.llm import chat, decontaminate, packing, pii, quality_model, rules, secrets, simhash, suffix_dedup, token_store
 from switchflow.llm.common import table
 from switchflow.session import scratch_path
 
@@ -105,3 +105,9 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item, with the item, the similarity and the place."""
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op6_suffix_dedup")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
