@@ -10,7 +10,7 @@ A bucket hands on a star over each of its components, never all its pairs.
 within the radius. `similar_documents` serves a similarity of 0.8 on five-word
 shingles, where fingerprints differ in some 15 % of their bits: 128 bits of two-word
 shingles are the index (the same edit changes fewer of those shingles), 128 bits of
-five-word shingles verify.
+five-word shingles choose, and the exact similarity of the linked texts decides.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from switchflow.llm.common import partitions, whole_text
@@ -92,8 +92,13 @@ def _distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.bitwise_count(a ^ b).sum(axis=-1, dtype=np.int64)
 
 
-def _bucket_links(key: np.ndarray, fp: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Positions (i, j) to link, for rows sorted by key that hold whole buckets."""
+def _bucket_links(key: np.ndarray, fp: np.ndarray, radii: tuple[int, ...]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Positions (i, j) to link, for rows sorted by key that hold whole buckets.
+
+    Small buckets give all their pairs within the last radius. Large ones give, for each
+    radius, a tree over every component, so that a stricter test of the links keeps what
+    is joined at the smaller radii.
+    """
     starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
     lengths = np.diff(np.append(starts, len(key)))
     size = np.repeat(lengths, lengths)
@@ -106,40 +111,41 @@ def _bucket_links(key: np.ndarray, fp: np.ndarray, radius: int) -> Iterator[tupl
         if not len(left):
             break
         i, j = at[left], at[left + step]
-        near = _distance(fp[i], fp[j]) <= radius
+        near = _distance(fp[i], fp[j]) <= radii[-1]
         yield i[near], j[near]
     for s, n in zip(starts[lengths > SHORT_RUN], lengths[lengths > SHORT_RUN], strict=True):
-        rest = np.arange(s, s + n)
-        while len(rest) > 1:
-            root, rest = rest[0], rest[1:]
-            frontier = [root]
-            while frontier and len(rest):
-                near = _distance(fp[rest], fp[frontier.pop()]) <= radius
-                if near.any():
-                    found, rest = rest[near], rest[~near]
-                    frontier.extend(found)
-                    yield np.full(len(found), root), found
-
-
-def node(fp: list[Column]) -> Column:
-    """The number of a fingerprint in the link graph."""
-    return fp[0] if len(fp) == 1 else F.xxhash64(*fp)
-
-
-def links(fps: DataFrame, index: list[str], verify: list[str], segments: int, radius: int) -> DataFrame:
-    """(u, v): links that join exactly the nodes which candidates within `radius` bits join."""
+        for radius in radii:
+            rest = np.arange(s, s + n)
+            while len(rest) > 1:
+                frontier, rest = [rest[0]], rest[1:]
+                while frontier and len(rest):
+                    here = frontier.pop()
+                    near = _distance(fp[rest], fp[here]) <= radius
+                    if near.any():
+                        found, rest = rest[near], rest[~near]
+                        frontier.extend(found)
+                        yield np.full(len(found), here), found
+
+
+def links(fps: DataFrame, index: list[str], verify: list[str], segments: int, radii: tuple[int, ...]) -> DataFrame:
+    """(u, v): links that join exactly the nodes which candidates within radii[-1] bits of `verify` join.
+
+    A node is named by the column `node`; where there is none, by the one column of verify.
+    """
+    named = "node" if "node" in fps.columns else verify[0]
+    lanes = list(dict.fromkeys([*verify, named]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(key, fp):
-            for i, j in _bucket_links(key, fp, radius):
+            name = fp[:, lanes.index(named)].view("<i8")
+            for i, j in _bucket_links(key, fp[:, : len(verify)], radii):
                 if len(i):
-                    cols = [pa.array(fp[x, w].view("<i8")) for x in (i, j) for w in range(len(verify))]
-                    yield pa.RecordBatch.from_arrays(cols, names=names)
+                    yield pa.RecordBatch.from_arrays([pa.array(name[i]), pa.array(name[j])], names=["u", "v"])
 
-        key, fp = np.empty(0, "<i8"), np.empty((0, len(verify)), "<u8")
+        key, fp = np.empty(0, "<i8"), np.empty((0, len(lanes)), "<u8")
         for b in batches:
             key = np.concatenate([key, b.column(0).to_numpy()])
-            fp = np.concatenate([fp, np.stack([b.column(1 + w).to_numpy().view("<u8") for w in range(len(verify))], axis=1)])
+            fp = np.concatenate([fp, np.stack([b.column(1 + w).to_numpy().view("<u8") for w in range(len(lanes))], axis=1)])
             cut = int(np.searchsorted(key, key[-1])) if len(key) else 0  # the last bucket may go on
             if cut:
                 yield from out(key[:cut], fp[:cut])
@@ -147,26 +153,25 @@ def links(fps: DataFrame, index: list[str], verify: list[str], segments: int, ra
         if len(key):
             yield from out(key, fp)
 
-    names = [f"{side}{w}" for side in "uv" for w in range(len(verify))]
-    lean = variants(fps.select(*dict.fromkeys([*index, *verify])), index, segments).select("key", *verify)
+    lean = variants(fps.select(*dict.fromkeys([*index, *lanes])), index, segments).select("key", *lanes)
     dealt = lean.repartition(partitions(fps.sparkSession), "key").sortWithinPartitions("key")
-    pairs = dealt.mapInArrow(run, ", ".join(f"{n} long" for n in names))
-    u, v = ([F.col(f"{side}{w}") for w in range(len(verify))] for side in "uv")
-    return pairs.select(node(u).alias("u"), node(v).alias("v")).distinct()
-
-
-def _components(held: DataFrame, index: list[str], verify: list[str], segments: int, radius: int) -> DataFrame:
-    """held (id, lanes) -> (id, lanes of verify, component_id)."""
-    lanes = list(dict.fromkeys([*index, *verify]))
-    held = held.withColumn("node", node([F.col(c) for c in verify]))
-    # One row per fingerprint: copies are never paired with each other.
-    nodes = materialize(held.groupBy("node", *lanes).agg(F.min("id").alias("first")), "simhash-nodes")
-    labels = connected_components(links(nodes.select(*lanes), index, verify, segments, radius))
+    pairs = dealt.mapInArrow(run, "u long, v long")
+    return pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+
+
+def _nodes(held: DataFrame, lanes: list[str]) -> DataFrame:
+    """One row per fingerprint, with its smallest id: copies are never paired with each other."""
+    return materialize(held.groupBy("node", *lanes).agg(F.min("id").alias("first")), "simhash-nodes")
+
+
+def _named(held: DataFrame, nodes: DataFrame, found: DataFrame) -> DataFrame:
+    """held with component_id, the smallest id of each node's component."""
+    labels = connected_components(found)
     named = nodes.join(labels, "node", "left").select("node", "first", F.coalesce("label", "node").alias("label"))
     named = materialize(named, "simhash-labels")
     smallest = materialize(named.groupBy("label").agg(F.min("first").alias("component_id")), "simhash-components")
     member = materialize(named.select("node", "label").distinct().join(smallest, "label").select("node", "component_id"), "simhash-members")
-    return held.join(member, "node").select("id", *verify, "component_id")
+    return held.join(member, "node")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -178,20 +183,64 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, id_colum
     0 and link like any other; repeated rows each come back; an empty table gives an
     empty result; other columns of docs are not read.
     """
-    held = materialize(with_fingerprints(docs, {"fp": (shingle, 1)}, id_column, text_column), "simhash")
-    return _components(held, ["fp0"], ["fp0"], radius // 2 + 1, radius).select(F.col("id").alias(id_column), F.col("fp0").alias("fp"), "component_id")
+    held = materialize(with_fingerprints(docs, {"fp": (shingle, 1)}, id_column, text_column), "simhash").withColumn("node", F.col("fp0"))
+    nodes = _nodes(held, ["fp0"])
+    found = links(nodes.select("fp0"), ["fp0"], ["fp0"], radius // 2 + 1, (radius,))
+    return _named(held, nodes, found).select(F.col("id").alias(id_column), F.col("fp0").alias("fp"), "component_id")
+
 
+def shingle_set(text: bytes, shingle: int) -> np.ndarray:
+    """32-bit hashes of the different shingles of a text, ascending; fewer words are one shingle."""
+    words = text.lower().split()
+    n = max(1, len(words) - shingle + 1) if words else 0
+    parts = {b" ".join(words[i : i + shingle]) for i in range(n)}
+    return np.unique(np.fromiter((xxhash.xxh32_intdigest(p) for p in parts), dtype="<u4", count=len(parts)))
 
-def similar_documents(docs: DataFrame, shingle: int = 5, radius: int = 26, segments: int = 6) -> DataFrame:
-    """(doc_id, component_id) for documents whose shingles are about 0.8 alike or more.
 
-    `radius` of 128 bits: two texts that share 0.8 of their shingles (Jaccard) have a
-    cosine of 0.89 and differ in 19 bits on average, so nearly all of them lie within 26;
-    unrelated texts differ in 64. Nulls, empty texts and repeats as in `near_duplicates`.
+def _alike(found: DataFrame, nodes: DataFrame, docs: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """The links whose texts share `similarity` of their shingles (Jaccard); docs (id, text), id as in nodes."""
+    found = materialize(found, "similar-links")
+    ends = found.select(F.col("u").alias("node")).union(found.select("v")).distinct()
+    wanted = materialize(nodes.join(ends, "node", "left_semi").select("node", F.col("first").alias("id")), "similar-nodes")
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            got = [shingle_set(t, shingle).tobytes() for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(got, pa.binary())], names=["node", "s"])
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keep = []
+            for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
+                p, q = np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4")
+                shared = len(np.intersect1d(p, q, assume_unique=True))
+                keep.append(shared >= similarity * (len(p) + len(q) - shared))
+            b = b.filter(pa.array(keep, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["u", "v"])
+
+    # Equal rows repeat; one of them tells the set.
+    of = materialize(docs.join(wanted, "id").select("node", "text").mapInArrow(sets, "node long, s binary").dropDuplicates(["node"]), "similar-sets")
+    one = found.join(of.select(F.col("node").alias("u"), F.col("s").alias("a")), "u")
+    both = one.join(of.select(F.col("node").alias("v"), F.col("s").alias("b")), "v")
+    return both.select("u", "v", "a", "b").mapInArrow(judge, "u long, v long")
+
+
+def similar_documents(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, radii: tuple[int, ...] = (12, 18, 24, 30), segments: int = 6) -> DataFrame:
+    """(doc_id, component_id) for the documents with an id; those that share `similarity` of their shingles are linked.
+
+    radii of 128 bits: texts 0.8 alike (Jaccard) have a cosine of 0.89 and differ in 19
+    bits on average with a deviation of 4, so nearly all lie within the last; unrelated
+    texts differ in 64. Texts without words are alike. Repeats come back as often as they
+    came, an empty table gives an empty result, other columns are not read.
     """
-    held = materialize(with_fingerprints(docs, {"ix": (2, 2), "fp": (shingle, 2)}), "similar")
-    found = _components(held, ["ix0", "ix1"], ["fp0", "fp1"], segments, radius)
-    return found.select(F.col("id").alias("doc_id"), "component_id")
+    text = whole_text().cast("binary")
+    rows = docs.filter("doc_id IS NOT NULL").select(F.struct("doc_id", F.xxhash64(text).alias("th")).alias("id"), text.alias("text"))
+    held = materialize(with_fingerprints(rows, {"ix": (2, 2), "fp": (shingle, 2)}, "id"), "similar")
+    held = held.withColumn("node", F.xxhash64("ix0", "ix1", "fp0", "fp1"))
+    nodes = _nodes(held, ["ix0", "ix1", "fp0", "fp1"])
+    found = links(nodes, ["ix0", "ix1"], ["fp0", "fp1"], segments, radii)
+    found = _alike(found, nodes, rows, shingle, similarity)
+    return _named(held, nodes, found).select("id.doc_id", F.col("component_id.doc_id").alias("component_id"))
 
 
 def keep_first(docs: DataFrame, found: DataFrame) -> DataFrame:
