@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 import datetime as dt
 
 from pyspark.sql import functions as F
@@ -197,7 +199,8 @@ def missing_ids(spark, d):
 
 @query(
     "id_gate",
-    f"""{CONF}, {_LOOKUP}, {_CHECKED} SELECT count(*) > 0 AS refused, count(*) AS n_reported FROM ids WHERE missing_id <> '' AND missing_id NOT IN (SELECT id FROM lookup)""",
+    f"""{CONF}, {_LOOKUP}, {_CHECKED} SELECT count(*) > 0 AS refused, count(*) AS n_reported, (SELECT count(DISTINCT stat_shortcut) FROM ids WHERE id_type = 'FRMP' AND coalesce(missing_id, '') = '') AS n_blank
+ FROM ids WHERE missing_id <> '' AND missing_id NOT IN (SELECT id FROM lookup)""",
 )
 def id_gate(spark, d):
     """The gate's verdict and the size of the report it leaves behind."""
@@ -208,7 +211,8 @@ def id_gate(spark, d):
     except quality.ValidationError:
         refused = True
     report = spark.read.csv(path, header=True, schema="stat_shortcut string, id_type string, missing_id string")
-    return report.agg(F.lit(refused).alias("refused"), F.count(F.lit(1)).alias("n_reported"))
+    blank = quality.blank_ids(quality.checked_ids(rows)).agg(F.count(F.lit(1))).scalar()
+    return report.agg(F.lit(refused).alias("refused"), F.count(F.lit(1)).alias("n_reported"), blank.alias("n_blank"))
 
 
 # --- audit ---------------------------------------------------------------------------
@@ -242,12 +246,33 @@ def verify_presence(spark, d):
     return quality.verify_presence(conformed(spark, d), some_done(spark, d))
 
 
+# Files from 1996 on have the other two dates too; one of them has every date.
+_DATED = """dated AS (SELECT source_file, CASE WHEN source_file = 'extract_1997.csv' THEN coalesce(stat_date, TIMESTAMP '1997-01-01') ELSE stat_date END AS stat_date,
+ CASE WHEN source_file >= 'extract_1996' THEN 1 END AS p, CASE WHEN source_file >= 'extract_1996' AND (source_file = 'extract_1997.csv' OR stat_value % 3 = 0) THEN 1 END AS q FROM conf)"""
+
+
+def dated(spark, d):
+    rows, late = conformed(spark, d), F.col("source_file") >= "extract_1996"
+    whole, day = F.col("source_file") == "extract_1997.csv", F.lit("1997-01-01 00:00:00").cast(rows_type(rows, "stat_date"))
+    return rows.withColumns(
+        {
+            "stat_date": F.when(whole, F.coalesce("stat_date", day)).otherwise(F.col("stat_date")),
+            "processingdt": F.when(late, day),
+            "maintcreatedt": F.when(late & (whole | (F.col("stat_value") % 3 == 0)), day),
+        }
+    )
+
+
+def rows_type(rows, column):
+    return rows.schema[column].dataType
+
+
 @query(
     "verify_dates",
-    f"{CONF} SELECT source_file, count(*) AS row_count, count(*) - count(stat_date) AS stat_date_nulls, count(*) AS processingdt_nulls, count(*) AS maintcreatedt_nulls FROM conf GROUP BY 1",
+    f"{CONF}, {_DATED} SELECT source_file, count(*) AS row_count, count(*) - count(stat_date) AS stat_date_nulls, count(*) - count(p) AS processingdt_nulls, count(*) - count(q) AS maintcreatedt_nulls FROM dated GROUP BY 1",
 )
 def verify_dates(spark, d):
-    return quality.verify_dates(conformed(spark, d))
+    return quality.verify_dates(dated(spark, d))
 
 
 @query(
@@ -260,12 +285,15 @@ def verify_counts(spark, d):
 
 @query(
     "verification_report",
-    f"""{CONF}, {_MANIFEST}, {_RAWC}, a AS (SELECT source_file, count(*) AS row_count FROM conf GROUP BY 1)
-SELECT source_file, row_count, raw_count, row_count IS NULL AS is_missing, row_count IS NOT NULL AS has_null_dates,
- coalesce(row_count <> raw_count, FALSE) AS has_mismatch, row_count - raw_count AS diff FROM manifest LEFT JOIN a USING (source_file) LEFT JOIN rawc USING (source_file)""",
+    f"""{CONF}, {_MANIFEST}, {_RAWC}, {_DATED}, a AS (SELECT source_file, count(*) AS row_count, count(stat_date) < count(*) OR count(p) < count(*) OR count(q) < count(*) AS nulls FROM dated GROUP BY 1),
+c AS (SELECT * FROM rawc UNION ALL SELECT 'extract_1900.csv', 7)
+SELECT source_file, row_count, raw_count, row_count IS NULL AS is_missing, coalesce(nulls, FALSE) AS has_null_dates,
+ coalesce(coalesce(row_count, 0) <> raw_count, FALSE) AS has_mismatch, coalesce(row_count, 0) - raw_count AS diff FROM manifest LEFT JOIN a USING (source_file) LEFT JOIN c USING (source_file)""",
 )
 def verification_report(spark, d):
-    return quality.verification_report(conformed(spark, d), some_done(spark, d), raw_counts(spark, d))
+    """One file is clean, one has no staged rows though its raw copy has lines."""
+    ghost = table(spark, d, "region").select(F.lit("extract_1900.csv").alias("source_file"), F.lit(7).cast("long").alias("raw_count")).distinct()
+    return quality.verification_report(dated(spark, d), some_done(spark, d), raw_counts(spark, d).union(ghost))
 
 
 # --- manifest --------------------------------------------------------------------------
@@ -377,13 +405,44 @@ def bulk(spark, d):
 
 @query(
     "bulk_audit",
-    f"{CONF} SELECT FALSE AS is_missing, FALSE AS has_mismatch, count(*) AS row_count FROM conf",
+    f"{CONF} SELECT FALSE AS is_missing, TRUE AS has_null_dates, FALSE AS has_mismatch, count(*) AS row_count FROM conf",
 )
 def bulk_audit(spark, d):
     source, base = write_extracts(spark, d), scratch_path(spark, "audit")
     bulk_load.run_bulk_load(spark, source, f"{base}/staging", f"{base}/manifest", now=NOW, batch_size=50)
     out = bulk_load.audit(spark, source, f"{base}/staging", f"{base}/manifest")
-    return out.groupBy("is_missing", "has_mismatch").agg(F.sum("row_count").alias("row_count"))
+    return out.groupBy("is_missing", "has_null_dates", "has_mismatch").agg(F.sum("row_count").alias("row_count"))
+
+
+def write_spaced(spark, d) -> str:
+    """The raw view as CSV files that start with a blank line, a file with a header alone, and one with a blank line alone."""
+    path = scratch_path(spark, "spaced")
+    rows = extract(spark, d).drop("SOURCE FILE")
+    header = F.lit(",".join(rows.columns))
+    line = F.concat_ws(",", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in rows.columns])
+    first = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1) == 0
+    lines = rows.select(F.explode(F.when(first, F.array(F.lit(""), header, line)).otherwise(F.array(line))).alias("line"))
+    plain = {"sep": "\x01", "emptyValue": "", "quote": ""}
+    one = table(spark, d, "region").limit(1)
+    for frame in (lines, one.select(header.alias("line")), one.select(F.lit("").alias("line"))):
+        frame.write.options(**plain).csv(path, mode="append")
+    return path
+
+
+@query("bulk_load_spaced", f"{CONF} SELECT {_TOTALS} FROM conf GROUP BY ALL")
+def bulk_load_spaced(spark, d):
+    """No row is lost to blank first lines, empty files or header-only files."""
+    source, base = write_spaced(spark, d), scratch_path(spark, "bulk")
+    bulk_load.run_bulk_load(spark, source, f"{base}/staging", f"{base}/manifest", now=NOW)
+    return totals(staging.read_staging(spark, f"{base}/staging", manifest.read_manifest(spark, f"{base}/manifest")))
+
+
+@query("bulk_audit_spaced", f"{CONF} SELECT FALSE AS has_mismatch, count(*) AS row_count FROM conf")
+def bulk_audit_spaced(spark, d):
+    source, base = write_spaced(spark, d), scratch_path(spark, "audit")
+    bulk_load.run_bulk_load(spark, source, f"{base}/staging", f"{base}/manifest", now=NOW)
+    out = bulk_load.audit(spark, source, f"{base}/staging", f"{base}/manifest")
+    return out.groupBy("has_mismatch").agg(F.sum("row_count").alias("row_count"))
 
 
 @query("stream_ingest", f"{CONF} SELECT {_TOTALS} FROM conf GROUP BY ALL")
@@ -466,9 +525,22 @@ def upsert_by_source(spark, d):
     return view_totals(frames.read_view(spark, path=f"{base}/out"))
 
 
-@query("listed_files", f"{CONF}, f AS (SELECT count(DISTINCT source_file) AS n FROM conf) SELECT n > 0 AS found, TRUE AS newest_is_last FROM f")
+@query("listed_files", f"{CONF} SELECT count(*) AS n_rows, 3 AS n_files, TRUE AS all_csv, 1 AS n_newest, TRUE AS newest_came_last FROM conf")
 def listed_files(spark, d):
-    """Every written extract is listed; the newest one has the greatest time."""
-    files = raw_source.list_inputs(spark, write_extracts(spark, d))
-    newest = raw_source.newest_file(files).agg(F.max("modified")).scalar()
-    return files.agg((F.count(F.lit(1)) > 0).alias("found"), (F.max("modified") == newest).alias("newest_is_last"))
+    """Two files, and later a third one: three are listed, with all rows, and the third is the newest."""
+    path, rows = scratch_path(spark, "listed"), extract(spark, d).withColumn("even", F.coalesce(F.col("STAT_VALUE").rlike("[02468]$"), F.lit(False)))
+    rows.filter("even").repartition(2).write.csv(path, header=True)
+    before = raw_source.list_inputs(spark, path).select("source_file").collect()  # two names
+    time.sleep(1.1)  # file times may have whole seconds
+    rows.filter("NOT even").coalesce(1).write.csv(path, header=True, mode="append")
+    files = raw_source.list_inputs(spark, path)
+    newest = raw_source.newest_file(files)
+    late = ~F.col("source_file").isin([r[0] for r in before])
+    n_rows = raw_source.raw_line_counts(spark, path).agg(F.sum("raw_count")).scalar()
+    return files.agg(
+        n_rows.alias("n_rows"),
+        F.count(F.lit(1)).cast("int").alias("n_files"),
+        F.bool_and(F.col("source_file").endswith(".csv")).alias("all_csv"),
+        newest.agg(F.count(F.lit(1))).scalar().cast("int").alias("n_newest"),
+        newest.agg(F.bool_and(late)).scalar().alias("newest_came_last"),
+    )

@@ -402,8 +402,7 @@ def fitted_frame(spark, d):
 def regression_simple(spark, d):
     fit = models.ols(fitted_frame(spark, d), terms=["log_customer_size"])
     table = models.ols_table(spark, fit).select("variable", "coefficient")
-    quality = models.fit_quality(spark, fit)
-    return table.join(quality.select("r_squared", "n"))
+    return table.withColumns({"r_squared": F.lit(fit.r2), "n": F.lit(fit.n).cast("long")})
 
 
 # Two predictors have a closed form: centred cross products and a 2 × 2 inverse.
@@ -453,7 +452,7 @@ SELECT n - 2 AS residual_df_1, n - 3 AS residual_df_2, round(rss1, 4) AS rss_1,
 )
 def compare_nested_pair(spark, d):
     frame = fitted_frame(spark, d)
-    out = models.compare_nested(spark, models.ols(frame, terms=_PAIR[:1]), models.ols(frame, terms=_PAIR))
+    out = models.compare_nested(spark, *models.nested(frame, _PAIR[:1], _PAIR))
     return out.withColumns({c: F.round(c, 4) for c in ("rss_1", "rss_2")})
 
 
@@ -499,9 +498,7 @@ def interaction_table(spark, d):
 @query("compare_nested")
 def compare_nested(spark, d):
     frame = fitted_frame(spark, d)
-    return models.compare_nested(
-        spark, models.ols(frame, terms=models.PREDICTORS_9), models.ols(frame, terms=models.POLYNOMIAL_9)
-    )
+    return models.compare_nested(spark, *models.nested(frame, models.PREDICTORS_9, models.POLYNOMIAL_9))
 
 
 @query("forest_importance")
@@ -517,7 +514,7 @@ def boosted_importance(spark, d):
 
 @query("leaderboard")
 def leaderboard(spark, d):
-    """All five models; the trees are smaller here than their defaults."""
+    """All five models at their defaults."""
     from switchflow.plans.offer_study import study_models
 
-    return study_models(data(spark, d), trees=50, rounds=20)["leaderboard"]
+    return study_models(data(spark, d))["leaderboard"]

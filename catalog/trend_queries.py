@@ -9,6 +9,7 @@ from switchflow.operators import flows, joins, periods, reshape, topk, trends
 from switchflow.session import materialize
 
 S, FROM, TO = "FRMP_Retailer_size", "FRMP_Retailer_name", "NEWFRMP_Retailer_name"
+NATIONS = [f"NATION_{i}" for i in range(25)]
 
 
 # --- sums by period with a Total series -----------------------------------------
@@ -318,20 +319,13 @@ def flow_matrix_long(spark, d):
 
 @query(
     "flow_matrix_wide",
-    f"""{EDGES}, p AS (SELECT {FROM}, list(transfers) AS x FROM edges GROUP BY 1)
-SELECT {FROM}, "Total Out", n_cells FROM (
- SELECT {FROM}, CAST(sum(transfers) AS BIGINT) AS "Total Out", count(DISTINCT {TO}) AS n_cells FROM edges GROUP BY 1
- UNION ALL SELECT 'Total In', CAST(sum(transfers) AS BIGINT), count(DISTINCT {TO}) FROM edges)""",
+    f"""{EDGES}, r AS (SELECT {FROM}, {', '.join(f"CAST(coalesce(sum(transfers) FILTER ({TO} = '{n}'), 0) AS BIGINT) AS " + '"' + n + '"' for n in NATIONS)},
+ CAST(sum(transfers) AS BIGINT) AS "Total Out" FROM edges GROUP BY GROUPING SETS (({FROM}), ()))
+SELECT * REPLACE (coalesce({FROM}, 'Total In') AS {FROM}) FROM r""",
 )
 def flow_matrix_wide(spark, d):
-    """Wide matrix, reported per row: its total and its number of non-zero cells.
-
-    The matrix's own columns depend on the data; the long form checks every cell.
-    """
-    wide = reshape.flow_matrix(held_edges(spark, d), FROM, TO, "transfers")
-    cells = [c for c in wide.columns if c not in (FROM, reshape.TOTAL_OUT)]
-    n_cells = sum((F.when(F.col(f"`{c}`") != 0, 1).otherwise(0) for c in cells), F.lit(0)).cast("long")
-    return wide.select(FROM, reshape.TOTAL_OUT, n_cells.alias("n_cells"))
+    """The wide matrix, every cell of it, with stated columns."""
+    return reshape.flow_matrix(held_edges(spark, d), FROM, TO, "transfers", columns=NATIONS)
 
 
 @query(
@@ -438,14 +432,17 @@ def net_change_rate(spark, d):
 
 # The default base is the month before the latest one. In the test tables the base
 # rows end years earlier, so the activity queries take each entity's whole base.
-_ACTIVITY = f"""{NET}, whole AS (SELECT {FROM} AS retailer, sum(stat_value) AS active_nmis FROM t WHERE stat_shortcut = 'M71' AND {FROM} IS NOT NULL GROUP BY 1),
-act AS (SELECT retailer, out, in_transfers, net_absolute, CAST(active_nmis AS BIGINT) AS active_nmis, net_absolute / active_nmis * 100 AS net_rate,
- out + in_transfers AS total_activity, out / (active_nmis / 100.0) AS out_rate,
- in_transfers / (active_nmis / 100.0) AS in_rate, (out + in_transfers) / (active_nmis / 100.0) AS total_rate FROM net JOIN whole USING (retailer) WHERE length(retailer) > 0 AND active_nmis > 0)"""
+_ACTIVITY = f"""{NET}, whole AS (SELECT {FROM} AS retailer, sum(stat_value) AS active_nmis FROM t WHERE stat_shortcut = 'M71' AND {FROM} NOT LIKE '%2%' GROUP BY 1),
+act AS (SELECT retailer, out, in_transfers, net_absolute, CAST(coalesce(active_nmis, 0) AS BIGINT) AS active_nmis,
+ CASE WHEN active_nmis > 0 THEN net_absolute / active_nmis * 100 ELSE 0.0 END AS net_rate,
+ out + in_transfers AS total_activity, CASE WHEN active_nmis > 0 THEN out / (active_nmis / 100.0) END AS out_rate,
+ CASE WHEN active_nmis > 0 THEN in_transfers / (active_nmis / 100.0) END AS in_rate,
+ CASE WHEN active_nmis > 0 THEN (out + in_transfers) / (active_nmis / 100.0) END AS total_rate FROM net LEFT JOIN whole USING (retailer) WHERE length(retailer) > 0)"""
 
 
 def whole_base(facts):
-    rows = trends.base_of(facts).filter(F.col(FROM).isNotNull())
+    """Each entity's base over all months; entities with a 2 in their name have none."""
+    rows = trends.base_of(facts).filter(~F.col(FROM).contains("2"))
     return rows.groupBy(F.col(FROM).alias("retailer")).agg(F.sum("stat_value").alias("active_nmis"))
 
 
@@ -455,7 +452,7 @@ def whole_base(facts):
 )
 def net_change_rate_of_base(spark, d):
     facts = transfers(spark, d)
-    return flows.net_change_rate(facts, whole_base(facts)).filter("retailer IS NOT NULL AND active_nmis > 0")
+    return flows.net_change_rate(facts, whole_base(facts)).filter("retailer IS NOT NULL")
 
 
 @query(
@@ -467,6 +464,17 @@ def in_out_activity(spark, d):
     return flows.in_out_activity(facts, whole_base(facts))
 
 
+@query(
+    "in_out_rates",
+    f"{_ACTIVITY} SELECT retailer, active, round(total_rate, 6) AS total_rate, CAST(row_number() OVER (ORDER BY total_rate, retailer) AS INT) AS place FROM (SELECT *, total_activity AS active FROM act) WHERE total_rate IS NOT NULL",
+)
+def in_out_rates(spark, d):
+    """The normalised frame in its own order."""
+    facts = transfers(spark, d)
+    rows = flows.in_out_rates(facts, whole_base(facts)).select("retailer", F.col("total_activity").alias("active"), "total_rate")
+    return topk.order_by_measure(rows, "total_rate", "retailer", "place")
+
+
 @query(
     "in_out_ordered",
     f"{_ACTIVITY} SELECT retailer, total_activity, CAST(row_number() OVER (ORDER BY total_activity, retailer) AS INT) AS sort_ix FROM act",

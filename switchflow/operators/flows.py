@@ -12,7 +12,7 @@ from switchflow.functions.labels import movement_type, size_index
 from switchflow.functions.stats import total
 from switchflow.operators.joins import left_join_nullsafe
 from switchflow.operators.periods import latest_month_rows
-from switchflow.operators.topk import positions
+from switchflow.operators.topk import numbered
 from switchflow.operators.trends import base_of, transfers_of, with_share
 from switchflow.schema import SIZES
 
@@ -85,7 +85,7 @@ def flow_nodes(edges: DataFrame, side: str = "from", k: int = 5) -> DataFrame:
     )
     others = others.select("label", "size", "total", F.lit("to" if side == "from" else "from").alias("side"))
     order = [(F.col("side") == "to"), F.col("total").desc(), F.col("label"), F.col("size").asc_nulls_last()]
-    return positions(ranked.unionByName(others), order, "index").select("index", "label", "size", "side", "total")
+    return numbered(ranked.unionByName(others), order, "index").select("index", "label", "size", "side", "total")
 
 
 def flow_links(edges: DataFrame, side: str = "from", k: int = 5) -> DataFrame:
@@ -194,8 +194,10 @@ def net_change(df: DataFrame) -> DataFrame:
 def previous_base(df: DataFrame) -> DataFrame:
     """Customer base per entity in the month before the latest one."""
     ym = F.col("YearMonth")
-    latest = latest_month_rows(df).agg(F.max("YearMonth")).scalar()
-    previous = df.filter(ym < latest).agg(F.max("YearMonth")).scalar()
+    # The months are few: the latest one and the one before it come from one list of them.
+    months = df.select("Year", "Month", "YearMonth").distinct()
+    ends = months.agg(F.max(F.struct("Year", "Month", "YearMonth")).alias("l"), F.collect_set("YearMonth").alias("every"))
+    previous = ends.select(F.array_max(F.filter("every", lambda m: m < F.col("l.YearMonth")))).scalar()
     rows = base_of(df).filter((ym == previous) & F.col(FROM).isNotNull())
     return rows.groupBy(F.col(FROM).alias("retailer")).agg(total("stat_value").alias("active_nmis"))
 
@@ -209,9 +211,9 @@ def net_change_rate(df: DataFrame, base: DataFrame | None = None) -> DataFrame:
 
 
 def in_out_activity(df: DataFrame, base: DataFrame | None = None) -> DataFrame:
-    """In and out totals and rates per named entity with a positive base."""
-    rows = net_change_rate(df, base).filter((F.length("retailer") > 0) & (F.col("active_nmis") > 0))
-    per = F.col("active_nmis") / 100
+    """In and out totals per named entity; rates are null where there is no base."""
+    rows = net_change_rate(df, base).filter(F.length("retailer") > 0)
+    per = F.when(F.col("active_nmis") > 0, F.col("active_nmis") / 100)
     return rows.select(
         "retailer",
         "out",
@@ -223,6 +225,11 @@ def in_out_activity(df: DataFrame, base: DataFrame | None = None) -> DataFrame:
     )
 
 
+def in_out_rates(df: DataFrame, base: DataFrame | None = None) -> DataFrame:
+    """The normalised frame: entities with a base, smallest total rate first."""
+    return in_out_activity(df, base).filter(F.col("total_rate").isNotNull()).orderBy("total_rate", "retailer")
+
+
 def axis_bound(df: DataFrame, columns: Sequence[str], unit: int, alias: str = "axis_max") -> DataFrame:
     """Greatest value of the columns rounded up to a multiple of `unit`: one row."""
     peak = F.greatest(*[F.max(c) for c in columns]) if len(columns) > 1 else F.max(columns[0])

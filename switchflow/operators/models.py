@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 import numpy as np
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import (
     GBTRegressor,
     LinearRegression,
@@ -77,6 +78,12 @@ READINGS = {
 # Memory for the split statistics of one pass: more nodes per pass, fewer passes.
 NODE_MEMORY_MB = 1024
 
+# MLlib grows no deeper trees.
+MAX_DEPTH = 30
+
+# Partitions of a tree fit's input; part of the fit, as bagging draws per partition.
+TREE_PARTITIONS = 32
+
 # Smallest share of a predictor's variance that the earlier ones may leave unexplained.
 ALIAS_TOLERANCE = 1e-7
 
@@ -180,6 +187,15 @@ class LinearFit:
         return self.n - len(self.terms) - 1
 
 
+def nested(df: DataFrame, small: Sequence[str], large: Sequence[str], y: str = TARGET) -> tuple[LinearFit, LinearFit]:
+    """A nested pair fitted on the same rows: those complete in the terms of both."""
+    terms = [*expand_terms(small), *expand_terms(large)]
+    rows = df
+    for c in (F.col(y), *map(term_column, terms)):
+        rows = rows.filter(c.isNotNull() & ~F.isnan(c.cast("double")))
+    return ols(rows, y, small), ols(rows, y, large)
+
+
 def ols(df: DataFrame, y: str = TARGET, terms: Sequence[str] = PREDICTORS) -> LinearFit:
     """Ordinary least squares by the normal equations; aliased terms are dropped.
 
@@ -244,7 +260,9 @@ def vif(df: DataFrame, terms: Sequence[str] = PREDICTORS, y: str = TARGET) -> Da
 
 
 def compare_nested(spark, small: LinearFit, large: LinearFit) -> DataFrame:
-    """F statistic of a nested pair with its degrees of freedom."""
+    """F statistic of a nested pair with its degrees of freedom; both must be fitted on the same number of rows."""
+    if small.n != large.n:
+        raise ValueError(f"the models were fitted on {small.n} and {large.n} rows; fit both on the complete rows of all terms")
     extra = small.residual_df - large.residual_df
     if extra > 0 and large.residual_df > 0 and large.rss > 0:
         f = (small.rss - large.rss) / extra / (large.rss / large.residual_df)
@@ -264,35 +282,40 @@ class TreeFit:
     features: list[str]
 
 
-def _tree_design(df: DataFrame, y: str, features: Sequence[str]) -> DataFrame:
-    """Written design matrix, spread over the cluster: every tree level reads it."""
-    design = materialize(_design(df, y, features), "design")
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    return design.repartition(slots) if design.rdd.getNumPartitions() < slots else design
+def _tree_design(df: DataFrame, y: str, features: Sequence[str], parts: int) -> DataFrame:
+    """The design matrix in a stated number of partitions and order, by the rows' own values.
+
+    Bagging draws per partition, so a fit depends on where rows are; placed like this it
+    is the same on any number of cores.
+    """
+    design = _design(df, y, features)
+    values = design.withColumn("_v", vector_to_array("features"))
+    h = F.xxhash64("_v", "label")
+    return values.repartition(parts, h).sortWithinPartitions(h, "_v", "label").select("features", "label")
 
 
 def forest(
     df: DataFrame, y: str = TARGET, features: Sequence[str] = TREE_FEATURES, trees: int = 500, per_split: int = 3,
-    depth: int = 10, seed: int = 123,
+    depth: int = MAX_DEPTH, seed: int = 123, parts: int = TREE_PARTITIONS,
 ) -> TreeFit:
-    """Random forest. Depth is bounded (the node tables of one level live on the driver)."""
+    """Random forest; trees end at leaves of five rows. `depth` is MLlib's own limit unless stated."""
     rf = RandomForestRegressor(
         numTrees=trees, featureSubsetStrategy=str(per_split), maxDepth=depth, minInstancesPerNode=5, seed=seed,
         maxMemoryInMB=NODE_MEMORY_MB,
     )
-    return TreeFit(rf.fit(_tree_design(df, y, features)), list(features))
+    return TreeFit(rf.fit(_tree_design(df, y, features, parts)), list(features))
 
 
 def boosted(
     df: DataFrame, y: str = TARGET, features: Sequence[str] = TREE_FEATURES, rounds: int = 100, depth: int = 6,
-    rate: float = 0.1, seed: int = 123,
+    rate: float = 0.1, seed: int = 123, parts: int = TREE_PARTITIONS,
 ) -> TreeFit:
     """Gradient-boosted trees on squared error."""
     gbt = GBTRegressor(
         maxIter=rounds, maxDepth=depth, stepSize=rate, seed=seed, lossType="squared",
         maxMemoryInMB=NODE_MEMORY_MB,
     )
-    return TreeFit(gbt.fit(_tree_design(df, y, features)), list(features))
+    return TreeFit(gbt.fit(_tree_design(df, y, features, parts)), list(features))
 
 
 def predictions(fit: TreeFit, df: DataFrame, y: str = TARGET) -> DataFrame:
@@ -334,7 +357,7 @@ def permutation_importance(fit: TreeFit, df: DataFrame, y: str = TARGET, seed: i
     shifts = [1 + (seed * 7919 + (j + 1) * (n // (len(features) + 1) or 1)) % (n - 1) for j in range(len(features))]
     moved = rows.select(
         F.explode(
-            F.array(*[F.struct(((F.col("_i") + s) % n).cast("int").alias("_i"), F.lit(j).alias("j"), F.col(names[j]).alias("v")) for j, s in enumerate(shifts)])
+            F.array(*[F.struct(((F.col("_i") + s) % n).alias("_i"), F.lit(j).alias("j"), F.col(names[j]).alias("v")) for j, s in enumerate(shifts)])
         ).alias("m")
     ).select("m.*")
     wide = moved.groupBy("_i").agg(*[F.max(F.when(F.col("j") == j, F.col("v"))).alias(f"_s{j}") for j in range(len(features))])

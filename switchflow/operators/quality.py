@@ -14,13 +14,17 @@ class ValidationError(ValueError):
     """A monthly file refers to ids the lookup does not know."""
 
 
+# Columns the id gate cannot do without.
+GATE_COLUMNS = ("stat_shortcut", "frmp", "nmiclasscode")
+
+
 def checked_ids(df: DataFrame) -> DataFrame:
     """Distinct (measure, id column, id) that need a lookup entry; blank ids are null.
 
     Base rows are checked on the losing id, daily rows on both. The ids are made
     distinct before any join, so what is compared is tiny next to the facts.
     """
-    require_columns(df, ["stat_shortcut", "frmp", "nmiclasscode"])
+    require_columns(df, GATE_COLUMNS)
     code = F.col("stat_shortcut")
     checks = [F.struct(code, F.lit("FRMP").alias("id_type"), F.trim("frmp").alias("missing_id"))]
     if "newfrmp" in df.columns:
@@ -36,6 +40,11 @@ def _unknown(ids: DataFrame, lookup: DataFrame) -> DataFrame:
     return ids.filter(F.col("missing_id").isNotNull()).join(known, "missing_id", "left_anti")
 
 
+def blank_ids(ids: DataFrame) -> DataFrame:
+    """Measures with a blank losing id, from `checked_ids`; a blank gaining id is fine."""
+    return ids.filter(F.col("missing_id").isNull() & (F.col("id_type") == "FRMP"))
+
+
 def missing_ids(df: DataFrame, lookup: DataFrame) -> DataFrame:
     """Ids in use without a lookup entry: (stat_shortcut, id_type, missing_id), sorted."""
     columns = ["stat_shortcut", "id_type", "missing_id"]
@@ -48,7 +57,7 @@ def assert_ids(df: DataFrame, lookup: DataFrame, report_path: str | None = None)
     The unknown ids are written to `report_path` before the error is raised.
     """
     ids = checked_ids(df)
-    blank = ids.filter(F.col("missing_id").isNull() & (F.col("id_type") == "FRMP"))
+    blank = blank_ids(ids)
     unknown = _unknown(ids, lookup)
     columns = ["stat_shortcut", "id_type", "missing_id"]
     counts = {
@@ -98,14 +107,15 @@ def verify_counts(staging: DataFrame, raw_counts: DataFrame) -> DataFrame:
 def verification_report(staging: DataFrame, manifest: DataFrame, raw_counts: DataFrame) -> DataFrame:
     """One row per completed file: missing, null dates, count mismatch.
 
-    A file without a raw copy cannot be compared and counts as no mismatch.
+    A completed file without staged rows counts as 0 rows, so it is a mismatch if its
+    raw copy has lines. A file without a raw copy cannot be compared and counts as none.
     """
     files = manifest.select("source_file").distinct()
     joined = left_join_nullsafe(files, file_audit(staging), ["source_file"])
     joined = left_join_nullsafe(joined, raw_counts.select("source_file", "raw_count"), ["source_file"])
     null_dates = sum((F.coalesce(f"{c}_nulls", F.lit(0)) for c in DATE_COLUMNS[1:]), F.coalesce(f"{DATE_COLUMNS[0]}_nulls", F.lit(0)))
     loaded = F.col("row_count").isNotNull()
-    diff = F.col("row_count") - F.col("raw_count")
+    diff = F.coalesce("row_count", F.lit(0)) - F.col("raw_count")
     return joined.select(
         "source_file",
         "row_count",

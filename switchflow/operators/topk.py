@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from switchflow.functions.dates import month_start
 from switchflow.functions.stats import total
 from switchflow.operators.periods import last_12_months
 from switchflow.operators.trends import transfers_of
+from switchflow.session import materialize
 
 ENTITY = {"from": "FRMP_Retailer_name", "to": "NEWFRMP_Retailer_name"}
 
@@ -32,9 +33,7 @@ def top_k_totals(
 ) -> DataFrame:
     """First rows of the top-k list with their totals and 1-based position."""
     rows = top_k(trailing_moves(df, side, transfer_type), ENTITY[side], k, alias="transfers")
-    return positions(rows, [F.col("transfers").desc(), F.col(ENTITY[side])], "position", start=1).filter(
-        F.col("position") <= shown
-    )
+    return numbered(rows, [F.col("transfers").desc(), F.col(ENTITY[side])], "position", start=1).filter(F.col("position") <= shown)
 
 
 def top_k_series(
@@ -56,22 +55,30 @@ def top_k_series(
     return monthly.join(F.broadcast(best), entity, "left_semi")
 
 
+def numbered(df: DataFrame, order: Sequence, alias: str, start: int = 0) -> DataFrame:
+    """Number the rows of a list that is short by construction (a limit, the ends of a few flows)."""
+    return df.withColumn(alias, F.row_number().over(Window.orderBy(*order)) + (start - 1))
+
+
 def positions(df: DataFrame, order: Sequence, alias: str, start: int = 0) -> DataFrame:
     """Number the rows 0, 1, 2, ... in the given total order.
 
     A window without partitions would pull all rows into one task. This is a range
-    partitioned sort plus a distributed sequence (one count per partition).
+    partitioned sort, written, and a count per partition.
     """
-    import os
-
-    os.environ.setdefault("PYARROW_IGNORE_TIMEZONE", "1")
-    numbered = df.orderBy(*order).pandas_api().to_spark(index_col=alias)
-    return numbered.select(*df.columns, (F.col(alias) + start).cast("int").alias(alias))
+    ordered = materialize(df.orderBy(*order).withColumn("_at", F.monotonically_increasing_id()), "positions")
+    # The number's upper bits are the sorted partition, the lower ones the row in it: both as written.
+    part, row = F.shiftright("_at", 33), F.col("_at").bitwiseAND((1 << 33) - 1)
+    sizes = ordered.groupBy(part.alias("_p")).agg(F.count("*").alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    # One row per partition; Spark sends it along when its size allows.
+    offsets = materialize(sizes.select("_p", before.alias("_before")), "offsets")
+    return ordered.join(offsets, part == F.col("_p")).select(*df.columns, (F.col("_before") + row + start).alias(alias))
 
 
 def order_by_measure(df: DataFrame, measure: str, name: str, alias: str = "sort_ix") -> DataFrame:
     """Display position of each category, smallest measure first, ties by name."""
-    return positions(df, [F.col(measure), F.col(name)], alias, start=1)
+    return positions(df, [F.col(measure), F.col(name)], alias, start=1).withColumn(alias, F.col(alias).cast("int"))
 
 
 def order_with_totals_last(df: DataFrame, name: str, total_names: Sequence[str]) -> DataFrame:

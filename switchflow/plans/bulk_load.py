@@ -7,10 +7,11 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 
 from switchflow.operators.quality import verification_report
+from switchflow.schema import MANIFEST
 from switchflow.sources.frames import write_snapshot
 from switchflow.sources.manifest import read_manifest, remaining_files
 from switchflow.sources.raw import list_inputs, raw_line_counts
-from switchflow.sources.staging import BATCH_SIZE, load_batches, read_staging
+from switchflow.sources.staging import load_batches, read_staging
 
 
 def run_bulk_load(
@@ -19,17 +20,17 @@ def run_bulk_load(
     staging_path: str,
     manifest_path: str,
     snapshot_path: str | None = None,
-    batch_size: int = BATCH_SIZE,
+    batch_size: int | None = None,
     now: dt.datetime | None = None,
 ) -> list[str]:
     """Load what the manifest does not list yet; returns the names loaded."""
     pending = remaining_files(list_inputs(spark, raw_path), read_manifest(spark, manifest_path))
-    paths = [r["path"] for r in pending.select("path").orderBy("path").collect()]  # file names only
-    loaded = load_batches(spark, paths, staging_path, manifest_path, batch_size, now)
+    files = [(r["path"], r["length"]) for r in pending.select("path", "length").orderBy("path").collect()]  # names and sizes only
+    loaded = load_batches(spark, files, staging_path, manifest_path, batch_size, now)
     if snapshot_path and loaded:
         stamp = (now or dt.datetime.now()).strftime("%Y%m%d_%H%M%S")
-        rows = read_staging(spark, staging_path)
-        write_snapshot(rows.filter(rows.source_file.isin(loaded)), snapshot_path, stamp)
+        names = spark.createDataFrame([(n,) for n in loaded], MANIFEST)
+        write_snapshot(read_staging(spark, staging_path, names), snapshot_path, stamp)
     return loaded
 
 

@@ -8,14 +8,15 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from switchflow.operators import flows, periods, reshape, topk, trends
 from switchflow.operators.conform import conform
 from switchflow.operators.joins import enrich
-from switchflow.operators.quality import assert_ids
-from switchflow.schema import EXCLUDED_FINYEARS
+from switchflow.operators.quality import GATE_COLUMNS, assert_ids
+from switchflow.schema import EXCLUDED_FINYEARS, VIEW_COLUMNS
 from switchflow.session import materialize
-from switchflow.sources.frames import load_frame, read_view, with_calendar, write_snapshot
+from switchflow.sources.frames import load_frame, with_calendar, write_snapshot
 from switchflow.sources.manifest import assert_new, mark_done, read_manifest
 from switchflow.sources.raw import list_inputs, newest_file, read_raw
 from switchflow.sources.staging import read_staging, replace_sources, upsert_by_source
@@ -38,7 +39,8 @@ class Paths:
 def run_month(spark: SparkSession, paths: Paths, source_file: str | None = None, now: dt.datetime | None = None) -> str:
     """Load the newest extract (or `source_file`) and refresh its enriched rows.
 
-    The id gate runs first and stops the run; nothing is written then. Returns the
+    The id gate runs first and stops the run, also for an extract without the columns
+    it checks; nothing is written then. Returns the
     name of the file loaded. `source_file` repeats or completes a chosen file, so it
     may be in the manifest already.
     """
@@ -54,7 +56,7 @@ def run_month(spark: SparkSession, paths: Paths, source_file: str | None = None,
         raise FileNotFoundError(f"no CSV file to load in {paths.raw}")
     path, name = found[0]
 
-    rows = conform(read_raw(spark, [path], now))
+    rows = conform(read_raw(spark, [path], now, required=GATE_COLUMNS))
     entities, codes = load_frame(spark, paths.entities), load_frame(spark, paths.codes)
     assert_ids(rows, entities, paths.missing_ids)
     replace_sources(rows, paths.staging)
@@ -99,6 +101,7 @@ def report(
         "size_summary": flows.size_flow_summary(sizes),
         "net_change": flows.net_change_rate(df),
         "in_out": flows.in_out_activity(df),
+        "in_out_rates": flows.in_out_rates(df),
     }
     for grain in ("month", "quarter", "finyear"):
         out[f"trend_{grain}"] = trends.trend(df, grain)
@@ -112,6 +115,8 @@ def report(
 def monthly_report(spark: SparkSession, paths: Paths) -> dict[str, DataFrame]:
     """Report frames of the enriched table, completed files only."""
     manifest = read_manifest(spark, paths.manifest)
-    rows = spark.read.parquet(paths.enriched).join(manifest, "source_file", "left_semi")
-    rows.createOrReplaceTempView("enriched_transfers")
-    return report(read_view(spark, table="enriched_transfers"))
+    # Partition names such as `201801` are text.
+    found = spark.read.parquet(paths.enriched).schema
+    stated = T.StructType([T.StructField("source_file", T.StringType()) if f.name == "source_file" else f for f in found])
+    rows = spark.read.schema(stated).parquet(paths.enriched).join(manifest, "source_file", "left_semi")
+    return report(rows.select(*VIEW_COLUMNS))

@@ -36,10 +36,14 @@ def add_done(manifest: DataFrame, done: DataFrame) -> DataFrame:
     return manifest.select("source_file").union(done.select("source_file")).dropDuplicates(["source_file"])
 
 
-def mark_done(spark: SparkSession, names: Sequence[str], path: str) -> None:
-    """Append completed names. Append-only: a failed write cannot harm older entries."""
-    done = spark.createDataFrame([(n,) for n in names], MANIFEST).dropDuplicates(["source_file"])
-    remaining_files(done, read_manifest(spark, path)).coalesce(1).write.mode("append").parquet(path)
+def mark_done(spark: SparkSession, names: Sequence[str], path: str, are_new: bool = False) -> None:
+    """Append completed names. Append-only: a failed write cannot harm older entries.
+
+    `are_new`: the caller has read the manifest, so it is not read again.
+    """
+    done = spark.createDataFrame([(n,) for n in sorted(set(names))], MANIFEST)
+    left = done if are_new else remaining_files(done, read_manifest(spark, path))
+    left.coalesce(1).write.mode("append").parquet(path)
 
 
 def already_processed(files: DataFrame, manifest: DataFrame) -> DataFrame:

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from switchflow.functions.dates import local_now
+from switchflow.functions.text import clean_name_list
 from switchflow.operators.conform import blanks_to_null, clean_names
 from switchflow.operators.reshape import stack
 
@@ -33,62 +34,85 @@ def newest_file(files: DataFrame) -> DataFrame:
     return files.orderBy(*order, F.col("source_file").desc()).limit(1)
 
 
-def _header_groups(spark: SparkSession, paths: Sequence[str]) -> list[list[str]]:
-    """Paths grouped by their header line: a first-line read per file, a few at a time."""
+def headers(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """(path, header): the first line of each file that is not blank; files without one give no row.
 
-    def header(path: str) -> str:
-        first = spark.read.text(path).head(1)
-        return first[0][0] if first else ""
-
-    with ThreadPoolExecutor(max_workers=8) as pool:
-        headers = list(pool.map(header, paths))
-    groups: dict[str, list[str]] = {}
-    for path, line in zip(paths, headers):
-        if line:
-            groups.setdefault(line, []).append(path)
-    return list(groups.values())
+    One job for any number of files. Lines are compared by their place, so only the
+    first of each task is kept before the shuffle.
+    """
+    place = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"), "value")
+    lines = spark.read.text(list(paths)).select(F.col("_metadata.file_path").alias("path"), place.alias("at"))
+    first = lines.filter(F.trim("at.value") != "").groupBy("path").agg(F.min("at").alias("at"))
+    return first.select("path", F.col("at.value").alias("header"))
 
 
 def read_raw(
-    spark: SparkSession, paths: str | Sequence[str], now: dt.datetime | None = None, multi_line: bool = False
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    now: dt.datetime | None = None,
+    multi_line: bool = False,
+    required: Sequence[str] = (),
 ) -> DataFrame:
     """CSV files as strings with cleaned names and lineage; '' and `NA` are null.
 
     Spark applies one header to all files of a read, by position, so files whose
     columns are ordered differently would be swapped silently. Files are therefore
-    read in one group per distinct header and put together by column name.
+    read in one group per distinct header and put together by column name. Blank lines
+    before the header are passed over; a file without any other line has no rows.
+    `required` names (cleaned) columns that every file must have.
     `multi_line` allows line breaks inside quotes, at the price of one task per file.
     """
     if isinstance(paths, str):
         paths = [r["path"] for r in list_inputs(spark, paths).select("path").orderBy("path").collect()]
     if not paths:
         raise FileNotFoundError("no CSV files found")
+    found = headers(spark, paths)
+    if required:
+        require_headers(found, paths, required)
     frames = []
-    for group in _header_groups(spark, paths):
-        raw = spark.read.csv(group, header=True, inferSchema=False, quote='"', escape='"', multiLine=multi_line)
+    # One row per distinct header; file names only.
+    for group in found.groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths")).orderBy("header").collect():
+        raw = spark.read.csv([unquote(p) for p in group["paths"]], header=True, inferSchema=False, quote='"', escape='"', multiLine=multi_line)
         names = raw.columns
         tagged = raw.select(*[F.col(f"`{c}`") for c in names], F.col("_metadata.file_path").alias("_path"))
         text = clean_names(tagged.drop("_path"))
         frame = tagged.toDF(*text.columns, "_path")
         frames.append(blanks_to_null(frame, text.columns))
     if not frames:
-        raise ValueError("all CSV files are empty")
+        frames = [spark.createDataFrame([], "_path string")]
     return with_lineage(stack(frames), now)
 
 
+def require_headers(found: DataFrame, paths: Sequence[str], required: Sequence[str]) -> None:
+    """Raise if a file lacks a required column; a file without a header lacks them all."""
+    known = found.select("header").distinct().collect()  # a few distinct header lines
+    for (line,) in known:
+        names = clean_name_list([c.strip().strip('"') for c in line.split(",")])
+        absent = [c for c in required if c not in names]
+        if absent:
+            raise ValueError(f"missing required columns: {', '.join(absent)} in a file with the header {line[:200]}")
+    if found.count() < len(set(paths)):
+        raise ValueError(f"missing required columns: {', '.join(required)} in an empty file")
+
+
+def _file_name(path: Column) -> Column:
+    """Base name of an encoded path, where a plus sign is a plus sign."""
+    return F.url_decode(F.replace(F.element_at(F.split(path, "/"), -1), F.lit("+"), F.lit("%2B")))
+
+
 def with_lineage(df: DataFrame, now: dt.datetime | None = None, path_col: str = "_path") -> DataFrame:
     """Tag rows with `source_file` (base name) and `date_imported` (naive local time)."""
     stamp = F.lit(now).cast("timestamp_ntz") if now is not None else local_now()
-    name = F.url_decode(F.element_at(F.split(path_col, "/"), -1))
+    name = _file_name(F.col(path_col))
     return df.withColumns({"source_file": name, "date_imported": stamp}).drop(path_col)
 
 
 def raw_line_counts(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Lines minus the header per file. A line break inside quotes counts as a line."""
+    """Lines minus the header per file, blank lines aside. A line break inside quotes counts as a line."""
     if isinstance(paths, str):
         lines = spark.read.option("pathGlobFilter", CSV_GLOB).text(paths)
     else:
         lines = spark.read.text(list(paths))
-    name = F.url_decode(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1))
-    counts = lines.select(name.alias("source_file")).groupBy("source_file").agg(F.count(F.lit(1)).alias("n"))
+    name = _file_name(F.col("_metadata.file_path"))
+    counts = lines.filter(F.trim("value") != "").select(name.alias("source_file")).groupBy("source_file").agg(F.count(F.lit(1)).alias("n"))
     return counts.select("source_file", F.greatest(F.lit(0).cast("long"), F.col("n") - 1).alias("raw_count"))

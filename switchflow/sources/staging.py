@@ -8,7 +8,7 @@ readers keep only files listed there.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -18,7 +18,8 @@ from switchflow.schema import STAGING
 from switchflow.sources.manifest import mark_done, read_manifest
 from switchflow.sources.raw import read_raw
 
-BATCH_SIZE = 5
+# Bytes of CSV in a batch: a batch is one write, and one new file in the manifest.
+BATCH_BYTES = 1 << 38
 
 
 def base_name(path: str) -> str:
@@ -35,32 +36,44 @@ def replace_sources(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("source_file").parquet(path)
 
 
+def batches(files: Sequence[tuple[str, int]], batch_size: int | None = None, batch_bytes: int = BATCH_BYTES) -> Iterator[list[str]]:
+    """Paths in batches of `batch_size` files, or else of `batch_bytes`; at least one file each."""
+    batch, size = [], 0
+    for path, length in files:
+        if batch and (len(batch) == batch_size if batch_size else size + length > batch_bytes):
+            yield batch
+            batch, size = [], 0
+        batch.append(path)
+        size += length
+    if batch:
+        yield batch
+
+
 def load_batches(
     spark: SparkSession,
-    files: Sequence[str],
+    files: Sequence[tuple[str, int]],
     staging_path: str,
     manifest_path: str,
-    batch_size: int = BATCH_SIZE,
+    batch_size: int | None = None,
     now: dt.datetime | None = None,
     on_batch: Callable[[DataFrame, list[str]], None] | None = None,
 ) -> list[str]:
-    """Load files in all-or-nothing batches; returns the names loaded.
+    """Load files (path, bytes) in all-or-nothing batches; returns the names loaded.
 
     Files already in the manifest are skipped. A batch that fails leaves the manifest
     as it was, so none of its rows are visible, and running again replaces whatever
     partitions it had written. Later batches do not run.
     """
     known = {r[0] for r in read_manifest(spark, manifest_path).collect()}  # file names only
-    todo = [f for f in files if base_name(f) not in known]
+    todo = [f for f in files if base_name(f[0]) not in known]
     loaded: list[str] = []
-    for at in range(0, len(todo), batch_size):
-        batch = todo[at : at + batch_size]
+    for batch in batches(todo, batch_size):
         names = [base_name(f) for f in batch]
         rows = conform(read_raw(spark, batch, now))
         if on_batch:
             on_batch(rows, names)
         replace_sources(rows, staging_path)
-        mark_done(spark, names, manifest_path)
+        mark_done(spark, names, manifest_path, are_new=True)
         loaded += names
     return loaded
 

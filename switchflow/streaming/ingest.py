@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from switchflow.operators.conform import conform
-from switchflow.operators.quality import assert_ids
+from switchflow.operators.quality import GATE_COLUMNS, assert_ids
 from switchflow.sources.manifest import mark_done
 from switchflow.sources.raw import CSV_GLOB, read_raw
 from switchflow.sources.staging import base_name, replace_sources
@@ -42,7 +42,7 @@ def ingest_stream(
         paths = [r["path"] for r in batch.select("path").orderBy("path").collect()]  # file names only
         if not paths:
             return
-        rows = conform(read_raw(spark, paths, now))
+        rows = conform(read_raw(spark, paths, now, required=GATE_COLUMNS if lookup is not None else ()))
         if lookup is not None:
             assert_ids(rows, lookup)
         replace_sources(enrich(rows) if enrich else rows, output_path)

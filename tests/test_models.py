@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from switchflow.operators import models
+from switchflow.operators import models, topk
 from tests.conftest import rows
 
 
@@ -100,3 +100,23 @@ def test_model_frame_keeps_a_zero_base(spark):
     )
     got = rows(models.model_frame(base).select("customer_count", "log_customer_size"))
     assert got == [(0, None), (1, 0.0)]
+
+
+def test_a_forest_does_not_depend_on_partitions(spark):
+    df = spark.range(400).selectExpr("CAST(id % 17 AS DOUBLE) AS a", "CAST(id % 5 AS DOUBLE) AS b", "CAST((id * 37) % 101 AS DOUBLE) AS y")
+    fits = [models.forest(df.repartition(n), "y", ["a", "b"], trees=5, per_split=1).model.toDebugString.partition("\n")[2] for n in (3, 8)]
+    assert fits[0] == fits[1]
+
+
+def test_nested_fits_use_the_same_rows(spark):
+    df = spark.range(60).selectExpr("CAST(id AS DOUBLE) AS a", "CASE WHEN id % 4 > 0 THEN CAST(id * id % 11 AS DOUBLE) END AS b", "CAST(id * 3 + id % 7 AS DOUBLE) AS y")
+    small, large = models.ols(df, "y", ["a"]), models.ols(df, "y", ["a", "b"])
+    with pytest.raises(ValueError, match="60 and 45 rows"):
+        models.compare_nested(spark, small, large)
+    small, large = models.nested(df, ["a"], ["a", "b"], "y")
+    assert (small.n, large.n) == (45, 45) and models.compare_nested(spark, small, large).head()["df"] == 1
+
+
+def test_positions_are_long(spark):
+    got = topk.positions(spark.range(50).repartition(7), [F.col("id").desc()], "at")
+    assert dict(got.dtypes)["at"] == "bigint" and {r["id"]: r["at"] for r in got.collect()} == {i: 49 - i for i in range(50)}

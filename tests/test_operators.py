@@ -145,7 +145,8 @@ def test_rates_use_the_previous_base(spark):
     got = {r["retailer"]: (r["active_nmis"], r["net_rate"]) for r in flows.net_change_rate(facts(spark, MOVES)).collect()}
     assert got == {None: (0, 0.0), "A": (1000, -1.0), "B": (500, 0.6), "C": (0, 0.0)}
     act = rows(flows.in_out_activity(facts(spark, MOVES)).select("retailer", "total_activity", "out_rate", "in_rate"))
-    assert act == [("A", 20, 1.5, 0.5), ("B", 17, 1.4, 2.0)]
+    assert act == [("A", 20, 1.5, 0.5), ("B", 17, 1.4, 2.0), ("C", 5, None, None)]
+    assert [r["retailer"] for r in flows.in_out_rates(facts(spark, MOVES)).collect()] == ["A", "B"]
 
 
 def test_size_flows_fall_back_to_the_last_day(spark):

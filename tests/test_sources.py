@@ -75,7 +75,7 @@ def test_bulk_load_is_all_or_nothing_and_repeatable(spark, tmp_path):
         if len(calls) == 2:
             raise RuntimeError("broken batch")
 
-    files = [str(source / n) for n in ("a.csv", "b.csv", "c.csv")]
+    files = [(str(source / n), 100) for n in ("a.csv", "b.csv", "c.csv")]
     with pytest.raises(RuntimeError):
         staging.load_batches(spark, files, **paths, batch_size=2, now=NOW, on_batch=fail_second)
     done = manifest.read_manifest(spark, paths["manifest_path"])
@@ -93,6 +93,71 @@ def test_bulk_load_is_all_or_nothing_and_repeatable(spark, tmp_path):
     assert all(r["has_null_dates"] for r in report.values())  # two date columns are absent
 
 
+def spaced(path):
+    path.mkdir(exist_ok=True)
+    (path / "blank.csv").write_text("\n  \n" + "\n".join([HEADER, "", *LINES[:2]]) + "\n")
+    (path / "plain.csv").write_text("\n".join([HEADER, LINES[2]]) + "\n")
+    (path / "empty.csv").write_text("\n")  # Spark does not list files of no bytes
+    (path / "header.csv").write_text(HEADER + "\n")
+
+
+def test_no_file_is_lost_to_blank_lines(spark, tmp_path):
+    spaced(tmp_path / "in")
+    paths = dict(staging_path=str(tmp_path / "staging"), manifest_path=str(tmp_path / "manifest"))
+    assert sorted(bulk_load.run_bulk_load(spark, str(tmp_path / "in"), **paths)) == ["blank.csv", "empty.csv", "header.csv", "plain.csv"]
+    staged = staging.read_staging(spark, paths["staging_path"], manifest.read_manifest(spark, paths["manifest_path"]))
+    assert rows(staged.groupBy("source_file").count()) == [("blank.csv", 2), ("plain.csv", 1)]
+    report = {r["source_file"]: r for r in bulk_load.audit(spark, str(tmp_path / "in"), **paths).collect()}
+    assert not any(r["has_mismatch"] for r in report.values())
+    gone = {r["source_file"]: r for r in bulk_load.audit(spark, str(tmp_path / "in"), paths["staging_path"], paths["manifest_path"]).collect()}
+    assert gone["empty.csv"]["is_missing"] and gone["empty.csv"]["raw_count"] is None
+
+
+def test_a_file_without_staged_rows_is_a_mismatch(spark, tmp_path):
+    put(tmp_path / "in", "a.csv")
+    put(tmp_path / "in", "b.csv")
+    paths = dict(staging_path=str(tmp_path / "staging"), manifest_path=str(tmp_path / "manifest"))
+    staging.load_batches(spark, [(str(tmp_path / "in" / "a.csv"), 1)], **paths, now=NOW)
+    manifest.mark_done(spark, ["b.csv"], paths["manifest_path"])
+    report = {r["source_file"]: r for r in bulk_load.audit(spark, str(tmp_path / "in"), **paths).collect()}
+    assert report["b.csv"]["has_mismatch"] and report["b.csv"]["is_missing"] and not report["a.csv"]["has_mismatch"]
+
+
+def test_stream_keeps_files_with_blank_lines(spark, tmp_path):
+    spaced(tmp_path / "in")
+    ingest_stream(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "state"), str(tmp_path / "manifest"), now=NOW).awaitTermination()
+    assert rows(staging.read_staging(spark, str(tmp_path / "out")).groupBy("source_file").count()) == [("blank.csv", 2), ("plain.csv", 1)]
+    assert manifest.read_manifest(spark, str(tmp_path / "manifest")).count() == 4
+
+
+def test_headers_take_one_job_for_any_number_of_files(spark, tmp_path):
+    for i in range(12):
+        put(tmp_path / "in", f"f{i}.csv")
+    found = raw.headers(spark, [str(tmp_path / "in" / f"f{i}.csv") for i in range(12)])
+    assert found.count() == 12 and found.select("header").distinct().count() == 1
+
+
+def test_batches_by_bytes():
+    files = [("a", 5), ("b", 5), ("c", 20), ("d", 1)]
+    assert list(staging.batches(files, batch_bytes=10)) == [["a", "b"], ["c"], ["d"]]
+    assert list(staging.batches(files, batch_size=3)) == [["a", "b", "c"], ["d"]]
+
+
+@pytest.mark.parametrize("absent", ["STAT_SHORTCUT", "FRMP", "NMICLASSCODE"])
+def test_extracts_without_the_gate_columns_are_refused(spark, tmp_path, absent):
+    lookups_at(spark, tmp_path)
+    where = monthly.Paths(raw=str(tmp_path / "in"), **{k: str(tmp_path / k) for k in ("staging", "manifest", "enriched", "entities", "codes")})
+    put(tmp_path / "in", "m.csv", header=HEADER.replace(f",{absent},", ",OTHER,"))
+    with pytest.raises(ValueError, match=absent.lower()):
+        monthly.run_month(spark, where, now=NOW)
+    assert manifest.read_manifest(spark, where.manifest).isEmpty() and not os.path.exists(where.staging)
+    put(tmp_path / "in", "whole.csv")  # a good file beside it does not help
+    lookup = spark.read.parquet(f"{tmp_path}/entities")
+    with pytest.raises(Exception, match=absent.lower()):
+        ingest_stream(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "state"), where.manifest, lookup, now=NOW).awaitTermination()
+    assert manifest.read_manifest(spark, where.manifest).isEmpty()
+
+
 def test_rows_outside_the_manifest_stay_invisible(spark, tmp_path):
     path = str(tmp_path / "staging")
     rows_in = spark.createDataFrame([("x.csv", 1), ("201801", 2)], "source_file string, id_mts2 int")
