@@ -57,7 +57,7 @@ def exact_quantiles(
     2. Rows outside all enclosures are only counted; rows inside are counted per
        distinct value. Both happen in one map-side combined aggregation, so a hot
        group arrives as a few thousandths of its rows.
-    3. A running count over those cells finds the exact ranks.
+    3. Running counts over those cells, cut into ranges, find the exact ranks.
 
     `df` is read twice: pass a written frame if it is expensive to compute. Groups
     without any non-null value do not appear.
@@ -95,12 +95,50 @@ def exact_quantiles(
         .groupBy(*keys, "_n", "_at", "_gap")
         .agg(F.count(F.lit(1)).alias("_c"))
     )
-    run = (
-        W.partitionBy(*(keys or [F.lit(0)]))
-        .orderBy(F.col("_at").asc_nulls_first(), "_gap")
-        .rowsBetween(W.unboundedPreceding, W.currentRow)
-    )
-    ranked = cells.withColumn("_to", F.sum("_c").over(run))
+    return _at_ranks(cells, keys, probs, names)
+
+
+def weighted_quantiles(cells: DataFrame, keys: Sequence[str], value: str, count: str, probs: dict[str, float]) -> DataFrame:
+    """`exact_quantiles` of values that are counted already; null and NaN values have no rank.
+
+    `cells` is read several times: pass a written frame.
+    """
+    if not keys:
+        return weighted_quantiles(cells.withColumn("_all", F.lit(0)), ["_all"], value, count, probs).drop("_all")
+    keys = list(keys)
+    v = _col(value).cast("double")
+    own = cells.select(*keys, v.alias("_at"), _col(count).cast("long").alias("_c")).filter(F.col("_at").isNotNull() & ~F.isnan("_at"))
+    own = own.groupBy(*keys, "_at").agg(F.sum("_c").alias("_c"))
+    sizes = own.groupBy(*keys).agg(F.sum("_c").alias("_n"))
+    sized = join_nullsafe(own, sizes, keys, "inner")
+    return _at_ranks(sized.withColumn("_gap", F.lit(0)), keys, probs, sorted(probs, key=lambda n: probs[n]))
+
+
+def _at_ranks(cells: DataFrame, keys: list[str], probs: dict[str, float], names: list[str], buckets: int = 256) -> DataFrame:
+    """Interpolated quantiles from cells (keys, _n, _at, _gap, _c): counts in the order (_at, _gap).
+
+    The cells of a group are cut at sketched bounds into `buckets` ranges. Totals of the
+    ranges, a bounded number per group, tell which ranges hold the wanted ranks; running
+    counts are taken inside those alone.
+    """
+    if not keys:
+        return _at_ranks(cells.withColumn("_all", F.lit(0)), ["_all"], probs, names, buckets).drop("_all")
+    cuts = [i / buckets for i in range(1, buckets)]
+    bounds = cells.filter("_gap = 0").groupBy(*keys).agg(F.percentile_approx("_at", cuts, 10 * buckets).alias("_b"))
+    smaller = F.when(F.col("_at").isNull(), 0).otherwise(F.size(F.filter("_b", lambda b: b < F.col("_at"))))
+    placed = join_nullsafe(cells, bounds, keys, "inner").withColumn("_k", smaller).drop("_b")
+    totals = placed.groupBy(*keys, "_n", "_k").agg(F.sum("_c").alias("_t"))
+    before = W.partitionBy(*keys).orderBy("_k").rowsBetween(W.unboundedPreceding, -1)
+    offsets = totals.withColumn("_o", F.coalesce(F.sum("_t").over(before), F.lit(0)))
+    pos = {name: (F.col("_n") - 1) * F.lit(float(probs[name])) for name in names}
+    ranks = [rank for p in pos.values() for rank in (F.floor(p) + 1, F.ceil(p) + 1)]
+    wanted = F.lit(False)
+    for rank in ranks:
+        wanted = wanted | ((F.col("_o") < rank) & (F.col("_o") + F.col("_t") >= rank))
+    held = offsets.filter(wanted).select(*keys, "_k", "_o")
+    inside = join_nullsafe(placed, held, [*keys, "_k"], "inner")
+    run = W.partitionBy(*keys, "_k").orderBy(F.col("_at").asc_nulls_first(), "_gap").rowsBetween(W.unboundedPreceding, W.currentRow)
+    ranked = inside.withColumn("_to", F.col("_o") + F.sum("_c").over(run))
 
     def at_rank(rank: Column) -> Column:
         hit = (F.col("_gap") == 0) & (F.col("_to") >= rank) & (F.col("_to") - F.col("_c") < rank)
@@ -108,19 +146,14 @@ def exact_quantiles(
 
     found = []
     for i, name in enumerate(names):
-        pos = (F.col("_n") - 1) * F.lit(float(probs[name]))
-        found += [
-            at_rank(F.floor(pos) + 1).alias(f"_lo{i}"),
-            at_rank(F.ceil(pos) + 1).alias(f"_hi{i}"),
-        ]
+        found += [at_rank(F.floor(pos[name]) + 1).alias(f"_lo{i}"), at_rank(F.ceil(pos[name]) + 1).alias(f"_hi{i}")]
     hits = ranked.groupBy(*keys, "_n").agg(*found)
     out = []
     for i, name in enumerate(names):
-        pos = (F.col("_n") - 1) * F.lit(float(probs[name]))
         lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
         # The sketch's error bound rules a miss out; should it ever happen, fail loudly.
         lo = F.when(lo.isNull() | hi.isNull(), F.raise_error(F.lit(f"quantile {name}: rank not enclosed"))).otherwise(lo)
-        out.append((lo + (pos - F.floor(pos)) * (hi - lo)).alias(name))
+        out.append((lo + (pos[name] - F.floor(pos[name])) * (hi - lo)).alias(name))
     return hits.select(*keys, *out)
 
 

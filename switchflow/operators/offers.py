@@ -9,9 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from switchflow.functions.labels import CONDITIONAL, GUARANTEED, NO_DISCOUNT, contract_years, offer_category
-from switchflow.functions.stats import average_rank, exact_median, pct, pct_in
+from switchflow.functions.stats import average_rank, weighted_quantiles
 from switchflow.operators.joins import active_on, dense_grid, join_nullsafe, left_join_nullsafe
 from switchflow.operators.periods import latest_per_key
+from switchflow.session import materialize
 
 PRICE = "total_bill_pre_transaction"
 
@@ -52,31 +53,55 @@ def prepare_offers(df: DataFrame) -> DataFrame:
     return dated.withColumn("offer_category", offer_category("has_discount", "has_disc_conditional"))
 
 
-def snapshot_metrics(active: DataFrame, keys: Sequence[str] = ("date", "retailer")) -> DataFrame:
-    """Count, price range, class shares, terms and fees of the active offers per cell.
+def price_cells(active: DataFrame, keys: Sequence[str] = ("date", "retailer")) -> DataFrame:
+    """Counts and sums of the active offers per cell and price: all that the snapshot's measures need."""
+    kind, incentive = F.col("offer_category"), F.col("has_incentive")
 
-    Everything here combines on the map side; the median is computed apart.
-    """
-    kind = F.col("offer_category")
-    return active.groupBy(*keys).agg(
+    def share(condition: Column, name: str) -> list[Column]:
+        return [F.count_if(condition).alias(f"{name}_yes"), F.count(condition).alias(f"{name}_n")]
+
+    def mean(value: Column, name: str) -> list[Column]:
+        return [F.sum(value.cast("double")).alias(f"{name}_sum"), F.count(value).alias(f"{name}_n")]
+
+    solar = F.coalesce(F.col("solar_offer").isin("Yes", "Optional"), F.lit(False))
+    return active.groupBy(*keys, PRICE).agg(
         F.count(F.lit(1)).alias("n_offers"),
+        *share(kind == GUARANTEED, "guaranteed"),
+        *share(kind == CONDITIONAL, "conditional"),
+        *share(kind == NO_DISCOUNT, "no_discount"),
+        *mean(contract_years("contract_term"), "term"),
+        *share(solar, "solar"),
+        *share(incentive == "Yes", "incentive"),
+        *mean(F.col("total_annual_fee"), "annual_fee"),
+        *mean(F.col("total_late_payment_fee"), "late_fee"),
+        F.min("cprg_retailer_size").alias("cprg_retailer_size"),
+    )
+
+
+def snapshot_metrics(cells: DataFrame, keys: Sequence[str] = ("date", "retailer")) -> DataFrame:
+    """Count, price range, class shares, terms and fees per cell, from `price_cells`."""
+    pct = lambda name: (F.sum(f"{name}_yes") / F.nullif(F.sum(f"{name}_n"), F.lit(0)) * 100)
+    mean = lambda name: F.sum(f"{name}_sum") / F.nullif(F.sum(f"{name}_n"), F.lit(0))
+    return cells.groupBy(*keys).agg(
+        F.sum("n_offers").alias("n_offers"),
         F.min(PRICE).alias("min_price"),
         F.max(PRICE).alias("max_price"),
-        pct(kind == GUARANTEED).alias("pct_guaranteed_discount"),
-        pct(kind == CONDITIONAL).alias("pct_conditional_discount"),
-        pct(kind == NO_DISCOUNT).alias("pct_no_discount"),
-        F.avg(contract_years("contract_term")).alias("avg_contract_term"),
-        pct_in("solar_offer", ["Yes", "Optional"]).alias("pct_solar_available"),
-        pct(F.col("has_incentive") == "Yes").alias("pct_with_incentive"),
-        F.avg("total_annual_fee").alias("avg_annual_fee"),
-        F.avg("total_late_payment_fee").alias("avg_late_fee"),
+        pct("guaranteed").alias("pct_guaranteed_discount"),
+        pct("conditional").alias("pct_conditional_discount"),
+        pct("no_discount").alias("pct_no_discount"),
+        mean("term").alias("avg_contract_term"),
+        pct("solar").alias("pct_solar_available"),
+        pct("incentive").alias("pct_with_incentive"),
+        mean("annual_fee").alias("avg_annual_fee"),
+        mean("late_fee").alias("avg_late_fee"),
         F.min("cprg_retailer_size").alias("cprg_retailer_size"),
     )
 
 
 def market_median(active: DataFrame) -> DataFrame:
     """Median price of all active offers per week."""
-    return exact_median(active, ["date"], PRICE, "vic_median")
+    counts = active.groupBy("date", PRICE).agg(F.count(F.lit(1)).alias("n_offers"))
+    return weighted_quantiles(materialize(counts, "prices"), ["date"], PRICE, "n_offers", {"vic_median": 0.5})
 
 
 def price_vs_market(df: DataFrame) -> DataFrame:
@@ -91,16 +116,15 @@ def offer_snapshots(
 ) -> DataFrame:
     """One row per (Monday, retailer) with the metrics of the offers active that day.
 
-    Offers generate the Mondays they cover once, and all cells come from grouped
-    aggregates. `dense` adds the empty cells (`n_offers` = 0) of every retailer.
-    Pass written offers (`session.materialize`): each measure reads them again, which
-    is cheap from a table and repeats the latest-sighting join otherwise.
+    Offers generate the Mondays they cover once, and are summed once to (Monday,
+    retailer, price); that written frame gives every measure and both medians. `dense`
+    adds the empty cells (`n_offers` = 0) of every retailer.
     """
     cell = ["date", "retailer"]
-    active = active_on(offers, start, end)
-    cells = snapshot_metrics(active, cell)
-    cells = left_join_nullsafe(cells, exact_median(active, cell, PRICE, "median_price"), cell)
-    cells = left_join_nullsafe(cells, market_median(active), ["date"])
+    prices = materialize(price_cells(active_on(offers, start, end), cell), "price-cells")
+    medians = [weighted_quantiles(prices, keys, PRICE, "n_offers", {name: 0.5}) for keys, name in ((cell, "median_price"), (["date"], "vic_median"))]
+    cells = left_join_nullsafe(snapshot_metrics(prices, cell), medians[0], cell)
+    cells = left_join_nullsafe(cells, medians[1], ["date"])
     # A grid cell of an unknown retailer never matches an offer.
     cells = price_vs_market(cells.filter(F.col("retailer").isNotNull()))
     if dense:

@@ -170,3 +170,23 @@ def test_average_rank_both_ways(spark):
             places = [i + 1 for i, x in enumerate(a) if x == v]
             assert r == sum(places) / len(places)
     assert ("b", None, None) in window and (None, 2.0, 2.5) in window
+
+
+def test_quantiles_rank_inside_ranges_only(spark):
+    from switchflow.functions import stats
+
+    df = spark.range(500).selectExpr("id % 3 AS k", "CAST(id AS DOUBLE) AS v")
+    plan = stats.exact_quantiles(df, ["k"], "v", {"q": 0.25})._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    # One window over the totals of the ranges, at most 256 a group; the other one by range too.
+    assert len(windows) == 2 and sum("_k#" in line.split("windowspecdefinition(")[1].split(" ASC")[0].rpartition(",")[0] for line in windows) == 1
+
+
+def test_weighted_quantiles_equal_those_of_repeated_values(spark):
+    from switchflow.functions import stats
+
+    df = spark.range(900).selectExpr("id % 4 AS k", "CAST((id * 37) % 53 AS DOUBLE) AS v")
+    cells = df.groupBy("k", "v").count()
+    probs = {"a": 0.1, "m": 0.5, "z": 0.93}
+    assert sorted(stats.weighted_quantiles(cells, ["k"], "v", "count", probs).collect()) == sorted(stats.exact_quantiles(df, ["k"], "v", probs).collect())
+    assert stats.weighted_quantiles(cells, [], "v", "count", probs).collect() == stats.exact_quantiles(df, [], "v", probs).collect()
