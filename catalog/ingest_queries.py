@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import time
-
 import datetime as dt
+import time
 
 from pyspark.sql import functions as F
 
-from catalog.registry import query, raw
+from catalog.registry import FIN_QUARTER, FIN_YEAR, query, raw
 from catalog.views import FX_ENTITY_SOURCE, FX_RAW, spark_view, table
 from switchflow.operators import conform as conforming
 from switchflow.operators import joins, lookups, quality, reshape
@@ -485,23 +484,34 @@ def exported_results(spark, d):
     return spark.read.csv(paths["counts"], header=True)
 
 
-_RETAILERS = """people AS (SELECT concat('P', CAST(s_suppkey AS VARCHAR)) AS id, concat('L', CAST(s_nationkey AS VARCHAR)) AS licence, n_name,
- CASE s_nationkey % 4 WHEN 0 THEN 'Small' WHEN 1 THEN 'Medium' WHEN 2 THEN 'Large' END AS size FROM supplier JOIN nation ON s_nationkey = n_nationkey)"""
-_VIEW_SQL = f"""{CONF}, {_RETAILERS}, v AS (SELECT CAST(stat_date AS DATE) AS stat_date, conf.*, f.licence AS ESC_FRMP, f.n_name AS FRMP_Retailer_name, f.size AS FRMP_Retailer_size,
+_PEOPLE = """SELECT concat('P', CAST(s_suppkey AS VARCHAR(20))) AS id, concat('L', CAST(s_nationkey AS VARCHAR(20))) AS licence_common_id, n_name AS retailer_name,
+ CASE s_nationkey % 4 WHEN 0 THEN 'Small' WHEN 1 THEN 'Medium' WHEN 2 THEN 'Large' END AS retailer_size FROM supplier JOIN nation ON s_nationkey = n_nationkey
+ UNION ALL SELECT concat('C', CAST(n_nationkey AS VARCHAR(20))), concat('K', CAST(n_regionkey AS VARCHAR(20))), concat('Group ', n_name),
+ CASE n_regionkey WHEN 0 THEN 'Small' WHEN 1 THEN 'Large' END FROM nation WHERE n_nationkey <> 9"""
+_VIEW_KEYS = """Year, Month, FinYear, FinYearQuarter, stat_shortcut, crcode, ESC_FRMP, ESC_NEWFRMP, FRMP_Retailer_name, NEWFRMP_Retailer_name,
+ FRMP_Retailer_size, NEWFRMP_Retailer_size, transfer_type"""
+_VIEW_SQL = f"""{CONF}, people AS ({_PEOPLE}), v AS (SELECT conf.* REPLACE (CAST(stat_date AS DATE) AS stat_date), CAST(year(stat_date) AS INT) AS Year, CAST(month(stat_date) AS INT) AS Month,
+ {FIN_YEAR} AS FinYear, {FIN_QUARTER} AS FinYearQuarter, f.licence_common_id AS ESC_FRMP, f.retailer_name AS FRMP_Retailer_name, f.retailer_size AS FRMP_Retailer_size,
+ t.licence_common_id AS ESC_NEWFRMP, t.retailer_name AS NEWFRMP_Retailer_name, t.retailer_size AS NEWFRMP_Retailer_size,
  CASE WHEN crcode IN ('1010','1020','1030','1040') THEN 'Change Retailer' WHEN crcode IN ('1050','1060') THEN 'Move-in' ELSE 'Other' END AS transfer_type
- FROM conf LEFT JOIN people f ON f.id = conf.frmp)
-SELECT CAST(year(stat_date) AS INT) AS Year, ESC_FRMP, FRMP_Retailer_name, FRMP_Retailer_size, transfer_type, count(*) AS n, CAST(sum(stat_value) AS BIGINT) AS v FROM v GROUP BY ALL"""
+ FROM conf LEFT JOIN people f ON f.id = conf.frmp LEFT JOIN people t ON t.id = conf.newfrmp)
+SELECT {_VIEW_KEYS}, count(*) AS n, CAST(sum(stat_value) AS BIGINT) AS v, CAST(sum(id_mts2) AS BIGINT) AS ids, min(stat_date) AS first_date, max(stat_date) AS last_date,
+ count(frmp) AS n_from, count(newfrmp) AS n_to, min(frmp) AS min_from, max(newfrmp) AS max_to, CAST(0 AS BIGINT) AS n_lnsp, CAST(0 AS BIGINT) AS n_lr FROM v GROUP BY ALL"""
 
 
 def people(spark, d):
-    sql = """SELECT concat('P', CAST(s_suppkey AS VARCHAR(20))) AS id, concat('L', CAST(s_nationkey AS VARCHAR(20))) AS licence_common_id, n_name AS retailer_name,
- CASE s_nationkey % 4 WHEN 0 THEN 'Small' WHEN 1 THEN 'Medium' WHEN 2 THEN 'Large' END AS retailer_size FROM supplier JOIN nation ON s_nationkey = n_nationkey"""
-    return spark_view(spark, d, sql)
+    return spark_view(spark, d, _PEOPLE)
 
 
 def view_totals(df):
-    keys = ["Year", "ESC_FRMP", "FRMP_Retailer_name", "FRMP_Retailer_size", "transfer_type"]
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.sum("stat_value").alias("v"))
+    """Every column of the view: the labels as keys, the rest summed or counted."""
+    keys = [c.strip() for c in _VIEW_KEYS.split(",")]
+    count = {"n_from": "frmp", "n_to": "newfrmp", "n_lnsp": "lnsp", "n_lr": "lr"}
+    return df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("stat_value").alias("v"), F.sum("id_mts2").alias("ids"),
+        F.min("stat_date").alias("first_date"), F.max("stat_date").alias("last_date"),
+        F.min("frmp").alias("min_from"), F.max("newfrmp").alias("max_to"), *[F.count(c).alias(n) for n, c in count.items()],
+    )
 
 
 @query("enriched_view", _VIEW_SQL)
@@ -514,14 +524,14 @@ def enriched_view(spark, d):
 
 @query("upsert_by_source", _VIEW_SQL)
 def upsert_by_source(spark, d):
-    """Each file's rows enriched and written twice: the result is that of once."""
+    """All files' rows enriched and written, then one file's again: the result is that of once."""
     base = scratch_path(spark, "upsert")
     staging.replace_sources(conformed(spark, d), f"{base}/staging")
     staged = staging.read_staging(spark, f"{base}/staging")
     persons, codes = people(spark, d), code_lookup(spark, d)
-    names = [r[0] for r in staged.select("source_file").distinct().collect()]  # file names only
-    for name in [*names, names[0]]:
-        staging.upsert_by_source(staged, f"{base}/out", name, lambda df: joins.enrich(frames.with_calendar(df), persons, codes))
+    names = staged.select("source_file").distinct()
+    for files in (names, "extract_1997.csv"):
+        staging.upsert_by_source(staged, f"{base}/out", files, lambda df: joins.enrich(frames.with_calendar(df), persons, codes))
     return view_totals(frames.read_view(spark, path=f"{base}/out"))
 
 

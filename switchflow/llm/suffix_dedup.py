@@ -8,6 +8,7 @@ Three steps, each bounded per task however common a string is:
    share and then sends each anchor once.
 2. The bytes around repeated anchors (exactly the windows that belong to the anchor) are
    brought together by anchor, equal ones of a task as one.
+   Of documents with one text only the smallest takes part; the others lose it whole.
 3. Where the surroundings of an anchor differ, the suffixes that start in them are sorted
    to `length` bytes: multikey quicksort in characters of eight bytes to a shallow depth,
    then blind tries for groups that still share their prefix. Suffixes with `length` bytes
@@ -20,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,6 +34,8 @@ GRAM = 16
 SHALLOW = 3  # characters of eight bytes that the quicksort looks at
 CHUNK_BYTES, CHUNK_DOCS = 8 << 20, 60_000
 PIECE = 1 << 20  # windows of a text that are winnowed at once
+SORTED = 1 << 19  # suffixes after which a sort takes no further anchor
+BUCKETS = 4  # per shuffle partition
 _DRAW = np.random.default_rng(7)
 BYTE = _DRAW.integers(1 << 63, size=256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 BASE = 0x9E3779B97F4A7C15
@@ -279,7 +283,7 @@ def _repeated(docs: DataFrame, buckets: int) -> DataFrame:
         out = []
         if keys:
             doc, key = np.concatenate(docs_), np.concatenate(keys)
-            out = [(int(ids[d]), np.sort(key[part]).tobytes()) for d, part in _by_bucket(doc.astype(np.int64))]
+            out = [(int(ids[d]), _pack(np.sort(key[part]).tobytes())) for d, part in _by_bucket(doc.astype(np.int64))]
         return pa.Table.from_batches([_batch(out, [pa.int64(), pa.binary()], "doc_id long, keys binary")])
 
     asked = docs.select("doc_id", "b").mapInArrow(request, packed)
@@ -287,6 +291,32 @@ def _repeated(docs: DataFrame, buckets: int) -> DataFrame:
     return answered.groupBy("chunk").applyInArrow(told, "doc_id long, keys binary")
 
 
+def _pack(data: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(data)
+
+
+def _unpack(data: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(data)
+
+
+def _packed(docs: DataFrame) -> DataFrame:
+    """docs (doc_id, th, b) with b compressed, for a shuffle."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=1).compress
+        for x in batches:
+            yield pa.RecordBatch.from_arrays([*x.columns[:2], pa.array([pack(t) for t in x.column(2).to_pylist()], pa.binary())], names=["doc_id", "th", "b"])
+
+    return docs.select("doc_id", "th", "b").mapInArrow(run, "doc_id long, th long, b binary")
+
+
+def _copies(docs: DataFrame) -> DataFrame:
+    """(doc_id, th): rows whose whole text a smaller document has."""
+    named = docs.select("doc_id", "th", F.md5("b").alias("text"))
+    least = materialize(named.groupBy("text").agg(F.min("doc_id").alias("least")), "equal-texts")
+    return named.join(least, "text").filter("doc_id > least").select("doc_id", "th").distinct()
+
+
 def _batch(rows: list[tuple], types: list, schema: str) -> pa.RecordBatch:
     names = [c.split()[0] for c in schema.split(", ")]
     columns = list(zip(*rows, strict=True)) if rows else [[] for _ in types]
@@ -294,11 +324,22 @@ def _batch(rows: list[tuple], types: list, schema: str) -> pa.RecordBatch:
 
 
 def _removed(docs: DataFrame, repeated: DataFrame, buckets: int) -> DataFrame:
-    """(doc_id, th, spans): spans are pairs of 64-bit numbers, the window starts that are repeats, [first, last]."""
+    """(doc_id, th, spans): spans are pairs of 64-bit numbers, the window starts that are repeats, [first, last].
+
+    repeated: (doc_id, keys, copies), copies the hashes of texts that are dealt with already.
+    """
     packed = "bucket long, chunk long, head binary, body binary"
 
+    def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for x in batches:
+            new = [th not in (skip or ()) for th, skip in zip(x.column(1).to_pylist(), x.column(3).to_pylist(), strict=True)]
+            x = x.filter(pa.array(new, pa.bool_()))
+            keys = [b"".join(map(_unpack, v)) for v in x.column(2).to_pylist()]
+            text = [_unpack(v) for v in x.column(4).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*x.columns[:2], *[pa.array(t, pa.binary()) for t in (keys, text)]], names=["doc_id", "th", "keys", "b"])
+
     def surround(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk, rows in _chunks(batches, 4):
+        for chunk, rows in _chunks(unpacked(batches), 4):
             # The same surroundings in several documents of the chunk: the smallest one stands for them.
             seen: dict[tuple[int, int, bytes], list[tuple[int, int]]] = {}
             for i, (_, _, keys, text) in enumerate(rows):
@@ -316,10 +357,10 @@ def _removed(docs: DataFrame, repeated: DataFrame, buckets: int) -> DataFrame:
                     else:
                         sent.setdefault(k >> 32, []).append((k & 0xFFFFFFFF, offset, i, body, a))
             own = np.array([(r[0], r[1]) for r in rows], "<i8")
-            out = [(-1 - chunk, chunk, b"ids", own.tobytes()), (-1 - chunk, chunk, b"spans", np.array(spans, "<i8").tobytes())]
+            out = [(-1 - chunk, chunk, b"ids", own.tobytes()), (-1 - chunk, chunk, b"spans", _spans(spans))]
             for b, entries in sent.items():
-                head = np.array([(k, offset, rows[i][0], i, a, len(body)) for k, offset, i, body, a in entries], "<i8")
-                out.append((b, chunk, head.tobytes(), b"".join(e[3] for e in entries)))
+                head = Head.write([(k, offset, rows[i][0], i, a, len(body)) for k, offset, i, body, a in entries])
+                out.append((b, chunk, head, _pack(b"".join(e[3] for e in entries))))
             yield _batch(out, [pa.int64(), pa.int64(), pa.binary(), pa.binary()], packed)
 
     def decide(t: pa.Table) -> pa.Table:
@@ -327,9 +368,9 @@ def _removed(docs: DataFrame, repeated: DataFrame, buckets: int) -> DataFrame:
         if bucket[0] < 0:
             return t.drop_columns(["bucket"])
         spans: dict[int, list[tuple[int, int, int]]] = {}
-        for chunk, i, a, b in repeats(chunks, heads, bodies):
+        for chunk, i, a, b in repeats(chunks, [Head.read(h) for h in heads], [_unpack(b) for b in bodies]):
             spans.setdefault(chunk, []).append((i, a, b))
-        out = [(c, b"spans", np.array(s, "<i8").tobytes()) for c, s in spans.items()]
+        out = [(c, b"spans", _spans(s)) for c, s in spans.items()]
         return pa.Table.from_batches([_batch(out, [pa.int64(), pa.binary(), pa.binary()], "chunk long, head binary, body binary")])
 
     def told(t: pa.Table) -> pa.Table:
@@ -338,36 +379,80 @@ def _removed(docs: DataFrame, repeated: DataFrame, buckets: int) -> DataFrame:
             if head == b"ids":
                 own = np.frombuffer(body, "<i8").reshape(-1, 2)
             else:
-                spans.append(np.frombuffer(body, "<i8").reshape(-1, 3))
+                spans.append(np.frombuffer(_unpack(body), "<u4").reshape(3, -1).T.astype("<i8"))
         every = np.concatenate(spans)
-        out = [(int(own[i, 0]), int(own[i, 1]), every[part, 1:].tobytes()) for i, part in _by_bucket(every[:, 0])]
+        out = [(int(own[i, 0]), int(own[i, 1]), _pack(merged(every[part, 1:]).tobytes())) for i, part in _by_bucket(every[:, 0])]
         return pa.Table.from_batches([_batch(out, [pa.int64(), pa.int64(), pa.binary()], "doc_id long, th long, spans binary")])
 
+    texts = _packed(docs)
     keys = repeated.withColumnRenamed("doc_id", "id2")
-    joined = docs.join(keys, docs["doc_id"] == keys["id2"]).select("doc_id", "th", "keys", "b")
+    joined = texts.join(keys, texts["doc_id"] == keys["id2"]).select("doc_id", "th", "keys", "copies", "b")
     around = joined.mapInArrow(surround, packed)
     decided = around.groupBy("bucket").applyInArrow(decide, "chunk long, head binary, body binary")
     return decided.groupBy("chunk").applyInArrow(told, "doc_id long, th long, spans binary")
 
 
-def repeats(chunks: list[int], heads: list[bytes], bodies: list[bytes]) -> Iterator[tuple[int, int, int, int]]:
+class Head:
+    """What is sent with surroundings: key, place of the anchor, document, its number in the chunk, start, size."""
+
+    KINDS = ("<u4", "<u1", "<i8", "<u2", "<u4", "<u1")
+
+    @classmethod
+    def write(cls, rows: list[tuple]) -> bytes:
+        return _pack(b"".join(np.array(c, kind).tobytes() for c, kind in zip(zip(*rows, strict=True), cls.KINDS, strict=True)))
+
+    @classmethod
+    def read(cls, data: bytes) -> list[tuple]:
+        data, out, at = _unpack(data), [], 0
+        n = len(data) // sum(np.dtype(k).itemsize for k in cls.KINDS)
+        for kind in cls.KINDS:
+            out.append(np.frombuffer(data, kind, n, at).tolist())
+            at += n * np.dtype(kind).itemsize
+        return list(zip(*out, strict=True))
+
+
+def _spans(rows: list[tuple[int, int, int]]) -> bytes:
+    return _pack(np.array(rows, "<u4").reshape(-1, 3).T.tobytes())
+
+
+def merged(pairs: np.ndarray) -> np.ndarray:
+    """[first, last] window starts put together where their bytes touch; as many windows, fewer pairs."""
+    pairs = pairs[np.argsort(pairs[:, 0], kind="stable")]
+    ends = np.maximum.accumulate(pairs[:, 1])
+    new = np.flatnonzero(np.concatenate(([True], pairs[1:, 0] > ends[:-1] + LENGTH)))
+    return np.stack([pairs[new, 0], np.append(ends[new[1:] - 1], ends[-1])], axis=1)
+
+
+def repeats(chunks: list[int], heads: list[list[tuple]], bodies: list[bytes]) -> Iterator[tuple[int, int, int, int]]:
     """(chunk, document, first, last): runs of window starts that a smaller document has too, among the surroundings of a bucket."""
-    classes: dict[tuple[int, int, bytes], list[tuple]] = {}
+    by_key: dict[int, dict[bytes, list[tuple]]] = {}
     for chunk, head, body in zip(chunks, heads, bodies, strict=True):
         at = 0
-        for k, offset, doc, i, a, n in np.frombuffer(head, "<i8").reshape(-1, 6).tolist():
-            classes.setdefault((k, offset, body[at : at + n]), []).append((doc, chunk, i, a))
+        for k, offset, doc, i, a, n in head:
+            # The place of the anchor goes first, as equal bytes with other anchors are other surroundings.
+            by_key.setdefault(k, {}).setdefault(bytes((offset,)) + body[at : at + n], []).append((doc, chunk, i, a))
             at += n
-    several: dict[int, list[tuple[bytes, list[tuple]]]] = {}
-    for (k, _, body), entries in classes.items():
-        least = min(e[0] for e in entries)
-        for doc, chunk, i, a in entries:
-            if doc > least:
-                yield chunk, i, a, a + len(body) - LENGTH
-        several.setdefault(k, []).append((body, [e for e in entries if e[0] == least]))
-    differ = [c for own in several.values() if len(own) > 1 for c in own]
-    if not differ:
-        return
+    batch, n = [], 0
+    for own in by_key.values():
+        classes = []
+        for body, entries in own.items():
+            least = min(e[0] for e in entries)
+            for doc, chunk, i, a in entries:
+                if doc > least:
+                    yield chunk, i, a, a + len(body) - 1 - LENGTH
+            classes.append((body[1:], [e for e in entries if e[0] == least]))
+        if len(classes) > 1:
+            batch += classes
+            n += sum(len(body) - LENGTH + 1 for body, _ in classes)
+        if n > SORTED:
+            yield from _in_sorted(batch)
+            batch, n = [], 0
+    if batch:
+        yield from _in_sorted(batch)
+
+
+def _in_sorted(differ: list[tuple[bytes, list[tuple]]]) -> Iterator[tuple[int, int, int, int]]:
+    """The same for surroundings that differ, each with the entries of its smallest document, by sorting their suffixes."""
     sizes = np.array([len(body) for body, _ in differ])
     begin = np.concatenate(([0], np.cumsum(sizes)[:-1]))
     data = np.frombuffer(b"".join(body for body, _ in differ), np.uint8)
@@ -379,9 +464,8 @@ def repeats(chunks: list[int], heads: list[bytes], bodies: list[bytes]) -> Itera
     order, group = sort_suffixes(data, starts)
     owner = least[of[order]]
     first = np.minimum.reduceat(owner, np.concatenate(([0], np.flatnonzero(group[1:] != group[:-1]) + 1)))
-    hit = order[owner > first[group]]
     gone = np.zeros(len(starts), bool)
-    gone[hit] = True
+    gone[order[owner > first[group]]] = True
     # Runs of removed windows inside each surrounding.
     edge = np.flatnonzero(gone & np.concatenate(([True], ~gone[:-1] | (of[1:] != of[:-1]))))
     stop = np.flatnonzero(gone & np.concatenate((~gone[1:] | (of[1:] != of[:-1]), [True])))
@@ -390,22 +474,19 @@ def repeats(chunks: list[int], heads: list[bytes], bodies: list[bytes]) -> Itera
             yield chunk, i, at + int(step[a]), at + int(step[b])
 
 
-def kept_bytes(text: bytes, spans: bytes | None) -> tuple[bytes, int, int]:
-    """(remaining bytes, bytes removed, maximal runs removed) for window starts to remove."""
+def kept_bytes(text: bytes, spans: list[bytes], copy: bool = False) -> tuple[bytes, int, int]:
+    """(remaining bytes, bytes removed, maximal runs removed) for window starts to remove; a copy goes whole."""
+    if copy:
+        return b"", len(text), 1
     if not spans:
         return text, 0, 0
-    pairs = np.frombuffer(spans, "<i8").reshape(-1, 2)
-    pairs = pairs[np.argsort(pairs[:, 0], kind="stable")]
-    ends = np.maximum.accumulate(pairs[:, 1] + LENGTH)
-    new = np.concatenate(([True], pairs[1:, 0] > ends[:-1]))
-    lo = pairs[new, 0]
-    hi = np.append(ends[np.flatnonzero(new)[1:] - 1], ends[-1])
+    pairs = merged(np.concatenate([np.frombuffer(s, "<i8").reshape(-1, 2) for s in spans]))
     out, at = [], 0
-    for a, b in zip(lo.tolist(), hi.tolist(), strict=True):
+    for a, b in pairs.tolist():
         out.append(text[at:a])
-        at = b
+        at = b + LENGTH
     out.append(text[at:])
-    return b"".join(out), int((hi - lo).sum()), len(lo)
+    return b"".join(out), int((pairs[:, 1] - pairs[:, 0] + LENGTH).sum()), len(pairs)
 
 
 def remove_repeats(docs: DataFrame, text_column: str = "text") -> DataFrame:
@@ -418,22 +499,29 @@ def remove_repeats(docs: DataFrame, text_column: str = "text") -> DataFrame:
     What is left need not be valid UTF-8. Other columns are not read; an empty table
     gives an empty result.
     """
-    buckets = partitions(docs.sparkSession)
+    buckets = BUCKETS * partitions(docs.sparkSession)
     text = whole_text(text_column).cast("binary")
     lean = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), text.alias("b"))
     long = lean.filter(F.col("doc_id").isNotNull() & (F.length("b") >= LENGTH))
-    repeated = materialize(_repeated(long, buckets), "repeated-anchors")
-    spans = materialize(_removed(long, repeated, buckets), "removed-spans").select(F.col("doc_id").alias("id2"), F.col("th").alias("th2"), "spans")
+    copies = materialize(_copies(long), "equal-documents")
+    repeated = materialize(_repeated(long, buckets), "repeated-anchors").groupBy("doc_id").agg(F.collect_list("keys").alias("keys"))
+    skipped = copies.groupBy("doc_id").agg(F.collect_set("th").alias("copies"))
+    keys = repeated.join(skipped, "doc_id", "left").select("doc_id", "keys", "copies")
+    spans = materialize(_removed(long, keys, buckets), "removed-spans")
     # Equal rows in different tasks each told their spans.
-    spans = spans.groupBy("id2", "th2").agg(F.array_join(F.transform(F.collect_list("spans"), F.hex), "").alias("spans"))
-    joined = lean.join(spans, (F.col("doc_id") == F.col("id2")) & (F.col("th") == F.col("th2")), "left")
+    gone = spans.withColumn("copy", F.lit(False)).unionByName(copies.select("doc_id", "th", F.lit(None).cast("binary").alias("spans"), F.lit(True).alias("copy")))
+    gone = gone.groupBy(F.col("doc_id").alias("id2"), F.col("th").alias("th2")).agg(F.collect_list("spans").alias("spans"), F.max("copy").alias("copy"))
+    texts = _packed(lean)
+    joined = texts.join(gone, (F.col("doc_id") == F.col("id2")) & (F.col("th") == F.col("th2")), "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            got = [kept_bytes(t, s) for t, s in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)]
-            sizes = pa.array([len(t.as_py()) for t in b.column(1)], pa.int64())
-            cols = [b.column(0), pa.array([g[0] for g in got], pa.binary()), sizes, *[pa.array([g[i] for g in got], pa.int64()) for i in (1, 2)]]
+        for x in batches:
+            rows, sizes = [], []
+            for z, packed, copy in zip(*[x.column(i).to_pylist() for i in (1, 2, 3)], strict=True):
+                data = _unpack(z)
+                sizes.append(len(data))
+                rows.append(kept_bytes(data, [_unpack(p) for p in packed or ()], bool(copy)))
+            cols = [x.column(0), pa.array([r[0] for r in rows], pa.binary()), pa.array(sizes, pa.int64()), *[pa.array([r[i] for r in rows], pa.int64()) for i in (1, 2)]]
             yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "kept", "n_bytes", "n_removed", "n_spans"])
 
-    return joined.select("doc_id", "b", F.unhex("spans").alias("spans")).mapInArrow(run, "doc_id long, kept binary, n_bytes long, n_removed long, n_spans long")
-
+    return joined.select("doc_id", "b", "spans", "copy").mapInArrow(run, "doc_id long, kept binary, n_bytes long, n_removed long, n_spans long")

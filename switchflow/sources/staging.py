@@ -87,7 +87,16 @@ def read_staging(spark: SparkSession, path: str, manifest: DataFrame | None = No
     return rows if manifest is None else rows.join(manifest.select("source_file"), "source_file", "left_semi").select(*schema.names)
 
 
-def upsert_by_source(staging: DataFrame, target_path: str, source_file: str, enrich: Callable[[DataFrame], DataFrame] | None = None) -> None:
-    """Rebuild one file's rows in the target; running it twice changes nothing."""
-    rows = staging.filter(staging.source_file == source_file)
+def upsert_by_source(
+    staging: DataFrame, target_path: str, source_files: str | Sequence[str] | DataFrame, enrich: Callable[[DataFrame], DataFrame] | None = None
+) -> None:
+    """Rebuild the rows of one or many files in the target, in one write; running it twice changes nothing.
+
+    Many files are best given as a frame with a column `source_file`.
+    """
+    if isinstance(source_files, DataFrame):
+        rows = staging.join(source_files.select("source_file"), "source_file", "left_semi").select(*staging.columns)
+    else:
+        names = [source_files] if isinstance(source_files, str) else list(source_files)
+        rows = staging.filter(staging.source_file.isin(names))
     replace_sources(enrich(rows) if enrich else rows, target_path)
