@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from catalog import linear_sql
 from catalog.registry import (
     END,
     METRICS,
@@ -465,40 +466,58 @@ def r2_of_formula(spark, d):
     return models.r2_of(frame.select(F.col("total_transfers_out").alias("label"), (5 * F.col("log_customer_size")).alias("prediction")))
 
 
-@query("regression_table")
+def as_digits(df, *columns):
+    """Doubles as text with six significant digits, so that ways of summing do not show."""
+    return df.withColumns({c: F.format_string("%.5e", c) for c in columns})
+
+
+def coefficients(spark, d, terms):
+    table = models.ols_table(spark, models.ols(fitted_frame(spark, d), terms=terms))
+    return as_digits(table, "coefficient", "std_error", "t_value")
+
+
+@query("regression_table", linear_sql.table_sql(_MODEL, models.PREDICTORS))
 def regression_table(spark, d):
-    return models.ols_table(spark, models.ols(fitted_frame(spark, d)))
+    return coefficients(spark, d, models.PREDICTORS)
 
 
-@query("regression_table_9")
+@query("regression_table_9", linear_sql.table_sql(_MODEL, models.PREDICTORS_9))
 def regression_table_9(spark, d):
-    return models.ols_table(spark, models.ols(fitted_frame(spark, d), terms=models.PREDICTORS_9))
+    return coefficients(spark, d, models.PREDICTORS_9)
 
 
-@query("regression_top_significant")
+@query("regression_top_significant", linear_sql.table_sql(_MODEL, models.PREDICTORS, only="WHERE p_value < 0.05 ORDER BY abs(t_value) DESC LIMIT 3"))
 def regression_top_significant(spark, d):
-    return models.top_significant(models.ols_table(spark, models.ols(fitted_frame(spark, d))))
+    """The three most significant variables: with equal degrees of freedom those of the greatest t."""
+    table = models.ols_table(spark, models.ols(fitted_frame(spark, d)))
+    return as_digits(models.top_significant(table, 3), "coefficient", "std_error", "t_value")
 
 
-@query("vif")
+@query("vif", linear_sql.vif_sql(_MODEL, models.PREDICTORS))
 def vif(spark, d):
-    return models.vif(fitted_frame(spark, d))
+    return as_digits(models.vif(fitted_frame(spark, d)), "vif")
 
 
-@query("polynomial_table")
+@query("polynomial_table", linear_sql.table_sql(_MODEL, models.POLYNOMIAL))
 def polynomial_table(spark, d):
-    return models.ols_table(spark, models.ols(fitted_frame(spark, d), terms=models.POLYNOMIAL))
+    return coefficients(spark, d, models.POLYNOMIAL)
 
 
-@query("interaction_table")
+@query("interaction_table", linear_sql.table_sql(_MODEL, models.INTERACTIONS))
 def interaction_table(spark, d):
-    return models.ols_table(spark, models.ols(fitted_frame(spark, d), terms=models.INTERACTIONS))
+    return coefficients(spark, d, models.INTERACTIONS)
+
+
+@query("interaction_table_9", linear_sql.table_sql(_MODEL, models.INTERACTIONS_9))
+def interaction_table_9(spark, d):
+    """The older interaction model, without customer size."""
+    return coefficients(spark, d, models.INTERACTIONS_9)
 
 
-@query("compare_nested")
+@query("compare_nested", linear_sql.nested_sql(_MODEL, models.PREDICTORS_9, models.POLYNOMIAL_9))
 def compare_nested(spark, d):
     frame = fitted_frame(spark, d)
-    return models.compare_nested(spark, *models.nested(frame, models.PREDICTORS_9, models.POLYNOMIAL_9))
+    return as_digits(models.compare_nested(spark, *models.nested(frame, models.PREDICTORS_9, models.POLYNOMIAL_9)), "rss_1", "rss_2", "f_value")
 
 
 @query("forest_importance")
