@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,6 +22,10 @@ DEFAULTS = {
 }
 
 
+# Lists that note the scratch paths handed out, innermost last.
+_OWNERS: list[list[str]] = []
+
+
 def build_session(app: str = "switchflow", master: str | None = None, conf: dict[str, str] | None = None) -> SparkSession:
     """SparkSession with the library's defaults; `conf` wins over them."""
     builder = SparkSession.builder.appName(app)
@@ -38,7 +44,28 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     base = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getCheckpointDir()
     if not base:
         base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    for owner in _OWNERS:
+        owner.append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Owner of the scratch paths handed out inside: they are removed when it ends.
+
+    Results that read them must be consumed by then.
+    """
+    own: list[str] = []
+    _OWNERS.append(own)
+    try:
+        yield
+    finally:
+        _OWNERS.remove(own)
+        hadoop = spark._jvm.org.apache.hadoop.fs.Path
+        for path in own:
+            at = hadoop(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def materialize(df: DataFrame, label: str = "frame") -> DataFrame:

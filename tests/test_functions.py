@@ -190,3 +190,16 @@ def test_weighted_quantiles_equal_those_of_repeated_values(spark):
     probs = {"a": 0.1, "m": 0.5, "z": 0.93}
     assert sorted(stats.weighted_quantiles(cells, ["k"], "v", "count", probs).collect()) == sorted(stats.exact_quantiles(df, ["k"], "v", probs).collect())
     assert stats.weighted_quantiles(cells, [], "v", "count", probs).collect() == stats.exact_quantiles(df, [], "v", probs).collect()
+
+
+def test_scratch_folders_go_with_their_owner(spark):
+    import os
+
+    from switchflow.session import materialize, scratch, scratch_path
+
+    with scratch(spark):
+        held = materialize(spark.range(3))
+        folder = os.path.dirname(held.inputFiles()[0].removeprefix("file://"))
+        assert held.count() == 3 and os.path.isdir(folder)
+    assert not os.path.exists(folder)
+    assert scratch_path(spark, "a") != scratch_path(spark, "a")
