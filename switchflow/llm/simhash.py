@@ -154,7 +154,8 @@ def links(fps: DataFrame, index: list[str], verify: list[str], segments: int, ra
             yield from out(key, fp)
 
     lean = variants(fps.select(*dict.fromkeys([*index, *lanes])), index, segments).select("key", *lanes)
-    dealt = lean.repartition(partitions(fps.sparkSession), "key").sortWithinPartitions("key")
+    # In the same order everywhere, trees of one group have the same roots in all its buckets, and few different links.
+    dealt = lean.repartition(partitions(fps.sparkSession), "key").sortWithinPartitions("key", named)
     pairs = dealt.mapInArrow(run, "u long, v long")
     return pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
 
@@ -225,7 +226,7 @@ def _alike(found: DataFrame, nodes: DataFrame, docs: DataFrame, shingle: int, si
     return both.select("u", "v", "a", "b").mapInArrow(judge, "u long, v long")
 
 
-def similar_documents(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, radii: tuple[int, ...] = (12, 18, 24, 30), segments: int = 6) -> DataFrame:
+def similar_documents(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, radii: tuple[int, ...] = (16, 23, 30), segments: int = 6) -> DataFrame:
     """(doc_id, component_id) for the documents with an id; those that share `similarity` of their shingles are linked.
 
     radii of 128 bits: texts 0.8 alike (Jaccard) have a cosine of 0.89 and differ in 19
