@@ -42,10 +42,14 @@ FEMALE = rf"^(?:{'|'.join(TITLES_F)})\b"
 TYPES = tuple(PATTERNS)
 
 
-def mentions(text: Column) -> Column:
-    """Array of (type, mention) from left to right; null where there is none."""
+def has_mentions(text: Column) -> Column:
     # Cheap tests first: most texts have neither digits in a row, nor @, nor a title.
     maybe = text.contains("@") | text.rlike(r"[0-9][ .()-]{0,2}[0-9]") | text.rlike(PATTERNS["name"])
+    return maybe & text.rlike(ANY)
+
+
+def mentions(text: Column) -> Column:
+    """Array of (type, mention) from left to right; null where there is none."""
     kind = lambda m: (
         F.when(m.contains("@"), "email")
         .when(m.rlike(rf"^(?:{PATTERNS['ip']})$"), "ip")
@@ -55,7 +59,7 @@ def mentions(text: Column) -> Column:
         .otherwise("phone")
     )
     found = F.transform(F.regexp_extract_all(text, F.lit(ANY), F.lit(0)), lambda m: F.struct(kind(m).alias("type"), m.alias("mention")))
-    return F.when(maybe, found)
+    return F.when(has_mentions(text), found)
 
 
 def units(m: Column) -> Column:
@@ -218,7 +222,9 @@ def replace_pii(docs: DataFrame, key: str = "switchflow", text_column: str = "te
     text = whole_text(text_column)
     id_column = F.col("doc_id") if "doc_id" in docs.columns else F.lit(None).cast("long")
     # A row is known by its id and a hash of its text: rows equal in both have the same mentions.
-    keyed = docs.select(*kept, id_column.alias("__id"), F.xxhash64(text).alias("__h"))
+    some = F.coalesce(has_mentions(text), F.lit(False))
+    # Only rows with a mention are moved.
+    keyed = docs.filter(some).select(*kept, id_column.alias("__id"), F.xxhash64(text).alias("__h"))
     found = docs.select(id_column.alias("__id"), F.xxhash64(text).alias("__h"), mentions(text).alias("found")).filter(F.size("found") > 0)
     found = found.select("__id", "__h", F.posexplode("found").alias("pos", "m"))
     found = found.select("__id", "__h", "pos", "m", F.posexplode(units(F.col("m"))).alias("part", "u")).distinct()
@@ -239,4 +245,6 @@ def replace_pii(docs: DataFrame, key: str = "switchflow", text_column: str = "te
     put = F.concat_ws("", F.flatten(F.zip_with(between, "__new", lambda p, n: F.array(p, F.coalesce(n, F.lit(""))))))
     new_text = F.when(F.col("__new").isNull(), F.col(text_column)).otherwise(put).alias(text_column)
     out = [new_text if c == text_column else F.col(c) for c in kept]
-    return joined.select(*out, *([F.coalesce(f"__{n}", F.lit(0)).alias(n) for n in names] if counts else []))
+    changed = joined.select(*out, *([F.coalesce(f"__{n}", F.lit(0)).cast("long").alias(n) for n in names] if counts else []))
+    same = docs.filter(~some).select(*kept, *([F.lit(0).cast("long").alias(n) for n in names] if counts else []))
+    return same.unionByName(changed)
