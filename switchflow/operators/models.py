@@ -81,8 +81,9 @@ NODE_MEMORY_MB = 1024
 # MLlib grows no deeper trees.
 MAX_DEPTH = 30
 
-# Partitions of a tree fit's input; part of the fit, as bagging draws per partition.
-TREE_PARTITIONS = 32
+# Rows per partition of a tree fit's input, and its fewest partitions. The number follows
+# the rows alone, as bagging draws per partition.
+TREE_ROWS, TREE_PARTITIONS = 200_000, 8
 
 # Smallest share of a predictor's variance that the earlier ones may leave unexplained.
 ALIAS_TOLERANCE = 1e-7
@@ -282,13 +283,14 @@ class TreeFit:
     features: list[str]
 
 
-def _tree_design(df: DataFrame, y: str, features: Sequence[str], parts: int) -> DataFrame:
-    """The design matrix in a stated number of partitions and order, by the rows' own values.
+def _tree_design(df: DataFrame, y: str, features: Sequence[str], parts: int | None) -> DataFrame:
+    """The design matrix in partitions whose number and order follow from the rows' own values.
 
     Bagging draws per partition, so a fit depends on where rows are; placed like this it
     is the same on any number of cores.
     """
     design = _design(df, y, features)
+    parts = parts or max(TREE_PARTITIONS, -(-design.count() // TREE_ROWS))
     values = design.withColumn("_v", vector_to_array("features"))
     h = F.xxhash64("_v", "label")
     return values.repartition(parts, h).sortWithinPartitions(h, "_v", "label").select("features", "label")
@@ -296,7 +298,7 @@ def _tree_design(df: DataFrame, y: str, features: Sequence[str], parts: int) ->
 
 def forest(
     df: DataFrame, y: str = TARGET, features: Sequence[str] = TREE_FEATURES, trees: int = 500, per_split: int = 3,
-    depth: int = MAX_DEPTH, seed: int = 123, parts: int = TREE_PARTITIONS,
+    depth: int = MAX_DEPTH, seed: int = 123, parts: int | None = None,
 ) -> TreeFit:
     """Random forest; trees end at leaves of five rows. `depth` is MLlib's own limit unless stated."""
     rf = RandomForestRegressor(
@@ -308,7 +310,7 @@ def forest(
 
 def boosted(
     df: DataFrame, y: str = TARGET, features: Sequence[str] = TREE_FEATURES, rounds: int = 100, depth: int = 6,
-    rate: float = 0.1, seed: int = 123, parts: int = TREE_PARTITIONS,
+    rate: float = 0.1, seed: int = 123, parts: int | None = None,
 ) -> TreeFit:
     """Gradient-boosted trees on squared error."""
     gbt = GBTRegressor(
