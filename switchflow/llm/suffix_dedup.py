@@ -97,9 +97,9 @@ class BlindTrie:
     def __init__(self):
         self.root = None  # a leaf is a list [text, members]; a node is (depth, {byte: child})
 
-    def add(self, text: bytes, member: int) -> None:
+    def add(self, text: bytes, members: list[int]) -> None:
         if self.root is None:
-            self.root = [text, [member]]
+            self.root = [text, members]
             return
         # Blind search: follow the branching bytes alone, then compare with one whole string.
         node = self.root
@@ -108,13 +108,13 @@ class BlindTrie:
             node = branches.get(text[node[0]]) or next(iter(branches.values()))
         other = node[0]
         if other == text:
-            node[1].append(member)
+            node[1].extend(members)
             return
         depth = next(i for i, (a, b) in enumerate(zip(other, text, strict=True)) if a != b)
         parent, node = None, self.root
         while isinstance(node, tuple) and node[0] < depth:
             parent, node = node, node[1][text[node[0]]]
-        leaf = [text, [member]]
+        leaf = [text, members]
         if isinstance(node, tuple) and node[0] == depth:
             node[1][text[depth]] = leaf
             return
@@ -182,12 +182,27 @@ def sort_suffixes(data: np.ndarray, starts: np.ndarray, length: int = LENGTH, sh
         deep &= ~same
     new = np.zeros(len(group), bool)
     new[begins[1:]] = True
+    if words is not None and deep.any():
+        # A trie of two leaves has one branch: where the strings first differ. All such tries at once.
+        two = np.flatnonzero(deep & (ends - begins == 2))
+        a, b = order[begins[two]], order[begins[two] + 1]
+        swap = np.zeros(len(two), bool)
+        open_ = np.ones(len(two), bool)
+        for w in words:
+            x, y = chars[tail_at[a] + w], chars[tail_at[b] + w]
+            swap |= open_ & (x > y)
+            open_ &= x == y
+        order[begins[two]], order[begins[two] + 1] = np.where(swap, b, a), np.where(swap, a, b)
+        new[begins[two] + 1] = True
+        deep[two] = False
     raw = data.tobytes() if deep.any() else b""
     for b, e in zip(begins[deep].tolist(), ends[deep].tolist(), strict=True):
         members = order[b:e]
-        trie = BlindTrie()
+        trie, strings = BlindTrie(), {}
         for m, at in zip(members.tolist(), tail_at[members].tolist(), strict=True):
-            trie.add(raw[at : at + tail], m)
+            strings.setdefault(raw[at : at + tail], []).append(m)
+        for text, own in strings.items():
+            trie.add(text, own)
         at = b
         for leaf in trie.leaves():
             new[at] = True
