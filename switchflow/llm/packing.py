@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -110,8 +111,8 @@ def pack_shard(rows: pd.DataFrame, capacity: int) -> pd.DataFrame:
 def with_lengths(docs: DataFrame, tokens: str | None = None, text_column: str = "text") -> DataFrame:
     """(doc_id, source, cluster, n_tokens): tokens of the whole text and an end token.
 
-    cluster is the same for texts that differ in case and white space only. Empty and
-    null texts have the end token alone and no cluster.
+    cluster is the same for texts that differ in white space and the case of A-Z only.
+    Empty and null texts have the end token alone and no cluster.
     """
     path = tokens or vocabulary("byte_bpe_50k.tiktoken")
     id_type, source_type = (docs.schema[c].dataType.simpleString() for c in ("doc_id", "source"))
@@ -119,13 +120,14 @@ def with_lengths(docs: DataFrame, tokens: str | None = None, text_column: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = tiktoken_encoding(path).encode_ordinary
         for b in batches:
-            n = [len(encode(t.as_py())) + 1 for t in b.column(3)]
-            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(n, pa.int64())], names=["doc_id", "source", "cluster", "n_tokens"])
-
-    text = whole_text(text_column)
-    plain = F.lower(F.trim(F.regexp_replace(text, r"[\x20\x09-\x0D]+", " ")))
-    cluster = F.when(plain != "", F.xxhash64(plain, F.length(plain)))
-    lean = docs.select("doc_id", "source", cluster.alias("cluster"), text.alias("text"))
+            texts = b.column(2).to_pylist()
+            plain = [b" ".join(t.encode().lower().split()) for t in texts]
+            cluster = [xxhash.xxh3_64_intdigest(p) - (1 << 63) if p else None for p in plain]
+            n = [len(encode(t)) + 1 for t in texts]
+            cols = [*b.columns[:2], pa.array(cluster, pa.int64()), pa.array(n, pa.int64())]
+            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "source", "cluster", "n_tokens"])
+
+    lean = docs.select("doc_id", "source", whole_text(text_column).alias("text"))
     return lean.mapInArrow(run, f"doc_id {id_type}, source {source_type}, cluster long, n_tokens long")
 
 
@@ -143,7 +145,6 @@ def pack(rows: DataFrame, capacity: int = CAPACITY, shard_rows: int = SHARD_ROWS
     shards = max(1, -(-held.count() // shard_rows))
     id_type = held.schema["doc_id"].dataType.simpleString()
     rank = F.xxhash64("doc_id", "n_tokens", "source", "cluster")
-    # A hash of the row number within equal ids is not needed: ids are few per shard, and equal rows share one.
     dealt = held.select(
         F.pmod(F.xxhash64("doc_id", F.lit("shard")), F.lit(shards)).alias("shard"), F.col("doc_id").alias("id"), F.col("source").cast("string").alias("source"), "cluster", "n_tokens", rank.alias("rank")
     )
