@@ -9,6 +9,9 @@ or a surrogate names another real entity, all but one draw again until none do.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,9 +46,11 @@ TYPES = tuple(PATTERNS)
 
 
 def has_mentions(text: Column) -> Column:
-    # Cheap tests first: most texts have neither digits in a row, nor @, nor a title.
-    maybe = text.contains("@") | text.rlike(r"[0-9][ .()-]{0,2}[0-9]") | text.rlike(PATTERNS["name"])
-    return maybe & text.rlike(ANY)
+    # Cheap tests first: most texts have neither digits in a row, nor @, nor the letters of a title.
+    titles = sorted(TITLES_M + TITLES_F, key=len)
+    shortest = [t for i, t in enumerate(titles) if not any(s in t for s in titles[:i])]
+    titled = reduce(or_, [text.contains(t) for t in shortest])
+    return (text.contains("@") | text.rlike(r"[0-9][ .()-]{0,2}[0-9]") | titled) & text.rlike(ANY)
 
 
 def mentions(text: Column) -> Column:
