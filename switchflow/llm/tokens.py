@@ -13,7 +13,7 @@ import regex
 # White space other than the plain space; beside one of these a space does not start a piece by itself.
 OTHER_SPACE = [c for c in map(chr, range(0x3001)) if c.isspace() and c != " "]
 ROW = 200  # pieces encoded in one string
-REMEMBERED = 600_000  # words, and pieces, that a worker keeps; when full, others are encoded again where they occur
+REMEMBERED = 900_000  # words, and pieces, that a worker keeps; when full, others are encoded again where they occur
 
 
 def vocabulary(name: str) -> str:
@@ -35,20 +35,35 @@ def plainly_spaced(text: str) -> bool:
 
 
 class Pieces:
-    """Values of texts put together from the values of their parts; `encode` gets whole pieces, many at once."""
+    """Ids of texts, as bytes, put together from those of their parts; `encode` gets whole pieces, many at once."""
 
-    def __init__(self, encode: Callable[[list[str]], list], pattern: str, join: Callable, special: list[str] = ()):
-        self.encode, self.find, self.join, self.special = encode, regex.compile(pattern).findall, join, special
-        self.words: dict[str, object] = {}  # a word with its leading space, keyed without it
-        self.pieces: dict[str, object] = {}
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], pattern: str, special: list[str] = ()):
+        self.encode, self.find, self.special = encode, regex.compile(pattern).findall, special
+        self.words: dict[str, bytes] = {}  # a word with its leading space, keyed without it
+        self.pieces: dict[str, bytes] = {}
 
     def _learn(self, pieces: set[str]) -> list[str]:
         new = [p for p in pieces if p not in self.pieces]
         self.pieces.update(zip(new, self.encode(new), strict=True))
         return new
 
-    def __call__(self, texts: list[str]) -> list:
-        """One value per text."""
+    def _learn_words(self, new: set[str]) -> tuple[list[str], list[str]]:
+        """Letters alone, or with a mark behind them, need no pattern; returns what words and pieces were added."""
+        plain = {w for w in new if w.isalpha()}
+        marked = [w for w in new if w[-1] in ".," and w[:-1].isalpha()]
+        plain.update(s for w in marked if (s := w[:-1]) not in self.words)
+        added = list(plain)
+        self.words.update(zip(added, self.encode([" " + w for w in added]), strict=True))
+        found = {w: self.find(" " + w) for w in new.difference(plain, marked)}
+        pieces = self._learn({".", ",", *(p for f in found.values() for p in f)})
+        for w in marked:
+            self.words[w] = self.words[w[:-1]] + self.pieces[w[-1]]
+        for w, f in found.items():
+            self.words[w] = b"".join(map(self.pieces.__getitem__, f))
+        return [*added, *marked, *found], pieces
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text."""
         out: list = [None] * len(texts)
         cut = {}
         for i, text in enumerate(texts):
@@ -56,17 +71,16 @@ class Pieces:
                 out[i] = self.encode([text])[0]  # a special token is found in the whole text only
             elif plainly_spaced(text):
                 cut[i] = text.split(" ")
-        known, piece = self.words, self.pieces.__getitem__
-        new = {w for c in cut.values() for w in c[1:] if w not in known}
-        found = {w: self.find(" " + w) for w in new}
+        known = self.words
+        words, pieces = self._learn_words({w for c in cut.values() for w in c[1:] if w not in known})
         rest = {i: self.find(text) for i, text in enumerate(texts) if i not in cut and out[i] is None}
         rest |= {i: self.find(c[0]) for i, c in cut.items()}
-        learned = self._learn({p for f in (*found.values(), *rest.values()) for p in f})
-        known.update((w, piece(f[0]) if len(f) == 1 else self.join(map(piece, f))) for w, f in found.items())
+        pieces += self._learn({p for f in rest.values() for p in f})
+        piece = self.pieces.__getitem__
         for i, f in rest.items():
-            head = self.join(map(piece, f))
-            out[i] = self.join([head, *map(known.__getitem__, cut[i][1:])]) if i in cut else head
-        for memory, last in ((known, new), (self.pieces, learned)):
+            head = map(piece, f)
+            out[i] = b"".join([*head, *map(known.__getitem__, cut[i][1:])]) if i in cut else b"".join(head)
+        for memory, last in ((known, words), (self.pieces, pieces)):
             if len(memory) > REMEMBERED:
                 for x in last:
                     del memory[x]
@@ -102,7 +116,7 @@ def id_encoder(path: str) -> Pieces:
         got.update(zip(rest, alone(rest), strict=True))
         return [got[p] for p in pieces]
 
-    return Pieces(encode, PATTERN, b"".join, [x.content for x in t.get_added_tokens_decoder().values()])
+    return Pieces(encode, PATTERN, [x.content for x in t.get_added_tokens_decoder().values()])
 
 
 @lru_cache(maxsize=2)
