@@ -90,3 +90,49 @@ def test_similar_documents(spark):
     assert sum(got[3 * g + 1] == 3 * g for g in range(groups)) >= 0.97 * groups
     assert all(got[3 * g + 2] == 3 * g + 2 for g in range(groups))
     assert simhash.keep_first(docs.withColumn("component_id", F.lit(0)), found).columns == ["doc_id", "text", "component_id"]
+
+
+def jaccard_components(texts, near=0.8):
+    sets = []
+    for t in texts:
+        ws = t.lower().split()
+        sets.append({tuple(ws[i : i + 5]) for i in range(max(1, len(ws) - 4))} if ws else set())
+    return plain_components(sets, lambda a, b: len(a & b) >= near * len(a | b))
+
+
+def words_of(rng, n):
+    return ["".join(rng.choices("abcdefghilmnoprstu", k=9)) for _ in range(n)]
+
+
+def groups_of(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in simhash.similar_documents(docs).collect()}
+    return [got[i] for i in range(len(texts))]
+
+
+def test_large_group_of_edited_copies(spark):
+    rng = random.Random(8)
+    texts = []
+    for copies in (300, 30):
+        words = words_of(rng, 200)
+        for _ in range(copies):
+            other = list(words)
+            for at in rng.sample(range(200), rng.randint(3, 4)):
+                other[at] = "".join(rng.choices("vwxyz", k=8))
+            texts.append(" ".join(other))
+        texts.append(" ".join(words))
+    assert groups_of(spark, texts) == jaccard_components(texts)
+
+
+def test_every_pair_of_a_large_bucket_has_its_turn():
+    rng = random.Random(4)
+    n = 100
+    sizes = np.full(n, 200 << 32, dtype=np.int64)
+    bucket = simhash._Bucket(sizes, np.zeros((n, 8), "<u8"), 0.8)
+    label = np.array([rng.randrange(5) for _ in range(n)])
+    seen, done, rounds = set(), 0, 0
+    while done < n // 2:
+        pairs, done = bucket.other(label, done)
+        seen |= {frozenset((int(i), int(j))) for a, b in pairs for i, j in zip(a, b, strict=True)}
+        rounds += 1
+    assert rounds > 1 and seen == {frozenset((i, j)) for i in range(n) for j in range(i) if label[i] != label[j]}
