@@ -136,3 +136,15 @@ def test_every_pair_of_a_large_bucket_has_its_turn():
         seen |= {frozenset((int(i), int(j))) for a, b in pairs for i, j in zip(a, b, strict=True)}
         rounds += 1
     assert rounds > 1 and seen == {frozenset((i, j)) for i in range(n) for j in range(i) if label[i] != label[j]}
+
+
+def test_appended_and_truncated_copies(spark):
+    rng = random.Random(12)
+    texts = []
+    for g in range(80):
+        words = words_of(rng, 200)
+        extra = words_of(rng, 48)
+        other = {0: words + extra, 1: words[:165], 2: words[35:], 3: words[:100] + extra[:40] + words[100:]}[g % 4]
+        texts += [" ".join(words), " ".join(other)]
+    got = groups_of(spark, texts)
+    assert got == jaccard_components(texts) and sum(got[i] != i for i in range(len(texts))) == 80
