@@ -148,3 +148,14 @@ def test_appended_and_truncated_copies(spark):
         texts += [" ".join(words), " ".join(other)]
     got = groups_of(spark, texts)
     assert got == jaccard_components(texts) and sum(got[i] != i for i in range(len(texts))) == 80
+
+
+def test_repeated_lines(spark):
+    rng = random.Random(13)
+    line = words_of(rng, 21)
+    texts = [" ".join(line * 60 + words_of(rng, 40)) for _ in range(20)]  # equal prints, 0.2 alike
+    for _ in range(20):
+        words = words_of(rng, 300)
+        texts += [" ".join(words + line), " ".join(words + line * 40)]  # 0.9 alike, prints far apart
+    got = groups_of(spark, texts)
+    assert got == jaccard_components(texts) and got[:20] == list(range(20)) and sum(got[i] != i for i in range(len(texts))) == 20
