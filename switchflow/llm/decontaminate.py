@@ -77,7 +77,7 @@ def _placed(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
-    """(doc_id, item_id, similarity, start_word, n_words): the best window of every document for every item it holds.
+    """(doc_id, text_hash, item_id, similarity, start_word, n_words): the best window of every document for every item it holds.
 
     similarity is that of the five-word shingles of window and item, each shingle
     weighted by its occurrences (shared weight by joint weight); fewer words are one
@@ -93,7 +93,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILA
     places = _placed(known, items)
     if places is None:
         empty = docs.select("doc_id").limit(0).crossJoin(benchmark.select("item_id").limit(0))
-        return empty.select("doc_id", "item_id", F.lit(0.0).alias("similarity"), F.lit(0).alias("start_word"), F.lit(0).alias("n_words"))
+        return empty.select("doc_id", F.lit(0).cast("long").alias("text_hash"), "item_id", F.lit(0.0).alias("similarity"), F.lit(0).alias("start_word"), F.lit(0).alias("n_words"))
     places = materialize(places.distinct(), "leak-places")
     # The texts of the few documents with places; one row per document and text by now.
     where = places.groupBy(F.col("id").alias("id2"), F.col("th").alias("th2")).agg(F.collect_list(F.struct("start", "m")).alias("at"))
@@ -118,14 +118,15 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILA
     exact = shared.join(totals(of_windows, "wk", "n", "w"), ["m", "wk"]).join(totals(of_items, "ck", "n_item", "i"), ["m", "ck"])
     exact = exact.select("m", "wk", "ck", (F.col("shared") / (F.col("w") + F.col("i") - F.col("shared"))).alias("similarity")).filter(F.col("similarity") >= similarity)
     exact = materialize(exact.join(items.select("ck", "item_id"), "ck").select("m", "wk", "item_id", "similarity"), "leak-pairs")
-    found = cut.select("id", "start", "m", "wk").join(exact, ["m", "wk"])
+    found = cut.select("id", "th", "start", "m", "wk").join(exact, ["m", "wk"])
     best = F.min(F.struct((-F.col("similarity")).alias("s"), "start", "m")).alias("x")
-    return found.groupBy(F.col("id").alias("doc_id"), "item_id").agg(best).select(
-        "doc_id", "item_id", (-F.col("x.s")).alias("similarity"), F.col("x.start").alias("start_word"), F.col("x.m").alias("n_words")
+    return found.groupBy(F.col("id").alias("doc_id"), F.col("th").alias("text_hash"), "item_id").agg(best).select(
+        "doc_id", "text_hash", "item_id", (-F.col("x.s")).alias("similarity"), F.col("x.start").alias("start_word"), F.col("x.m").alias("n_words")
     )
 
 
 def without_leaks(docs: DataFrame, leaks: DataFrame) -> DataFrame:
-    """docs without the documents that hold an item."""
-    gone = leaks.select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("__gone")), "left_anti")
+    """docs without the rows, known by id and text, that hold an item."""
+    gone = leaks.select(F.col("doc_id").alias("__gone"), F.col("text_hash").alias("__hash")).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("__gone")) & (F.xxhash64(whole_text("text")) == F.col("__hash"))
+    return docs.join(gone, same, "left_anti")

@@ -104,7 +104,7 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_decontamination")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item, with the item, the similarity and the place."""
-    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_hash")
 
 
 @query("op6_suffix_dedup")

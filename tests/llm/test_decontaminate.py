@@ -92,3 +92,12 @@ def test_simhash(spark):
     for s, fp in df.select("s", dc.simhash(F.col("s"))).collect():
         h = [xxhash.xxh64_intdigest(x, 42) for x in s]
         assert fp % (1 << 64) == sum(1 << b for b in range(64) if 2 * sum(v >> b & 1 for v in h) > len(h))
+
+
+def test_rows_go_by_id_and_text(spark):
+    rng = random.Random(22)
+    item = prose(rng, 40)
+    rows = [(None, "before " + item, "en", "s"), (None, prose(rng, 80), "en", "s"), (5, item + " after", "en", "s"), (5, prose(rng, 70), "en", "s"), (6, None, "en", "s")]
+    docs = spark.createDataFrame(rows, documents(spark).schema)
+    left = dc.without_leaks(docs, dc.find_leaks(docs, spark.createDataFrame([(1, item)], "item_id long, text string")))
+    assert sorted(map(str, left.collect())) == sorted(map(str, docs.filter("text NOT LIKE 'before %' AND text NOT LIKE '% after' OR text IS NULL").collect()))

@@ -159,3 +159,14 @@ def test_repeated_lines(spark):
         texts += [" ".join(words + line), " ".join(words + line * 40)]  # 0.9 alike, prints far apart
     got = groups_of(spark, texts)
     assert got == jaccard_components(texts) and got[:20] == list(range(20)) and sum(got[i] != i for i in range(len(texts))) == 20
+
+
+def test_rows_are_kept_by_id_and_text(spark):
+    rng = random.Random(14)
+    a, b, c, d = (" ".join(words_of(rng, 50)) for _ in range(4))
+    rows = [(1, a), (2, a), (2, b), (None, a), (None, c), (None, c), (None, d), (3, c.upper()), (4, d + " tail"), (None, None), (None, "")]
+    rows += [(None, "x" + d[1:]), (5, b)] + [(None, b[::-1])] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r.doc_id, r.text or "") for r in simhash.keep_first(docs, simhash.similar_documents(docs)).collect()]
+    want = [(1, a), (2, b), (3, c.upper()), (4, d + " tail"), (None, b[::-1]), (None, "")]
+    assert sorted(got, key=str) == sorted(want, key=str)
