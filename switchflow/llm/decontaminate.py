@@ -1,10 +1,10 @@
 """Benchmark decontamination by SimHash over item-sized windows, with DataFrame functions only.
 
 A window is as many words of a document as a benchmark item has. Windows that can reach
-the similarity share a shingle with an item, so they are placed where a shared shingle
-lines up. Different windows are fingerprinted once; fingerprints within the radius share
-one of `radius + 1` blocks of bits and meet in an equality join; the exact similarity of
-weighted shingles (weight: occurrences) decides.
+the similarity hold most of an item's shingles in any order, so every window with that
+many shared shingles is tried. Different windows are fingerprinted once; fingerprints
+within the radius share one of `radius + 1` blocks of bits and meet in an equality join;
+the exact similarity of weighted shingles (weight: occurrences) decides.
 """
 
 from __future__ import annotations
@@ -61,17 +61,32 @@ def _items(benchmark: DataFrame) -> DataFrame:
     return lean.select("item_id", F.xxhash64("ws", F.size("ws")).alias("ck"), F.size("ws").alias("m"), "ws")
 
 
-def _placed(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """(id, th, start, m): where a shingle that a document shares with an item puts a window; start may be negative."""
+def _placed(docs: DataFrame, items: DataFrame, similarity: float) -> DataFrame | None:
+    """(id, th, start, m): the windows with enough shingles of the items of m words; start may be negative.
+
+    A window and an item share no more than the window's shingles that items of this size
+    have, wherever they stand in it, and at least `similarity` of the item's own. So a
+    window holds that many hits in a row, which gives its starts.
+    """
     small = [r.k for r in items.select(F.least(F.col("m"), F.lit(SHINGLE)).alias("k")).distinct().collect()]  # 1 to 5
     out = None
     for k in sorted(small):
         own = items.filter(F.least(F.col("m"), F.lit(SHINGLE)) == k)
-        anchors = own.select("m", F.posexplode(_shingle_hashes(F.col("ws"), k)).alias("at", "h")).distinct()
+        anchors = own.select("m", F.explode(_shingle_hashes(F.col("ws"), k)).alias("h")).distinct()
         # Written, so that Spark knows its size and sends it to the tasks only if it is small.
         anchors = materialize(anchors, "benchmark-shingles")
         text = docs.select("id", "th", F.posexplode(_shingle_hashes(F.col("ws"), k)).alias("pos", "h"))
-        hits = text.join(anchors, "h").select("id", "th", (F.col("pos") - F.col("at")).alias("start"), "m").distinct()
+        hits = text.join(anchors, "h").groupBy("id", "th", "m").agg(F.collect_set("pos").alias("at"))
+        need = F.ceil(F.lit(similarity) * (F.col("m") - k + 1) - 1e-9).cast("int")
+        hits = hits.select("id", "th", "m", (F.col("m") - k).alias("w"), F.greatest(need, F.lit(1)).alias("need"), F.array_sort("at").alias("at"))
+        hits = materialize(hits.filter(F.size("at") >= F.col("need")), "leak-hits")
+
+        def starts(i: Column) -> Column:
+            first, last = F.get("at", i), F.get("at", i + F.col("need") - 1)
+            return F.when(last - first <= F.col("w"), F.sequence(last - F.col("w"), first)).otherwise(F.array().cast("array<int>"))
+
+        every = F.flatten(F.transform(F.sequence(F.lit(0), F.size("at") - F.col("need")), starts))
+        hits = hits.select("id", "th", F.explode(F.array_distinct(every)).alias("start"), "m")
         out = hits if out is None else out.union(hits)
     return out
 
@@ -90,7 +105,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILA
     ws = words(F.lower(whole_text("text")))
     items = materialize(_items(benchmark), "benchmark-items")
     known = docs.select(F.col("doc_id").alias("id"), F.xxhash64(whole_text("text")).alias("th"), ws.alias("ws"))
-    places = _placed(known, items)
+    places = _placed(known, items, similarity)
     if places is None:
         empty = docs.select("doc_id").limit(0).crossJoin(benchmark.select("item_id").limit(0))
         return empty.select("doc_id", F.lit(0).cast("long").alias("text_hash"), "item_id", F.lit(0.0).alias("similarity"), F.lit(0).alias("start_word"), F.lit(0).alias("n_words"))

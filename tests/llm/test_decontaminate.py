@@ -94,6 +94,24 @@ def test_simhash(spark):
         assert fp % (1 << 64) == sum(1 << b for b in range(64) if 2 * sum(v >> b & 1 for v in h) > len(h))
 
 
+def test_reordered_items_against_every_window(spark):
+    rng = random.Random(21)
+    vocabulary = ["".join(rng.choices("abcdefghilmnoprstu", k=7)) for _ in range(3000)]
+    items = [(i, prose(rng, n, vocabulary)) for i, n in enumerate((40, 60, 60, 61, 90))]
+    rows = []
+    for i, t in items:
+        ws = t.split(" ")
+        for n, at in enumerate((len(ws) // 2, len(ws) // 3)):
+            swapped = ws[at:] + ws[:at]
+            rows.append((10 * i + n, prose(rng, 25, vocabulary) + " " + " ".join(swapped) + " " + prose(rng, 25, vocabulary), "en", "s"))
+        rows.append((10 * i + 5, " ".join(ws[len(ws) // 2 :] + ws[: len(ws) // 2]), "en", "s"))  # the whole text
+    docs = documents(spark, rows).filter("doc_id < 100 AND source = 's'")
+    found = dc.find_leaks(docs, spark.createDataFrame(items, "item_id long, text string")).collect()
+    want = plain([(r[0], r[1]) for r in rows], items)
+    assert {(r.doc_id, r.item_id): round(r.similarity, 9) for r in found} == {k: round(s, 9) for k, (s, _) in want.items()}
+    assert len(want) >= 12
+
+
 def test_rows_go_by_id_and_text(spark):
     rng = random.Random(22)
     item = prose(rng, 40)
