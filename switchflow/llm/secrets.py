@@ -29,23 +29,24 @@ CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 DIGEST = re.compile(r"(?:[0-9a-f]+|[0-9A-F]+)")
 DIGEST_LENGTHS = {32, 40, 48, 56, 64, 96, 128}  # MD5 to SHA-512
 UUID = re.compile(r"[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
+PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 NUMBER = re.compile(r"[0-9+/_=-]+")
 RATIO = 2.2  # characters per token below which a candidate counts as random
 
 
 def known(text: str) -> bool:
-    """Digests, UUIDs, numbers and plain words: written down in the open, or names of things."""
+    """Digests, UUIDs and numbers: written down in the open."""
     if NUMBER.fullmatch(text) or UUID.fullmatch(text):
         return True
-    if len(text) in DIGEST_LENGTHS and DIGEST.fullmatch(text):
-        return True
-    # A name changes between letters and digits or between cases a few times only.
-    turns = sum(kind(a) != kind(b) for a, b in zip(text, text[1:], strict=False))
-    return turns <= len(text) // 6
+    return len(text) in DIGEST_LENGTHS and bool(DIGEST.fullmatch(text))
 
 
-def kind(c: str) -> str:
-    return "d" if c.isdigit() else "u" if c.isupper() else "l" if c.islower() else "s"
+def named(text: str, encode) -> bool:
+    """Names of things: snake or camel parts, each a word of the vocabulary in lower case, four letters long on average."""
+    parts = PART.findall(text)
+    if not parts or sum(map(len, parts)) < max(4 * len(parts), 0.75 * len(text)):
+        return False
+    return all(len(encode(p.lower())) == 1 or len(encode(" " + p.lower())) == 1 for p in parts)
 
 
 def find(text: str, encode, ratio: float = RATIO) -> list[tuple[int, int, int]]:
@@ -62,7 +63,7 @@ def find(text: str, encode, ratio: float = RATIO) -> list[tuple[int, int, int]]:
     spans += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
     for m in CANDIDATE.finditer(text):
         s = m.group()
-        if not known(s) and len(s) < ratio * len(encode(s)):
+        if not known(s) and len(s) < ratio * len(encode(s)) and not named(s, encode):
             spans.append((m.start(), 3, m.end()))
     return sorted(spans)
 

@@ -62,3 +62,15 @@ def test_query_digest(spark, sf):
         assert got[doc].base_sha256 == hashlib.sha256(base.encode()).hexdigest()
         assert (got[doc].n_assign, got[doc].n_access, got[doc].n_hex) == tuple(base.count(k) for k in ("assign", "access", "hex"))
         assert set(base.split(",")) - {""} <= set(got[doc].spans.split(","))
+
+
+def test_random_strings_of_letters_are_found():
+    encode = tiktoken_encoding(vocabulary("byte_bpe_50k.tiktoken")).encode_ordinary
+    found = lambda t: any(k == 3 for _, k, _ in secrets.find(t, encode))
+    rng = random.Random(2)
+    lower = "abcdefghijklmnopqrstuvwxyz"
+    for alphabet in (lower, lower.upper(), lower.upper() + "234567", lower + lower.upper()):
+        for size in (20, 26, 48):
+            assert sum(found("".join(rng.choices(alphabet, k=size))) for _ in range(200)) >= 190  # a few have 2.2 characters per token or more
+    for name in ("INTERNAL_SERVER_ERROR_MESSAGE", "getResponseHeaderNameByIndex", "some-very-long-file-name", "MAX_CONNECTION_TIME_LIMIT", "internationalization"):
+        assert not found(name), name
