@@ -7,8 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from switchflow.llm import chat, decontaminate, packing, pii, quality_model, rules, secrets, simhash, suffix_dedup, token_store
-from switchflow.llm.common import table
+from switchflow.llm import (
+    centroids,
+    chat,
+    decontaminate,
+    mixing,
+    packing,
+    periodic,
+    pii,
+    quality_model,
+    rules,
+    secrets,
+    simhash,
+    suffix_dedup,
+    token_store,
+)
+from switchflow.llm.common import table, whole_text
 from switchflow.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -111,3 +125,28 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op11_source_mix", mixing.ORACLE)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op12_centroid_clusters", centroids.ORACLE)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = centroids.with_inertia(*centroids.cluster(table(spark, sf_dir, "embeddings")))
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+@query("op13_periodic_runs")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", periodic.made_periodic(F.col("doc_id"), whole_text()).alias("text"))
+    found = periodic.find_runs(docs).withColumn("most", periodic.longest(F.col("runs")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *[F.col(f"most.{c}").alias(c) for c in ("start", "length", "period")],
+        F.expr("1000 * most.length div most.period").alias("exponent_milli"),
+        F.sha2(periodic.runs_text(F.col("runs")), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
