@@ -12,13 +12,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from switchflow.llm.common import bind, whole_text, words
+from switchflow.llm.common import bind, may_be_among, text_hash, whole_text, words
 from switchflow.session import materialize
 
 SHINGLE = 5
 SIMILARITY = 0.8
 # Windows 0.8 alike differ in 9.7 of 64 bits on average, with a deviation of 2.9.
 RADIUS = 22
+# Different shingles of the benchmark that Spark surely sends to every task (16 bytes each).
+FEW_SHINGLES = 500_000
 
 
 def _shingle_hashes(ws: Column, k: int) -> Column:
@@ -76,6 +78,9 @@ def _placed(docs: DataFrame, items: DataFrame, similarity: float) -> DataFrame |
         # Written, so that Spark knows its size and sends it to the tasks only if it is small.
         anchors = materialize(anchors, "benchmark-shingles")
         text = docs.select("id", "th", F.posexplode(_shingle_hashes(F.col("ws"), k)).alias("pos", "h"))
+        if anchors.count() > FEW_SHINGLES:
+            # The corpus' shingles are moved to a benchmark of this size only where a bitmap of it lets them pass.
+            text = may_be_among(text, F.col("h"), anchors.select("h"), "may").filter("may").drop("may")
         hits = text.join(anchors, "h").groupBy("id", "th", "m").agg(F.collect_set("pos").alias("at"))
         need = F.ceil(F.lit(similarity) * (F.col("m") - k + 1) - 1e-9).cast("int")
         hits = hits.select("id", "th", "m", (F.col("m") - k).alias("w"), F.greatest(need, F.lit(1)).alias("need"), F.array_sort("at").alias("at"))
@@ -104,15 +109,17 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILA
     """
     ws = words(F.lower(whole_text("text")))
     items = materialize(_items(benchmark), "benchmark-items")
-    known = docs.select(F.col("doc_id").alias("id"), F.xxhash64(whole_text("text")).alias("th"), ws.alias("ws"))
-    places = _placed(known, items, similarity)
+    known = docs.select(F.col("doc_id").alias("id"), text_hash().alias("th"), "text")
+    places = _placed(known.select("id", "th", ws.alias("ws")), items, similarity)
     if places is None:
-        empty = docs.select("doc_id").limit(0).crossJoin(benchmark.select("item_id").limit(0))
-        return empty.select("doc_id", F.lit(0).cast("long").alias("text_hash"), "item_id", F.lit(0.0).alias("similarity"), F.lit(0).alias("start_word"), F.lit(0).alias("n_words"))
+        kinds = [f"{c} {df.schema[c].dataType.simpleString()}" for df, c in ((docs, "doc_id"), (benchmark, "item_id"))]
+        return docs.sparkSession.createDataFrame([], f"{kinds[0]}, text_hash long, {kinds[1]}, similarity double, start_word int, n_words int")
     places = materialize(places.distinct(), "leak-places")
-    # The texts of the few documents with places; one row per document and text by now.
+    # The texts of the few documents with places; one row per document and text by now. Other texts stay where they are.
     where = places.groupBy(F.col("id").alias("id2"), F.col("th").alias("th2")).agg(F.collect_list(F.struct("start", "m")).alias("at"))
-    held = known.join(where, F.col("id").eqNullSafe(F.col("id2")) & (F.col("th") == F.col("th2"))).select("id", "th", "ws", F.explode("at").alias("a"))
+    where = materialize(where, "leak-documents")
+    few = may_be_among(known, F.xxhash64("id", "th"), where.select(F.xxhash64("id2", "th2").alias("h")), "may").filter("may")
+    held = few.join(where, F.col("id").eqNullSafe(F.col("id2")) & (F.col("th") == F.col("th2"))).select("id", "th", ws.alias("ws"), F.explode("at").alias("a"))
     first = F.greatest(F.col("a.start"), F.lit(0))
     window = F.slice("ws", first + 1, F.greatest(F.col("a.m") - (first - F.col("a.start")), F.lit(0)))
     cut = held.select("id", "th", first.alias("start"), F.col("a.m").alias("m"), window.alias("win")).withColumn("wk", F.xxhash64("win"))
@@ -141,7 +148,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILA
 
 
 def without_leaks(docs: DataFrame, leaks: DataFrame) -> DataFrame:
-    """docs without the rows, known by id and text, that hold an item."""
-    gone = leaks.select(F.col("doc_id").alias("__gone"), F.col("text_hash").alias("__hash")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("__gone")) & (F.xxhash64(whole_text("text")) == F.col("__hash"))
-    return docs.join(gone, same, "left_anti")
+    """docs without the rows, known by id and text, that hold an item. Only rows that may hold one are moved."""
+    gone = materialize(leaks.select(F.col("doc_id").alias("__gone"), F.col("text_hash").alias("__hash")).distinct(), "leaks")
+    hashed = may_be_among(docs.withColumn("__th", text_hash()), F.xxhash64("doc_id", "__th"), gone.select(F.xxhash64("__gone", "__hash").alias("h")), "__may")
+    same = F.col("doc_id").eqNullSafe(F.col("__gone")) & (F.col("__th") == F.col("__hash"))
+    return hashed.filter("NOT __may").select(*docs.columns).union(hashed.filter("__may").join(gone, same, "left_anti").select(*docs.columns))

@@ -5,19 +5,10 @@ most between fingerprints that are close. Each segment is indexed once per bit w
 bit as a wildcard, so segments at most one bit apart have an equal variant. An equality
 shuffle on the variant brings candidates together and the full distance verifies them.
 A bucket hands on a star over each of its components, never all its pairs.
-
-`near_duplicates` cuts 64 bits into `radius // 2 + 1` segments, which finds every pair
-within the radius. `similar_documents` serves a similarity of 0.8 on five-word
-shingles, where fingerprints differ in some 15 % of their bits and no cut of them is
-certain. It joins on the rarest shingles of each text: two sets that share `similarity`
-have one in common among the first `n - ceil(similarity * n) + 1` in any one order. Large
-buckets first give trees, and then, until none is left, pairs of groups still apart; the
-exact similarity decides every pair.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,85 +17,60 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from switchflow.llm.common import partitions, whole_text
+from switchflow.llm.common import may_be_among, partitions, settled, text_hash, whole_text
 from switchflow.llm.graph import connected_components
 from switchflow.session import materialize
 
+SHINGLE, RADIUS = 3, 3
 SHORT_RUN = 12  # buckets up to this size are compared pair by pair, larger ones by search from a frontier
 BLOCK = 1 << 14
-BITS = 512  # of the map of a shingle set
-PAIRS = 16  # pairs for each row of a large bucket and round
-SAMPLE, COMMON = 20_000, 100_000  # texts whose shingles are counted, shingles that count as common
-SLACK = 1e-9  # against rounding of a share times a size
-ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
-def fingerprint(words: list[bytes], shingle: int = 3, lanes: int = 1) -> np.ndarray:
-    """SimHash of the shingles (repeats count), 64 bits per lane; all zero without words."""
+def fingerprint(words: list[bytes], shingle: int = SHINGLE) -> np.uint64:
+    """64-bit SimHash of the shingles (repeats count); zero without words."""
     if not words:
-        return np.zeros(lanes, dtype="<u8")
+        return np.uint64(0)
     digest = xxhash.xxh64_intdigest
     n = max(1, len(words) - shingle + 1)
     hashes = np.fromiter((digest(b" ".join(words[i : i + shingle]), 42) for i in range(n)), dtype="<u8", count=n)
-    out = []
-    for lane in range(lanes):
-        if lane:  # another 64 bits from the same hash
-            hashes = (hashes ^ (hashes >> np.uint64(29))) * ODD
-            hashes ^= hashes >> np.uint64(32)
-        ones = np.zeros(64, dtype=np.int64)
-        for at in range(0, n, BLOCK):
-            bits = np.unpackbits(hashes[at : at + BLOCK].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-            ones += bits.sum(axis=0, dtype=np.int64)
-        out.append(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
-    return np.array(out, dtype="<u8")
-
-
-def with_fingerprints(docs: DataFrame, specs: dict[str, tuple[int, int]], id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(id, then a long column for each lane of each fingerprint). specs: name -> (shingle, lanes); a lane's column is name + lane."""
-    kind = docs.schema[id_column].dataType.simpleString()
-    names = [f"{name}{i}" for name, (_, lanes) in specs.items() for i in range(lanes)]
+    ones = np.zeros(64, dtype=np.int64)
+    for at in range(0, n, BLOCK):
+        bits = np.unpackbits(hashes[at : at + BLOCK].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        ones += bits.sum(axis=0, dtype=np.int64)
+    return np.packbits(2 * ones > n, bitorder="little").view("<u8")[0]
+
+
+def with_fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """(id, fp) of rows (id, text)."""
+    kind = docs.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = []
-            for t in b.column(1):
-                words = t.as_py().lower().split()  # bytes: only A-Z change, and only ASCII white space parts words
-                rows.append(np.concatenate([fingerprint(words, k, lanes) for k, lanes in specs.values()]))
-            got = np.array(rows, dtype="<u8").reshape(len(rows), len(names)).view("<i8")
-            yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array(got[:, i]) for i in range(len(names))]], names=["id", *names])
+            # Bytes: only A-Z change, and only ASCII white space parts words.
+            got = np.array([fingerprint(t.as_py().lower().split(), shingle) for t in b.column(1)], dtype="<u8").view("<i8")
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(got)], names=["id", "fp"])
 
-    schema = ", ".join([f"id {kind}", *[f"{n} long" for n in names]])
-    return docs.select(F.col(id_column).alias("id"), whole_text(text_column).cast("binary").alias("b")).mapInArrow(run, schema)
+    return docs.select("id", whole_text().cast("binary").alias("b")).mapInArrow(run, f"id {kind}, fp long")
 
 
-def variants(fps: DataFrame, index: list[str], segments: int) -> DataFrame:
+def variants(fps: DataFrame, segments: int) -> DataFrame:
     """One row per fingerprint and bit: `key` names the variant and holds its segment with that bit cleared.
 
-    Segments are cut evenly from the lanes of the index; each lies in one lane and has at most 40 bits.
+    The 64 bits are cut evenly; a segment has at most 40 bits.
     """
-    per_lane = -(-segments // len(index))
-    every, v = [], 0
-    for lane in index:
-        cuts = [round(i * 64 / per_lane) for i in range(per_lane + 1)]
-        for lo, hi in zip(cuts, cuts[1:], strict=False):
-            seg = F.shiftrightunsigned(F.col(lane), lo).bitwiseAND((1 << (hi - lo)) - 1)
-            for bit in range(hi - lo):
-                clear = ((1 << (hi - lo)) - 1) ^ (1 << bit)
-                every.append(F.lit(v << 40) + seg.bitwiseAND(clear))
-                v += 1
-    return fps.select(F.explode(F.array(*every)).alias("key"), *[c for c in fps.columns])
+    every, cuts = [], [round(i * 64 / segments) for i in range(segments + 1)]
+    for lo, hi in zip(cuts, cuts[1:], strict=False):
+        seg = F.shiftrightunsigned("fp", lo).bitwiseAND((1 << (hi - lo)) - 1)
+        for bit in range(hi - lo):
+            clear = ((1 << (hi - lo)) - 1) ^ (1 << bit)
+            every.append(F.lit((lo + bit) << 40) + seg.bitwiseAND(clear))
+    return fps.select(F.explode(F.array(*every)).alias("key"), "fp")
 
 
-def _distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(a ^ b).sum(axis=-1, dtype=np.int64)
-
-
-def _bucket_links(key: np.ndarray, fp: np.ndarray, radii: tuple[int, ...]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _bucket_links(key: np.ndarray, fp: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Positions (i, j) to link, for rows sorted by key that hold whole buckets.
 
-    Small buckets give all their pairs within the last radius. Large ones give, for each
-    radius, a tree over every component, so that a stricter test of the links keeps what
-    is joined at the smaller radii.
+    Small buckets give all their pairs within the radius, large ones a tree over every component.
     """
     starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
     lengths = np.diff(np.append(starts, len(key)))
@@ -118,41 +84,35 @@ def _bucket_links(key: np.ndarray, fp: np.ndarray, radii: tuple[int, ...]) -> It
         if not len(left):
             break
         i, j = at[left], at[left + step]
-        near = _distance(fp[i], fp[j]) <= radii[-1]
+        near = np.bitwise_count(fp[i] ^ fp[j]) <= radius
         yield i[near], j[near]
     for s, n in zip(starts[lengths > SHORT_RUN], lengths[lengths > SHORT_RUN], strict=True):
-        for radius in radii:
-            rest = np.arange(s, s + n)
-            while len(rest) > 1:
-                frontier, rest = [rest[0]], rest[1:]
-                while frontier and len(rest):
-                    here = frontier.pop()
-                    near = _distance(fp[rest], fp[here]) <= radius
-                    if near.any():
-                        found, rest = rest[near], rest[~near]
-                        frontier.extend(found)
-                        yield np.full(len(found), here), found
-
-
-def links(fps: DataFrame, index: list[str], verify: list[str], segments: int, radii: tuple[int, ...]) -> DataFrame:
-    """(u, v): links that join exactly the nodes which candidates within radii[-1] bits of `verify` join.
-
-    A node is named by the column `node`; where there is none, by the one column of verify.
-    """
-    named = "node" if "node" in fps.columns else verify[0]
-    lanes = list(dict.fromkeys([*verify, named]))
+        rest = np.arange(s, s + n)
+        while len(rest) > 1:
+            frontier, rest = [rest[0]], rest[1:]
+            while frontier and len(rest):
+                here = frontier.pop()
+                near = np.bitwise_count(fp[rest] ^ fp[here]) <= radius
+                if near.any():
+                    found, rest = rest[near], rest[~near]
+                    frontier.extend(found)
+                    yield np.full(len(found), here), found
+
+
+def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """(u, v): links between different fingerprints that join exactly those which pairs within the radius join."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(key, fp):
-            name = fp[:, lanes.index(named)].view("<i8")
-            for i, j in _bucket_links(key, fp[:, : len(verify)], radii):
+            name = fp.view("<i8")
+            for i, j in _bucket_links(key, fp, radius):
                 if len(i):
                     yield pa.RecordBatch.from_arrays([pa.array(name[i]), pa.array(name[j])], names=["u", "v"])
 
-        key, fp = np.empty(0, "<i8"), np.empty((0, len(lanes)), "<u8")
+        key, fp = np.empty(0, "<i8"), np.empty(0, "<u8")
         for b in batches:
             key = np.concatenate([key, b.column(0).to_numpy()])
-            fp = np.concatenate([fp, np.stack([b.column(1 + w).to_numpy().view("<u8") for w in range(len(lanes))], axis=1)])
+            fp = np.concatenate([fp, b.column(1).to_numpy().view("<u8")])
             cut = int(np.searchsorted(key, key[-1])) if len(key) else 0  # the last bucket may go on
             if cut:
                 yield from out(key[:cut], fp[:cut])
@@ -160,29 +120,27 @@ def links(fps: DataFrame, index: list[str], verify: list[str], segments: int, ra
         if len(key):
             yield from out(key, fp)
 
-    lean = variants(fps.select(*dict.fromkeys([*index, *lanes])), index, segments).select("key", *lanes)
+    lean = variants(fps.select("fp"), radius // 2 + 1)
     # In the same order everywhere, trees of one group have the same roots in all its buckets, and few different links.
-    dealt = lean.repartition(partitions(fps.sparkSession), "key").sortWithinPartitions("key", named)
+    dealt = lean.repartition(partitions(fps.sparkSession), "key").sortWithinPartitions("key", "fp")
     pairs = dealt.mapInArrow(run, "u long, v long")
     return pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
 
 
-def _nodes(held: DataFrame, lanes: list[str]) -> DataFrame:
-    """One row per fingerprint, with its smallest id: copies are never paired with each other."""
-    return materialize(held.groupBy("node", *lanes).agg(F.min("id").alias("first")), "simhash-nodes")
-
-
-def _named(held: DataFrame, nodes: DataFrame, found: DataFrame) -> DataFrame:
-    """held with component_id, the smallest id of each node's component."""
-    labels = connected_components(found)
-    named = nodes.join(labels, "node", "left").select("node", "first", F.coalesce("label", "node").alias("label"))
-    named = materialize(named, "simhash-labels")
-    smallest = materialize(named.groupBy("label").agg(F.min("first").alias("component_id")), "simhash-components")
-    member = materialize(named.select("node", "label").distinct().join(smallest, "label").select("node", "component_id"), "simhash-members")
-    return held.join(member, "node")
+def _components(rows: DataFrame, shingle: int, radius: int) -> DataFrame:
+    """(id, fp, component_id) of rows (id, text)."""
+    held = materialize(with_fingerprints(rows, shingle), "simhash")
+    # One row per fingerprint: copies are never paired with each other.
+    nodes = materialize(held.groupBy("fp").agg(F.min("id").alias("first")), "simhash-nodes")
+    labels = connected_components(links(nodes, radius))
+    named = nodes.join(labels.select(F.col("node").alias("fp"), "label"), "fp", "left")
+    named = materialize(named.select("fp", "first", F.coalesce("label", "fp").alias("label")), "simhash-labels")
+    smallest = named.groupBy("label").agg(F.min("first").alias("component_id"))
+    member = materialize(named.select("fp", "label").join(smallest, "label").select("fp", "component_id"), "simhash-members")
+    return held.join(member, "fp").select("id", "fp", "component_id")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(id column, fp, component_id): one row for each row of docs; fingerprints at most `radius` bits apart are linked.
 
     component_id is the smallest id that a chain of links reaches, the row's own id
@@ -191,298 +149,31 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3, id_colum
     0 and link like any other; repeated rows each come back; an empty table gives an
     empty result; other columns of docs are not read.
     """
-    held = materialize(with_fingerprints(docs, {"fp": (shingle, 1)}, id_column, text_column), "simhash").withColumn("node", F.col("fp0"))
-    nodes = _nodes(held, ["fp0"])
-    found = links(nodes.select("fp0"), ["fp0"], ["fp0"], radius // 2 + 1, (radius,))
-    return _named(held, nodes, found).select(F.col("id").alias(id_column), F.col("fp0").alias("fp"), "component_id")
-
-
-def shingle_set(text: bytes, shingle: int) -> np.ndarray:
-    """64-bit hashes of the different shingles of a text, ascending; fewer words are one shingle."""
-    words = text.lower().split()
-    n = max(1, len(words) - shingle + 1) if words else 0
-    digest = xxhash.xxh64_intdigest
-    return np.unique(np.fromiter((digest(b" ".join(words[i : i + shingle])) for i in range(n)), dtype="<u8", count=n))
-
-
-def _common(rows: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes ascending, counts) of shingles that many texts of a sample have.
-
-    They only order the shingles of a text; any order finds the same links, and one
-    with the common shingles last keeps buckets small.
-    """
-
-    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for t in b.column(0):
-                yield pa.RecordBatch.from_arrays([pa.array(shingle_set(t.as_py(), shingle).view("<i8"))], names=["h"])
+    rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
+    found = settled(docs.sparkSession, lambda: _components(rows, shingle, radius), "near-duplicates")
+    return found.withColumnRenamed("id", id_column)
 
-    part = max(1, rows.count() // SAMPLE)
-    sample = rows.filter(F.pmod(F.xxhash64("text"), F.lit(part)) == 0).select("text")
-    top = sample.mapInArrow(hashes, "h long").groupBy("h").agg(F.count("*").alias("n")).filter("n > 2").orderBy(F.desc("n"), "h").limit(COMMON).collect()
-    got = np.array([r.h for r in top], dtype="<i8").view("<u8")
-    order = np.argsort(got)
-    return got[order], np.array([r.n for r in top], dtype="<i8")[order]
 
+def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """One row of docs for each component of `near_duplicates`, in its columns.
 
-def _with_sets(rows: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """(id, node, n, map, pre): node names the shingle set and n is its size.
-
-    map has a bit for each of 512 classes of shingles, set where their number is odd. pre
-    holds the first shingles in the order of `_common`: two sets that share `similarity`
-    have one of these in common.
-    """
-    known, counts = _common(rows, shingle)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            node, size, bits, pre = [], [], [], []
-            for t in b.column(1):
-                s = shingle_set(t.as_py(), shingle)
-                node.append(xxhash.xxh64_intdigest(s.tobytes(), 7))
-                size.append(len(s))
-                bits.append(np.packbits(np.bincount((s & np.uint64(BITS - 1)).astype(np.int64), minlength=BITS) & 1).tobytes())
-                if len(known) and len(s):
-                    at = np.minimum(np.searchsorted(known, s), len(known) - 1)
-                    s = s[np.lexsort((s, np.where(known[at] == s, counts[at], 0)))]
-                pre.append(s[: len(s) - math.ceil(similarity * len(s) - SLACK) + 1].view("<i8"))
-            columns = [pa.array(np.array(node, "<u8").view("<i8")), pa.array(size, pa.int32()), pa.array(bits, pa.binary()), pa.array(pre, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([b.column(0), *columns], names=["id", "node", "n", "map", "pre"])
-
-    kind = rows.schema["id"].dataType.simpleString()
-    return rows.select("id", "text").mapInArrow(run, f"id {kind}, node long, n int, map binary, pre array<bigint>")
-
-
-class _Bucket:
-    """Sets that share a shingle: their sizes, the place of the shingle in each, and maps if known."""
-
-    def __init__(self, sizes: np.ndarray, maps: np.ndarray | None, similarity: float):
-        self.n, self.rest = sizes >> 32, (sizes >> 32) - (sizes & 0xFFFFFFFF)
-        self.maps, self.share = maps, similarity / (1 + similarity)
-
-    def may(self, a: np.ndarray, b: np.ndarray, part: float = 1.0) -> np.ndarray:
-        """Whether a and b can be alike; never false for sets that are and have this shingle as the first in common.
-
-        With a smaller part, whether the maps lie so much closer than they need to.
-        """
-        both = self.n[a] + self.n[b]
-        least = np.ceil(self.share * both - SLACK).astype(np.int64)
-        out = np.minimum(self.rest[a], self.rest[b]) >= least
-        if self.maps is not None:
-            out &= _distance(self.maps[a], self.maps[b]) <= part * (both - 2 * least)
-        return out
-
-    def forest(self, rows: np.ndarray, part: float) -> Iterator[tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]]:
-        """(rows, tree) of every component of `may` with more than one row."""
-        rest = rows
-        while len(rest) > 1:
-            frontier, rest = [rest[0]], rest[1:]
-            own, tree = [frontier[0]], []
-            while frontier and len(rest):
-                here = frontier.pop()
-                near = self.may(rest, np.full(len(rest), here), part)
-                if near.any():
-                    new, rest = rest[near], rest[~near]
-                    frontier.extend(new)
-                    own.extend(new)
-                    tree.append((np.full(len(new), here), new))
-            if tree:
-                yield np.array(own), tree
-
-    def likely(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Some pairs that can be alike, as many as rows a few times: what is close, and what is around the middle of a group."""
-        for own, tree in self.forest(np.arange(len(self.n)), 1.0):
-            yield from tree
-            if len(own) > 2:
-                ones = np.zeros(BITS, dtype=np.int64)
-                for at in range(0, len(own), BLOCK):
-                    ones += np.unpackbits(self.maps[own[at : at + BLOCK]].view(np.uint8), axis=1).sum(axis=0, dtype=np.int64)
-                middle = own[np.argmin(_distance(self.maps[own], np.packbits(2 * ones > len(own)).view("<u8")))]
-                star = own[own != middle]
-                star = star[self.may(star, np.full(len(star), middle))]
-                yield np.full(len(star), middle), star
-                for _, closer in self.forest(np.sort(own), 0.5):
-                    yield from closer
-
-    def other(self, label: np.ndarray, done: int) -> tuple[list[tuple[np.ndarray, np.ndarray]], int]:
-        """Pairs of different labels that can be alike, and how far they go.
-
-        Row i meets row i + d for rising d; all d up to `done` had their turn. Half the
-        number of rows is the last; it stops earlier when the pairs become many.
-        """
-        size, half = len(label), len(label) // 2
-        if (label == label[0]).all():
-            return [], half
-        out, total, rows = [], 0, np.arange(size)
-        while done < half and total < PAIRS * size:
-            done += 1
-            there = (rows + done) % size
-            a = np.flatnonzero(label != label[there])
-            a = a[self.may(a, there[a])]
-            total += len(a)
-            if len(a):
-                out.append((a, there[a]))
-        return out, done
-
-
-def _buckets(rows: DataFrame, out: str, body) -> DataFrame:
-    """body(columns, start, end) over each bucket of rows; the first column is its key. body yields record batches of `out`."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
-        for b in batches:
-            if b.num_rows:
-                held = pa.Table.from_batches([b] if held is None else [*held.to_batches(), b])
-                key = held.column(0).to_numpy()
-                cut = int(np.searchsorted(key, key[-1]))  # the last bucket may go on
-                if cut:
-                    yield from body(held.slice(0, cut))
-                    held = held.slice(cut)
-        if held is not None:
-            yield from body(held)
-
-    dealt = rows.repartition(partitions(rows.sparkSession), "key").sortWithinPartitions("key", "node")
-    return dealt.mapInArrow(run, out)
-
-
-def _pairs(key, node, pairs) -> Iterator[pa.RecordBatch]:
-    for i, j in pairs:
-        if len(i):
-            u, v = np.maximum(node[i], node[j]), np.minimum(node[i], node[j])
-            yield pa.RecordBatch.from_arrays([pa.array(key[i]), pa.array(u), pa.array(v), pa.array(np.zeros(len(i), np.int64))], names=["key", "u", "v", "x"])
-
-
-def _edges(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-    return starts, np.diff(np.append(starts, len(key)))
-
-
-def _first_pairs(rows: DataFrame, similarity: float) -> DataFrame:
-    """(key, u, v, x) from rows (key, node, x): all pairs of small buckets that can be alike; of large ones the rows, v null."""
-
-    def body(t: pa.Table) -> Iterator[pa.RecordBatch]:
-        key, node, x = (t.column(c).to_numpy() for c in range(3))
-        _, lengths = _edges(key)
-        size = np.repeat(lengths, lengths)
-        at = np.flatnonzero((size > 1) & (size <= SHORT_RUN))
-        k, left, bucket = key[at], np.arange(len(at)), _Bucket(x, None, similarity)
-        for step in range(1, SHORT_RUN):
-            left = left[left + step < len(k)]
-            left = left[k[left] == k[left + step]]
-            if not len(left):
-                break
-            i, j = at[left], at[left + step]
-            ok = bucket.may(i, j)
-            yield from _pairs(key, node, [(i[ok], j[ok])])
-        large = np.flatnonzero(size > SHORT_RUN)
-        if len(large):
-            yield pa.RecordBatch.from_arrays([pa.array(key[large]), pa.array(node[large]), pa.nulls(len(large), pa.int64()), pa.array(x[large])], names=["key", "u", "v", "x"])
-
-    return _buckets(rows.select("key", "node", "x"), "key long, u long, v long, x long", body)
-
-
-def _large_pairs(rows: DataFrame, similarity: float, first: bool) -> DataFrame:
-    """(key, u, v, x) from rows (key, node, x, map, label, done) of large buckets: pairs to judge; of buckets with more to come, v null and done in x."""
-
-    def body(t: pa.Table) -> Iterator[pa.RecordBatch]:
-        key, node, x = (t.column(c).to_numpy() for c in range(3))
-        maps = np.frombuffer(b"".join(t.column(3).to_pylist()), "<u8").reshape(len(key), -1)
-        label, done = t.column(4).to_numpy(), t.column(5).to_numpy()
-        for s, n in zip(*_edges(key), strict=True):
-            own = slice(s, s + n)
-            bucket = _Bucket(x[own], maps[own], similarity)
-            if first:
-                yield from _pairs(key[own], node[own], bucket.likely())
-                continue
-            found, upto = bucket.other(label[own], int(done[s]))
-            yield from _pairs(key[own], node[own], found)
-            if upto < n // 2:
-                yield pa.RecordBatch.from_arrays([pa.array([key[s]]), pa.array([0]), pa.nulls(1, pa.int64()), pa.array([upto])], names=["key", "u", "v", "x"])
-
-    return _buckets(rows.select("key", "node", "x", "map", "label", "done"), "key long, u long, v long, x long", body)
-
-
-def _alike(found: DataFrame, nodes: DataFrame, docs: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """The pairs whose texts share `similarity` of their shingles (Jaccard); docs (rk, text), rk as in nodes."""
-    ends = found.select(F.col("u").alias("node")).union(found.select("v")).distinct()
-    wanted = materialize(nodes.join(ends, "node", "left_semi").select("node", F.col("first.rk").alias("rk")), "similar-nodes")
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            got = [shingle_set(t, shingle).tobytes() for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(got, pa.binary())], names=["node", "s"])
-
-    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            keep = []
-            for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
-                p, q = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
-                shared = len(np.intersect1d(p, q, assume_unique=True))
-                keep.append(shared >= similarity * (len(p) + len(q) - shared) - SLACK)
-            b = b.filter(pa.array(keep, pa.bool_()))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["u", "v"])
-
-    # Equal rows repeat; one of them tells the set.
-    of = materialize(docs.join(wanted, "rk").select("node", "text").mapInArrow(sets, "node long, s binary").dropDuplicates(["node"]), "similar-sets")
-    one = found.join(of.select(F.col("node").alias("u"), F.col("s").alias("a")), "u")
-    both = one.join(of.select(F.col("node").alias("v"), F.col("s").alias("b")), "v")
-    return materialize(both.select("u", "v", "a", "b").mapInArrow(judge, "u long, v long"), "similar-links")
-
-
-def similar_documents(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
-    """(doc_id, text_hash, component_id, component_hash): documents that share `similarity` of their different shingles are linked.
-
-    A row is known by doc_id and text_hash, its component by those of the first row in it:
-    the smallest id, rows without one last. The links are exact. Texts without words are
-    alike. Repeats come back as often as they came, an empty table gives an empty result,
-    other columns are not read.
-    """
-    text = whole_text().cast("binary")
-    rows = docs.select(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.xxhash64(text).alias("th")).alias("id"), text.alias("text"))
-    rows = rows.withColumn("id", F.struct("id.*", F.xxhash64("id.none", "id.doc_id", "id.th").alias("rk")))
-    held = materialize(_with_sets(rows, shingle, similarity), "similar")
-    nodes = _nodes(held, [])
-    texts = rows.select("id.rk", "text")
-    judged = lambda pairs: _alike(materialize(pairs.select("u", "v").distinct(), "similar-pairs"), nodes, texts, shingle, similarity)
-
-    sets = held.groupBy("node").agg(F.first("n").alias("n"), F.first("pre").alias("pre"))
-    rare = sets.select("node", "n", F.posexplode("pre").alias("pos", "key"))
-    out = materialize(_first_pairs(rare.select("key", "node", F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("pos")).alias("x")), similarity), "similar-buckets")
-    found, large = out.filter("v IS NOT NULL"), out.filter("v IS NULL").select("key", F.col("u").alias("node"), "x")
-    if large.isEmpty():
-        return _firsts(_named(held, nodes, judged(found)))
-    maps = held.select("node", "map").join(large.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.first("map").alias("map"))
-    large = materialize(large.join(maps, "node"), "similar-large")
-    likely = _large_pairs(large.withColumn("label", F.col("node")).withColumn("done", F.lit(0).cast("long")), similarity, True)
-    found = judged(found.unionByName(likely))
-    # What large buckets hold of different groups is judged pair by pair, a bounded number for each row and round.
-    todo = large.withColumn("done", F.lit(0).cast("long"))
-    while True:
-        label = connected_components(found).withColumnRenamed("label", "root")
-        rest = todo.join(label, "node", "left").withColumn("label", F.coalesce("root", "node"))
-        out = materialize(_large_pairs(rest, similarity, False), "similar-rest")
-        pairs = out.filter("v IS NOT NULL")
-        if not pairs.isEmpty():
-            found = found.union(judged(pairs))
-        left = out.filter("v IS NULL").select("key", F.col("x").alias("done"))
-        if left.isEmpty():
-            return _firsts(_named(held, nodes, found))
-        todo = large.join(left, "key")
-
-
-def _firsts(named: DataFrame) -> DataFrame:
-    return named.select("id.doc_id", F.col("id.th").alias("text_hash"), F.col("component_id.doc_id").alias("component_id"), F.col("component_id.th").alias("component_hash"))
-
-
-def keep_first(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """The rows of docs that are the first of their component.
-
-    All rows with the id and text of the first stay if it has an id; without one they are
-    copies, and one stays.
+    It is the one with the smallest id, rows without an id last; of several rows with this
+    id, the one whose text has the smallest hash; of equal ones, any one. Only rows that
+    may have to go, by a bitmap of their ids and texts, are moved.
     """
-    first = F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("text_hash") == F.col("component_hash"))
-    gone = materialize(found.filter(~first).select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__gone")).distinct(), "similar-gone")
-    hashed = docs.withColumn("__hash", F.xxhash64(whole_text().cast("binary")))
-    kept = hashed.join(gone, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__gone")), "left_anti")
-    nameless = kept.filter("doc_id IS NULL").groupBy("__hash").agg(F.first(F.struct(*docs.columns)).alias("__row"))
-    return kept.filter("doc_id IS NOT NULL").select(*docs.columns).union(nameless.select("__row.*"))
+    row = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), text_hash().alias("th"))
+    found = near_duplicates(docs.select(row.alias("id"), "text"), shingle, radius, "id")
+
+    def dropped() -> DataFrame:
+        # Rows that are not the first of their component, and those of which there are several.
+        copies = found.groupBy("id").agg(F.count("*").alias("n"), F.first("component_id").alias("component_id"))
+        first = F.col("id").eqNullSafe(F.col("component_id"))
+        return copies.filter(~first | (F.col("n") > 1)).select(F.col("id.doc_id").alias("__id"), F.col("id.th").alias("__gone"), first.alias("__first"))
+
+    gone = settled(docs.sparkSession, dropped, "near-duplicates-gone")
+    hashed = may_be_among(docs.withColumn("__hash", text_hash()), F.xxhash64("doc_id", "__hash"), gone.select(F.xxhash64("__id", "__gone").alias("h")), "__may")
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__gone"))
+    moved = hashed.filter("__may")
+    several = moved.join(gone.filter("__first"), same, "left_semi").groupBy("doc_id", "__hash").agg(F.first(F.struct(*[F.col(c) for c in docs.columns])).alias("__row"))
+    kept = hashed.filter("NOT __may").select(*docs.columns).union(moved.join(gone, same, "left_anti").select(*docs.columns))
+    return kept.union(several.select("__row.*"))

@@ -1,7 +1,5 @@
 """Each stage against a plain version on its own input."""
 
-import re
-
 import corpus_pipeline as cp
 import __spark_entry__ as entry
 from pyspark.sql import functions as F
@@ -10,12 +8,7 @@ from switchflow.session import materialize
 from tests.llm.cases import ODD, documents
 from tests.llm.test_decontaminate import plain as plain_leaks
 from tests.llm.test_decontaminate import words
-
-
-def shingles(text):
-    ws = re.findall(r"[^\x20\x09-\x0D]+", text or "")
-    ws = [w.lower() for w in ws]
-    return {tuple(ws[i : i + 5]) for i in range(max(1, len(ws) - 4))}
+from tests.llm.test_simhash import plain_components, plain_fingerprint
 
 
 def test_stages(spark):
@@ -33,17 +26,14 @@ def test_stages(spark):
     gone = set(texts["quality classifier"]) - set(texts["SimHash near-dedup"])
     good = [i for i, q in labels.items() if q == 1]
     assert sum(i in gone for i in good) <= 0.02 * len(good) and sum(i in gone for i, q in labels.items() if q == 0) >= 0.8 * (len(labels) - len(good))
-    # Near-duplicates: nothing 0.8 alike is left twice, and what went had something like it.
+    # Near-duplicates: of every component of fingerprints the smallest id is left.
     before, after = texts["SimHash near-dedup"], texts["benchmark decontamination"]
-    sets = {i: shingles(t) for i, t in before.items()}
-    holders = {}
-    for i, s in sets.items():
-        for x in s:
-            holders.setdefault(x, set()).add(i)
-    alike = lambda i: {j: len(sets[i] & sets[j]) / len(sets[i] | sets[j]) for j in set().union(*(holders[x] for x in sets[i])) - {i}}
-    assert all(max(alike(i).values(), default=0) >= 0.8 for i in before if i not in after)
-    missed = [i for i in after if any(j in after and s >= 0.8 for j, s in alike(i).items())]
-    assert len(missed) <= 2
+    ids = sorted(before)
+    label = plain_components([plain_fingerprint(before[i]) for i in ids], lambda x, y: (x ^ y).bit_count() <= 3)
+    smallest = {}
+    for i, of in zip(ids, label, strict=True):
+        smallest.setdefault(of, i)
+    assert set(after) == set(smallest.values()) and len(after) < len(before)
     leaks = plain_leaks_of(after, spark.read.parquet(f"{sf}/benchmark.parquet").select("item_id", "text").collect())
     assert set(after) - set(texts["PII"]) == leaks
     left = texts["best-fit packing"] if "best-fit packing" in texts else {}
@@ -77,5 +67,5 @@ def test_odd_rows_pass_every_stage(spark, sf):
 
 def test_all_are_registered():
     names = entry.queries()
-    assert [n for n in range(1, 11) if not any(q.startswith(f"op{n}_") for q in names)] == []
+    assert [n for n in range(1, 14) if not any(q.startswith(f"op{n}_") for q in names)] == []
     assert "pipeline" in names and set(queries.ORACLE) <= set(entry.oracle_sql())

@@ -59,7 +59,7 @@ def test_every_pair_within_the_radius_is_joined(spark):
                 fp ^= 1 << bit
     fps = sorted(set(fps))
     signed = [(int(np.array(f, "<u8").view("<i8")),) for f in fps]
-    links = simhash.links(spark.createDataFrame(signed, "fp0 long"), ["fp0"], ["fp0"], 2, (3,))
+    links = simhash.links(spark.createDataFrame(signed, "fp long"))
     label = dict(connected_components(links).collect())
     want = plain_components(fps, lambda a, b: (a ^ b).bit_count() <= 3)
     got = [label.get(s[0], s[0]) for s in signed]
@@ -72,101 +72,35 @@ def test_components_of_a_long_chain(spark):
     assert got == {**{i: 0 for i in range(1, 41)}, 101: 100}
 
 
-def test_similar_documents(spark):
-    rng = random.Random(5)
-    vocabulary = ["".join(rng.choices("abcdefghilmnoprstu", k=rng.randint(3, 9))) for _ in range(2000)]
-    rows, groups = [], 150
-    for g in range(groups):
-        words = rng.choices(vocabulary, k=200)
-        rows.append((3 * g, " ".join(words)))
-        other = list(words)
-        for at in rng.sample(range(200), 3):
-            other[at] = "zz" + other[at]  # about 0.86 alike
-        rows.append((3 * g + 1, " ".join(other)))
-        rows.append((3 * g + 2, " ".join(words[:100] + rng.choices(vocabulary, k=100))))  # about 0.33 alike
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
-    found = simhash.similar_documents(docs)
-    got = {r.doc_id: r.component_id for r in found.collect()}
-    assert sum(got[3 * g + 1] == 3 * g for g in range(groups)) >= 0.97 * groups
-    assert all(got[3 * g + 2] == 3 * g + 2 for g in range(groups))
-    assert simhash.keep_first(docs.withColumn("component_id", F.lit(0)), found).columns == ["doc_id", "text", "component_id"]
-
-
-def jaccard_components(texts, near=0.8):
-    sets = []
-    for t in texts:
-        ws = t.lower().split()
-        sets.append({tuple(ws[i : i + 5]) for i in range(max(1, len(ws) - 4))} if ws else set())
-    return plain_components(sets, lambda a, b: len(a & b) >= near * len(a | b))
-
-
-def words_of(rng, n):
-    return ["".join(rng.choices("abcdefghilmnoprstu", k=9)) for _ in range(n)]
-
-
-def groups_of(spark, texts):
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    got = {r.doc_id: r.component_id for r in simhash.similar_documents(docs).collect()}
-    return [got[i] for i in range(len(texts))]
-
-
-def test_large_group_of_edited_copies(spark):
-    rng = random.Random(8)
-    texts = []
-    for copies in (300, 30):
-        words = words_of(rng, 200)
-        for _ in range(copies):
-            other = list(words)
-            for at in rng.sample(range(200), rng.randint(3, 4)):
-                other[at] = "".join(rng.choices("vwxyz", k=8))
-            texts.append(" ".join(other))
-        texts.append(" ".join(words))
-    assert groups_of(spark, texts) == jaccard_components(texts)
-
-
-def test_every_pair_of_a_large_bucket_has_its_turn():
-    rng = random.Random(4)
-    n = 100
-    sizes = np.full(n, 200 << 32, dtype=np.int64)
-    bucket = simhash._Bucket(sizes, np.zeros((n, 8), "<u8"), 0.8)
-    label = np.array([rng.randrange(5) for _ in range(n)])
-    seen, done, rounds = set(), 0, 0
-    while done < n // 2:
-        pairs, done = bucket.other(label, done)
-        seen |= {frozenset((int(i), int(j))) for a, b in pairs for i, j in zip(a, b, strict=True)}
-        rounds += 1
-    assert rounds > 1 and seen == {frozenset((i, j)) for i in range(n) for j in range(i) if label[i] != label[j]}
-
-
-def test_appended_and_truncated_copies(spark):
-    rng = random.Random(12)
-    texts = []
-    for g in range(80):
-        words = words_of(rng, 200)
-        extra = words_of(rng, 48)
-        other = {0: words + extra, 1: words[:165], 2: words[35:], 3: words[:100] + extra[:40] + words[100:]}[g % 4]
-        texts += [" ".join(words), " ".join(other)]
-    got = groups_of(spark, texts)
-    assert got == jaccard_components(texts) and sum(got[i] != i for i in range(len(texts))) == 80
-
-
-def test_repeated_lines(spark):
-    rng = random.Random(13)
-    line = words_of(rng, 21)
-    texts = [" ".join(line * 60 + words_of(rng, 40)) for _ in range(20)]  # equal prints, 0.2 alike
-    for _ in range(20):
-        words = words_of(rng, 300)
-        texts += [" ".join(words + line), " ".join(words + line * 40)]  # 0.9 alike, prints far apart
-    got = groups_of(spark, texts)
-    assert got == jaccard_components(texts) and got[:20] == list(range(20)) and sum(got[i] != i for i in range(len(texts))) == 20
-
-
-def test_rows_are_kept_by_id_and_text(spark):
+def test_one_row_of_each_component_is_kept(spark):
     rng = random.Random(14)
-    a, b, c, d = (" ".join(words_of(rng, 50)) for _ in range(4))
-    rows = [(1, a), (2, a), (2, b), (None, a), (None, c), (None, c), (None, d), (3, c.upper()), (4, d + " tail"), (None, None), (None, "")]
-    rows += [(None, "x" + d[1:]), (5, b)] + [(None, b[::-1])] * 3
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
-    got = [(r.doc_id, r.text or "") for r in simhash.keep_first(docs, simhash.similar_documents(docs)).collect()]
-    want = [(1, a), (2, b), (3, c.upper()), (4, d + " tail"), (None, b[::-1]), (None, "")]
-    assert sorted(got, key=str) == sorted(want, key=str)
+    a, b, c, d = (" ".join("".join(rng.choices("abcdefghilmnoprstu", k=9)) for _ in range(200)) for _ in range(4))
+    rows = [(1, a), (2, a), (2, b), (2, b), (None, a), (None, c), (None, c), (None, d), (3, c.upper()), (4, d + " tail"), (None, None), (None, ""), (5, b)]
+    rows += [(None, b[::-1])] * 3 + [(6, a[::-1])] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("fp", F.lit("clash")).withColumn("component_id", F.lit(1))
+    got = simhash.keep_one(docs)
+    assert got.columns == docs.columns
+    fps = [plain_fingerprint(t) for _, t in rows]
+    label = plain_components(fps, lambda x, y: (x ^ y).bit_count() <= 3)
+    kept = [(r.doc_id, r.text or "") for r in got.collect()]
+    groups = {}
+    for row, of in zip(rows, label, strict=True):
+        groups.setdefault(of, []).append(row)
+    assert len(kept) == len(groups)
+    for own in groups.values():
+        ids = [i for i, _ in own if i is not None]
+        assert sum((i, t) in [(x, y or "") for x, y in own] and i == (min(ids) if ids else None) for i, t in kept) == 1
+    assert simhash.keep_one(docs.limit(0)).count() == 0
+
+
+def test_large_groups_of_copies(spark):
+    rng = random.Random(15)
+    words = ["".join(rng.choices("abcdefghilmnoprstu", k=9)) for _ in range(400)]
+    rows = [(i, " ".join(words)) for i in range(500)]
+    for i in range(500, 900):
+        other = list(words)
+        other[rng.randrange(400)] = f"w{i}"
+        rows.append((i, " ".join(other)))
+    found = {r.doc_id: r.component_id for r in simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    label = plain_components(sorted({plain_fingerprint(t) for _, t in rows}), lambda x, y: (x ^ y).bit_count() <= 3)
+    assert len(set(found.values())) == len(set(label)) and all(found[i] == 0 for i in range(500))
