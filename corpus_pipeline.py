@@ -9,13 +9,13 @@ operators' docstrings say.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from switchflow.llm import decontaminate, packing, pii, quality_model, simhash
-from switchflow.llm.common import table
-from switchflow.session import materialize
+from switchflow.llm.common import settled, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,8 +25,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each group that is 0.8 alike in five-word shingles."""
-    return simhash.keep_first(docs, simhash.similar_documents(docs))
+    """One document of each group whose SimHashes a chain of steps of 3 bits or fewer joins."""
+    return simhash.keep_one(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,8 +61,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over `documents`, each written and read again."""
+    """All stages over `documents`, each written and read again; what a stage wrote on its way is removed."""
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), "pipeline")
+        docs = settled(spark, partial(stage, spark, docs, sf_dir), "pipeline")
     return docs
