@@ -1,8 +1,9 @@
 """Aggregate expressions, and exact order statistics that survive hot groups.
 
 The built-in exact `median` keeps every value of a group in one buffer. A group here
-can hold a large part of the table (all offers of one week, one price band), so
-`exact_quantiles` and `average_rank` below never bring a whole group together.
+can hold a large part of the table (all offers of one week, one price band), so the
+quantiles and `average_rank_large` below work on running counts, whose groups are cut
+when they are large.
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from switchflow.operators.joins import join_nullsafe
+from switchflow.operators.running import RUN_ROWS, with_running
+from switchflow.session import materialize
 
 
 def _col(c: Column | str) -> Column:
@@ -47,114 +50,36 @@ def pct_in(c: Column | str, values: Sequence[str]) -> Column:
     return pct(F.coalesce(_col(c).isin(*values), F.lit(False)))
 
 
-def exact_quantiles(
-    df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float], accuracy: int = 20_000
-) -> DataFrame:
+def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float], rows: int = RUN_ROWS) -> DataFrame:
     """Exact interpolated quantiles per group, one column per entry of `probs`.
 
-    1. A sketch per group (fixed size, combined on the map side) gives for every
-       probability two values that are certain to enclose the wanted ranks.
-    2. Rows outside all enclosures are only counted; rows inside are counted per
-       distinct value. Both happen in one map-side combined aggregation, so a hot
-       group arrives as a few thousandths of its rows.
-    3. Running counts over those cells, cut into ranges, find the exact ranks.
-
-    `df` is read twice: pass a written frame if it is expensive to compute. Groups
-    without any non-null value do not appear.
+    Values are counted (on the map side first), the counts written and summed up in the
+    order of the values; the wanted ranks are then picked. `rows`: see `with_running`.
+    Nulls and NaN have no rank; groups without any other value do not appear.
     """
-    keys = list(keys)
-    names = sorted(probs, key=lambda n: probs[n])
-    margin = 4.0 / accuracy
-    # Interpolation reaches one rank beyond p * n, except at the median. The margin
-    # covers that rank once a group has 2 / margin rows; smaller groups count as inside.
-    whole = 0 if all(p == 0.5 for p in probs.values()) else int(2 / margin)
-    edges = []
-    for name in names:
-        edges += [max(0.0, probs[name] - margin), min(1.0, probs[name] + margin)]
+    return weighted_quantiles(df.withColumn("_c", F.lit(1)), keys, value, "_c", probs, rows)
 
-    v = _col(value).cast("double")
-    base = df.select(*keys, v.alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    sketch = [F.count("_v").alias("_n"), F.percentile_approx("_v", edges, accuracy).alias("_q")]
-    if keys:
-        placed = join_nullsafe(base, base.groupBy(*keys).agg(*sketch), keys, "inner")
-    else:
-        one = base.agg(F.struct(*sketch).alias("s"))
-        placed = base.withColumn("_s", one.scalar()).select("_v", "_s._n", "_s._q")
-
-    inside = F.col("_n") <= whole
-    for i in range(len(names)):
-        inside = inside | F.col("_v").between(F.col("_q")[2 * i], F.col("_q")[2 * i + 1])
-    below = F.array_max(F.filter("_q", lambda q: q < F.col("_v")))
-    cells = (
-        placed.select(
-            *keys,
-            "_n",
-            F.when(inside, F.col("_v")).otherwise(below).alias("_at"),
-            F.when(inside, 0).otherwise(1).alias("_gap"),
-        )
-        .groupBy(*keys, "_n", "_at", "_gap")
-        .agg(F.count(F.lit(1)).alias("_c"))
-    )
-    return _at_ranks(cells, keys, probs, names)
-
-
-def weighted_quantiles(cells: DataFrame, keys: Sequence[str], value: str, count: str, probs: dict[str, float]) -> DataFrame:
-    """`exact_quantiles` of values that are counted already; null and NaN values have no rank.
-
-    `cells` is read several times: pass a written frame.
-    """
-    if not keys:
-        return weighted_quantiles(cells.withColumn("_all", F.lit(0)), ["_all"], value, count, probs).drop("_all")
+
+def weighted_quantiles(
+    cells: DataFrame, keys: Sequence[str], value: str, count: str, probs: dict[str, float], rows: int = RUN_ROWS
+) -> DataFrame:
+    """`exact_quantiles` of values that are counted already."""
     keys = list(keys)
     v = _col(value).cast("double")
     own = cells.select(*keys, v.alias("_at"), _col(count).cast("long").alias("_c")).filter(F.col("_at").isNotNull() & ~F.isnan("_at"))
-    own = own.groupBy(*keys, "_at").agg(F.sum("_c").alias("_c"))
-    sizes = own.groupBy(*keys).agg(F.sum("_c").alias("_n"))
-    sized = join_nullsafe(own, sizes, keys, "inner")
-    return _at_ranks(sized.withColumn("_gap", F.lit(0)), keys, probs, sorted(probs, key=lambda n: probs[n]))
-
-
-def _at_ranks(cells: DataFrame, keys: list[str], probs: dict[str, float], names: list[str], buckets: int = 256) -> DataFrame:
-    """Interpolated quantiles from cells (keys, _n, _at, _gap, _c): counts in the order (_at, _gap).
-
-    The cells of a group are cut at sketched bounds into `buckets` ranges. Totals of the
-    ranges, a bounded number per group, tell which ranges hold the wanted ranks; running
-    counts are taken inside those alone.
-    """
-    if not keys:
-        return _at_ranks(cells.withColumn("_all", F.lit(0)), ["_all"], probs, names, buckets).drop("_all")
-    cuts = [i / buckets for i in range(1, buckets)]
-    bounds = cells.filter("_gap = 0").groupBy(*keys).agg(F.percentile_approx("_at", cuts, 10 * buckets).alias("_b"))
-    smaller = F.when(F.col("_at").isNull(), 0).otherwise(F.size(F.filter("_b", lambda b: b < F.col("_at"))))
-    placed = join_nullsafe(cells, bounds, keys, "inner").withColumn("_k", smaller).drop("_b")
-    totals = placed.groupBy(*keys, "_n", "_k").agg(F.sum("_c").alias("_t"))
-    before = W.partitionBy(*keys).orderBy("_k").rowsBetween(W.unboundedPreceding, -1)
-    offsets = totals.withColumn("_o", F.coalesce(F.sum("_t").over(before), F.lit(0)))
-    pos = {name: (F.col("_n") - 1) * F.lit(float(probs[name])) for name in names}
-    ranks = [rank for p in pos.values() for rank in (F.floor(p) + 1, F.ceil(p) + 1)]
-    wanted = F.lit(False)
-    for rank in ranks:
-        wanted = wanted | ((F.col("_o") < rank) & (F.col("_o") + F.col("_t") >= rank))
-    held = offsets.filter(wanted).select(*keys, "_k", "_o")
-    inside = join_nullsafe(placed, held, [*keys, "_k"], "inner")
-    run = W.partitionBy(*keys, "_k").orderBy(F.col("_at").asc_nulls_first(), "_gap").rowsBetween(W.unboundedPreceding, W.currentRow)
-    ranked = inside.withColumn("_to", F.col("_o") + F.sum("_c").over(run))
+    counted = materialize(own.groupBy(*keys, "_at").agg(F.sum("_c").alias("_c")), "counted")
+    ranked = with_running(counted, keys, "_at", "_c", rows=rows)
+    pos = {name: (F.col("_n") - 1) * F.lit(float(p)) for name, p in probs.items()}
 
     def at_rank(rank: Column) -> Column:
-        hit = (F.col("_gap") == 0) & (F.col("_to") >= rank) & (F.col("_to") - F.col("_c") < rank)
-        return F.max(F.when(hit, F.col("_at")))
+        return F.max(F.when((F.col("_to") >= rank) & (F.col("_to") - F.col("_c") < rank), F.col("_at")))
 
     found = []
-    for i, name in enumerate(names):
-        found += [at_rank(F.floor(pos[name]) + 1).alias(f"_lo{i}"), at_rank(F.ceil(pos[name]) + 1).alias(f"_hi{i}")]
+    for i, p in enumerate(pos.values()):
+        found += [at_rank(F.floor(p) + 1).alias(f"_lo{i}"), at_rank(F.ceil(p) + 1).alias(f"_hi{i}")]
     hits = ranked.groupBy(*keys, "_n").agg(*found)
-    out = []
-    for i, name in enumerate(names):
-        lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
-        # The sketch's error bound rules a miss out; should it ever happen, fail loudly.
-        lo = F.when(lo.isNull() | hi.isNull(), F.raise_error(F.lit(f"quantile {name}: rank not enclosed"))).otherwise(lo)
-        out.append((lo + (pos[name] - F.floor(pos[name])) * (hi - lo)).alias(name))
-    return hits.select(*keys, *out)
+    between = [F.col(f"_lo{i}") + (p - F.floor(p)) * (F.col(f"_hi{i}") - F.col(f"_lo{i}")) for i, p in enumerate(pos.values())]
+    return hits.select(*keys, *[c.alias(name) for c, name in zip(between, pos)])
 
 
 def exact_median(df: DataFrame, keys: Sequence[str], value: str, alias: str) -> DataFrame:
@@ -172,28 +97,14 @@ def average_rank(df: DataFrame, keys: Sequence[str], value: str, alias: str) ->
     return df.withColumn(alias, F.when(F.col(value).isNotNull(), F.rank().over(order) + (ties - 1) / 2.0))
 
 
-def average_rank_large(df: DataFrame, keys: Sequence[str], value: str, alias: str, buckets: int = 64) -> DataFrame:
-    """`average_rank` that never brings a whole group together.
+def average_rank_large(df: DataFrame, keys: Sequence[str], value: str, alias: str, rows: int = RUN_ROWS) -> DataFrame:
+    """`average_rank` that never brings a large group together.
 
-    Ranks are found on distinct values with counts, so ties collapse on the map
-    side. Each group's values are cut at sketched bounds into `buckets` ranges:
-    bucket totals (at most `buckets` + 1 rows a group) give the offset, and the
-    running count is taken per (group, bucket), never per group.
+    Ranks are found on counted values, so ties collapse on the map side; a value's
+    running count less the middle of its ties is its rank. `rows`: see `with_running`.
     """
     keys = list(keys)
-    distinct = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
-    cuts = [i / buckets for i in range(1, buckets)]
-    bounds = distinct.groupBy(*keys).agg(F.percentile_approx(value, cuts, 1000).alias("_b"))
-    placed = join_nullsafe(distinct, bounds, keys, "inner").select(
-        *keys, value, "_c", F.size(F.filter("_b", lambda b: b < F.col(value))).alias("_k")
-    )
-    per_bucket = placed.groupBy(*keys, "_k").agg(F.sum("_c").alias("_t"))
-    before = W.partitionBy(*keys).orderBy("_k").rowsBetween(W.unboundedPreceding, -1)
-    offsets = per_bucket.select(*keys, "_k", F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_o"))
-    inner = W.partitionBy(*keys, "_k").orderBy(value).rowsBetween(W.unboundedPreceding, -1)
-    ranks = join_nullsafe(placed, offsets, [*keys, "_k"], "inner").select(
-        *keys,
-        value,
-        (F.col("_o") + F.coalesce(F.sum("_c").over(inner), F.lit(0)) + (F.col("_c") + 1) / 2.0).alias(alias),
-    )
+    counted = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
+    ranked = with_running(materialize(counted, "counted"), keys, value, "_c", rows=rows)
+    ranks = ranked.select(*keys, value, (F.col("_to") - (F.col("_c") - 1) / 2.0).alias(alias))
     return join_nullsafe(df, ranks, [*keys, value], "left")

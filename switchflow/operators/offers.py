@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from switchflow.functions.labels import CONDITIONAL, GUARANTEED, NO_DISCOUNT, contract_years, offer_category
 from switchflow.functions.stats import average_rank, weighted_quantiles
-from switchflow.operators.joins import active_on, dense_grid, join_nullsafe, left_join_nullsafe
+from switchflow.operators.joins import active_sums, dense_grid, join_nullsafe, left_join_nullsafe
 from switchflow.operators.periods import latest_per_key
 from switchflow.session import materialize
 
@@ -53,29 +53,31 @@ def prepare_offers(df: DataFrame) -> DataFrame:
     return dated.withColumn("offer_category", offer_category("has_discount", "has_disc_conditional"))
 
 
-def price_cells(active: DataFrame, keys: Sequence[str] = ("date", "retailer")) -> DataFrame:
-    """Counts and sums of the active offers per cell and price: all that the snapshot's measures need."""
+def price_cells(
+    offers: DataFrame, start: dt.date | str | Column, end: dt.date | str | Column, keys: Sequence[str] = ("retailer",)
+) -> DataFrame:
+    """Counts and sums of the active offers per Monday, key and price: all that the snapshot's measures need."""
     kind, incentive = F.col("offer_category"), F.col("has_incentive")
 
-    def share(condition: Column, name: str) -> list[Column]:
-        return [F.count_if(condition).alias(f"{name}_yes"), F.count(condition).alias(f"{name}_n")]
+    def share(condition: Column, name: str) -> dict[str, Column]:
+        return {f"{name}_yes": condition.cast("int"), f"{name}_n": condition.isNotNull().cast("int")}
 
-    def mean(value: Column, name: str) -> list[Column]:
-        return [F.sum(value.cast("double")).alias(f"{name}_sum"), F.count(value).alias(f"{name}_n")]
+    def mean(value: Column, name: str) -> dict[str, Column]:
+        return {f"{name}_sum": value, f"{name}_n": value.isNotNull().cast("int")}
 
     solar = F.coalesce(F.col("solar_offer").isin("Yes", "Optional"), F.lit(False))
-    return active.groupBy(*keys, PRICE).agg(
-        F.count(F.lit(1)).alias("n_offers"),
-        *share(kind == GUARANTEED, "guaranteed"),
-        *share(kind == CONDITIONAL, "conditional"),
-        *share(kind == NO_DISCOUNT, "no_discount"),
-        *mean(contract_years("contract_term"), "term"),
-        *share(solar, "solar"),
-        *share(incentive == "Yes", "incentive"),
-        *mean(F.col("total_annual_fee"), "annual_fee"),
-        *mean(F.col("total_late_payment_fee"), "late_fee"),
-        F.min("cprg_retailer_size").alias("cprg_retailer_size"),
-    )
+    sums = {
+        **share(kind == GUARANTEED, "guaranteed"),
+        **share(kind == CONDITIONAL, "conditional"),
+        **share(kind == NO_DISCOUNT, "no_discount"),
+        **mean(contract_years("contract_term"), "term"),
+        **share(solar, "solar"),
+        **share(incentive == "Yes", "incentive"),
+        **mean(F.col("total_annual_fee"), "annual_fee"),
+        **mean(F.col("total_late_payment_fee"), "late_fee"),
+    }
+    # The retailer's size is a key, as a smallest value can't be taken off again.
+    return active_sums(offers, start, end, [*keys, PRICE, "cprg_retailer_size"], sums).withColumnRenamed("n", "n_offers")
 
 
 def snapshot_metrics(cells: DataFrame, keys: Sequence[str] = ("date", "retailer")) -> DataFrame:
@@ -98,10 +100,9 @@ def snapshot_metrics(cells: DataFrame, keys: Sequence[str] = ("date", "retailer"
     )
 
 
-def market_median(active: DataFrame) -> DataFrame:
+def market_median(offers: DataFrame, start: dt.date | str | Column, end: dt.date | str | Column) -> DataFrame:
     """Median price of all active offers per week."""
-    counts = active.groupBy("date", PRICE).agg(F.count(F.lit(1)).alias("n_offers"))
-    return weighted_quantiles(materialize(counts, "prices"), ["date"], PRICE, "n_offers", {"vic_median": 0.5})
+    return weighted_quantiles(active_sums(offers, start, end, [PRICE]), ["date"], PRICE, "n", {"vic_median": 0.5})
 
 
 def price_vs_market(df: DataFrame) -> DataFrame:
@@ -116,12 +117,12 @@ def offer_snapshots(
 ) -> DataFrame:
     """One row per (Monday, retailer) with the metrics of the offers active that day.
 
-    Offers generate the Mondays they cover once, and are summed once to (Monday,
-    retailer, price); that written frame gives every measure and both medians. `dense`
-    adds the empty cells (`n_offers` = 0) of every retailer.
+    A sweep over the offers' first and last Mondays sums them to (Monday, retailer,
+    price), without a row per offer and week; that written frame gives every measure and
+    both medians. `dense` adds the empty cells (`n_offers` = 0) of every retailer.
     """
     cell = ["date", "retailer"]
-    prices = materialize(price_cells(active_on(offers, start, end), cell), "price-cells")
+    prices = materialize(price_cells(offers, start, end), "price-cells")
     medians = [weighted_quantiles(prices, keys, PRICE, "n_offers", {name: 0.5}) for keys, name in ((cell, "median_price"), (["date"], "vic_median"))]
     cells = left_join_nullsafe(snapshot_metrics(prices, cell), medians[0], cell)
     cells = left_join_nullsafe(cells, medians[1], ["date"])

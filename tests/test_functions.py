@@ -140,19 +140,19 @@ def test_exact_quantiles_match_numpy(spark, data, p):
         assert got[k] == pytest.approx(want[k], rel=1e-9, abs=1e-9)
 
 
-@pytest.mark.parametrize("accuracy", [200, 1000])
-def test_exact_quantiles_with_a_hot_group(spark, accuracy):
-    """A coarse sketch still has to lead to exact values."""
+@pytest.mark.parametrize("limit", [700, 5000, 10**6])
+def test_exact_quantiles_with_a_hot_group(spark, limit):
+    """Groups cut into pieces give what whole ones do."""
     rng = np.random.default_rng(7)
     hot = rng.gamma(2.0, 50.0, 40_000)
     small = np.round(rng.normal(0, 3, 501))
     df = spark.createDataFrame([("hot", float(v)) for v in hot] + [("small", float(v)) for v in small], "k string, v double").repartition(6)
     probs = {"q1": 0.25, "med": 0.5, "q3": 0.75}
-    got = {r["k"]: r for r in stats.exact_quantiles(df, ["k"], "v", probs, accuracy=accuracy).collect()}
+    got = {r["k"]: r for r in stats.exact_quantiles(df, ["k"], "v", probs, rows=limit).collect()}
     for k, values in (("hot", hot), ("small", small)):
         for name, p in probs.items():
             assert got[k][name] == pytest.approx(np.quantile(values, p), rel=1e-12)
-    assert stats.exact_quantiles(df, [], "v", {"m": 0.5}, accuracy=accuracy).head()[0] == pytest.approx(
+    assert stats.exact_quantiles(df, [], "v", {"m": 0.5}, rows=limit).head()[0] == pytest.approx(
         statistics.median(np.concatenate([hot, small]))
     )
 
@@ -162,8 +162,8 @@ def test_average_rank_both_ways(spark):
     data = [("a", float(v)) for v in rng.integers(0, 40, 300)] + [("b", 1.0), ("b", None), (None, 2.0), (None, 2.0), (None, 1.0)]
     df = spark.createDataFrame(data, "k string, v double")
     window = rows(stats.average_rank(df, ["k"], "v", "r"))
-    split = rows(stats.average_rank_large(df, ["k"], "v", "r", buckets=8))
-    assert window == split
+    assert window == rows(stats.average_rank_large(df, ["k"], "v", "r", rows=8))
+    assert window == rows(stats.average_rank_large(df, ["k"], "v", "r"))
     a = sorted(v for k, v in data if k == "a")
     for k, v, r in window:
         if k == "a":
@@ -172,14 +172,25 @@ def test_average_rank_both_ways(spark):
     assert ("b", None, None) in window and (None, 2.0, 2.5) in window
 
 
-def test_quantiles_rank_inside_ranges_only(spark):
-    from switchflow.functions import stats
-
-    df = spark.range(500).selectExpr("id % 3 AS k", "CAST(id AS DOUBLE) AS v")
-    plan = stats.exact_quantiles(df, ["k"], "v", {"q": 0.25})._jdf.queryExecution().optimizedPlan().toString()
-    windows = [line for line in plan.splitlines() if "Window [" in line]
-    # One window over the totals of the ranges, at most 256 a group; the other one by range too.
-    assert len(windows) == 2 and sum("_k#" in line.split("windowspecdefinition(")[1].split(" ASC")[0].rpartition(",")[0] for line in windows) == 1
+def test_running_totals_in_one_sort_or_in_pieces(spark):
+    from switchflow.operators import running
+    from switchflow.session import materialize
+
+    rng = np.random.default_rng(2)
+    hot = [("hot", float(v), int(c)) for v, c in zip(rng.permutation(3000), rng.integers(1, 9, 3000))]
+    cells = materialize(spark.createDataFrame([*hot, ("hot", None, 4), ("few", 2.0, 3), ("few", 1.0, 1), (None, 5.0, 7)], "k string, v double, c long"))
+    whole = running.with_running(cells, ["k"], "v", "c")
+    assert rows(whole) == rows(running.with_running(cells, ["k"], "v", "c", rows=40))
+    upto, got = 0, {(r.k, r.v): (r._to, r._n) for r in whole.collect()}
+    for _, v, c in sorted([*hot, ("hot", -1.0, 4)], key=lambda x: x[1]):
+        upto += c
+        assert got["hot", None if v < 0 else v] == (upto, 4 + sum(c for *_, c in hot))
+    assert got["few", 2.0] == (4, 4) and got[None, 5.0] == (7, 7)
+    plan = whole._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.count("Sort [") <= 1
+    cuts = F.array(*[F.lit(float(x)) for x in (1, 2, 2, 5)])
+    got = spark.createDataFrame([(0.5,), (1.0,), (2.5,), (9.0,), (None,)], "v double").select(running.smaller(cuts, F.col("v")))
+    assert [r[0] for r in got.collect()] == [0, 0, 3, 4, 0]
 
 
 def test_weighted_quantiles_equal_those_of_repeated_values(spark):
