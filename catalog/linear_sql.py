@@ -84,3 +84,15 @@ def nested_sql(prelude: str, small: Sequence[str], large: Sequence[str]) -> str:
     return f"""{both}, f AS (SELECT a.df AS residual_df_1, b.df AS residual_df_2, a.rest * a.n * a.sdy * a.sdy AS rss_1, b.rest * b.n * b.sdy * b.sdy AS rss_2 FROM fit1 a, fit2 b)
 SELECT residual_df_1, residual_df_2, {digits('rss_1')} AS rss_1, {digits('rss_2')} AS rss_2, residual_df_1 - residual_df_2 AS df,
  {digits('(rss_1 - rss_2) / (residual_df_1 - residual_df_2) / (rss_2 / residual_df_2)')} AS f_value FROM f"""
+
+
+def models_sql(prelude: str, formulas: dict[str, Sequence[str]]) -> str:
+    """Fit quality of each formula on its own complete rows."""
+    out, parts = prelude, []
+    for i, (name, terms) in enumerate(formulas.items()):
+        tag = f"_{i}"
+        out = fit_sql(out, terms, tag)
+        parts.append(
+            f"SELECT '{name}' AS model, n, n - 1 - df AS n_terms, {digits('1 - rest')} AS r_squared, {digits('rest * n * sdy * sdy')} AS rss FROM fit{tag}"
+        )
+    return out + " " + " UNION ALL ".join(parts)

@@ -88,8 +88,16 @@ def offer_categories(spark, d):
 
 @query("active_offers", f"{OFFERS} SELECT date, retailer, count(*) AS n, CAST(sum(offer_id) AS BIGINT) AS ids FROM active GROUP BY ALL")
 def active_offers(spark, d):
+    """Number of active offers and sum of their ids, without a row per offer and week."""
+    active = joins.active_sums(prepared(spark, d), START, END, ["retailer"], {"ids": F.col("offer_id")})
+    return active.select("date", "retailer", "n", F.col("ids").cast("long").alias("ids"))
+
+
+@query("active_offer_rows", f"{OFFERS} SELECT date, count(DISTINCT offer_id) AS offers, count(*) AS n FROM active GROUP BY ALL")
+def active_offer_rows(spark, d):
+    """One row per offer and Monday, for measures that can't be summed."""
     active = joins.active_on(prepared(spark, d), START, END)
-    return active.groupBy("date", "retailer").agg(F.count(F.lit(1)).alias("n"), F.sum("offer_id").alias("ids"))
+    return active.groupBy("date").agg(F.countDistinct("offer_id").alias("offers"), F.count(F.lit(1)).alias("n"))
 
 
 @query("dense_grid", f"{OFFERS} SELECT date, retailer FROM weeks CROSS JOIN (SELECT DISTINCT retailer FROM offers) r")
@@ -99,7 +107,7 @@ def dense_grid(spark, d):
 
 @query("market_median", f"{OFFERS} SELECT date, round(median(total_bill_pre_transaction), 6) AS vic_median FROM active GROUP BY date")
 def market_median(spark, d):
-    return offer_ops.market_median(joins.active_on(held_offers(spark, d), START, END))
+    return offer_ops.market_median(prepared(spark, d), START, END)
 
 
 @query("offer_snapshots", sql_rounded(SNAPSHOTS, "snap", ["date", "retailer", *METRICS], DOUBLES))
@@ -403,7 +411,7 @@ def fitted_frame(spark, d):
 def regression_simple(spark, d):
     fit = models.ols(fitted_frame(spark, d), terms=["log_customer_size"])
     table = models.ols_table(spark, fit).select("variable", "coefficient")
-    return table.withColumns({"r_squared": F.lit(fit.r2), "n": F.lit(fit.n).cast("long")})
+    return table.withColumns({"r_squared": F.lit(float(fit.r2)), "n": F.lit(fit.n).cast("long")})
 
 
 # Two predictors have a closed form: centred cross products and a 2 × 2 inverse.
@@ -442,7 +450,7 @@ def fit_quality_pair(spark, d):
 SELECT variable, round(f, 6) AS vif, f > 5 AS moderate, f > 10 AS high FROM c, (VALUES ('price_vs_market'), ('log_customer_size')) t(variable)""",
 )
 def vif_pair(spark, d):
-    return models.vif(fitted_frame(spark, d), _PAIR)
+    return models.vif(spark, fitted_frame(spark, d), _PAIR)
 
 
 @query(
@@ -454,7 +462,7 @@ SELECT n - 2 AS residual_df_1, n - 3 AS residual_df_2, round(rss1, 4) AS rss_1,
 def compare_nested_pair(spark, d):
     frame = fitted_frame(spark, d)
     out = models.compare_nested(spark, *models.nested(frame, _PAIR[:1], _PAIR))
-    return out.withColumns({c: F.round(c, 4) for c in ("rss_1", "rss_2")})
+    return out.withColumns({c: F.round(c, 4) for c in ("rss_1", "rss_2")}).drop("p_value")
 
 
 @query(
@@ -495,7 +503,7 @@ def regression_top_significant(spark, d):
 
 @query("vif", linear_sql.vif_sql(_MODEL, models.PREDICTORS))
 def vif(spark, d):
-    return as_digits(models.vif(fitted_frame(spark, d)), "vif")
+    return as_digits(models.vif(spark, fitted_frame(spark, d)), "vif")
 
 
 @query("polynomial_table", linear_sql.table_sql(_MODEL, models.POLYNOMIAL))
@@ -517,13 +525,26 @@ def interaction_table_9(spark, d):
 @query("compare_nested", linear_sql.nested_sql(_MODEL, models.PREDICTORS_9, models.POLYNOMIAL_9))
 def compare_nested(spark, d):
     frame = fitted_frame(spark, d)
-    return as_digits(models.compare_nested(spark, *models.nested(frame, models.PREDICTORS_9, models.POLYNOMIAL_9)), "rss_1", "rss_2", "f_value")
+    return as_digits(models.compare_nested(spark, *models.nested(frame, models.PREDICTORS_9, models.POLYNOMIAL_9)), "rss_1", "rss_2", "f_value").drop("p_value")
+
+
+@query(
+    "linear_models",
+    linear_sql.models_sql(_MODEL, {"linear": models.PREDICTORS, "linear_9": models.PREDICTORS_9, "polynomial": models.POLYNOMIAL, "polynomial_9": models.POLYNOMIAL_9,
+                                   "interaction": models.INTERACTIONS, "interaction_9": models.INTERACTIONS_9}),
+)
+def linear_models(spark, d):
+    """Fit quality of all six linear formulas from one scan of the model frame."""
+    formulas = {"linear": models.PREDICTORS, "linear_9": models.PREDICTORS_9, "polynomial": models.POLYNOMIAL, "polynomial_9": models.POLYNOMIAL_9,
+                "interaction": models.INTERACTIONS, "interaction_9": models.INTERACTIONS_9}
+    sums = models.formula_moments(models.model_frame(data(spark, d)), list(formulas.values()))
+    rows = [(name, fit.n, len(fit.terms), fit.r2, fit.rss) for name, terms in formulas.items() for fit in [models.ols(sums, terms=terms)]]
+    return as_digits(spark.createDataFrame(rows, "model string, n long, n_terms long, r_squared double, rss double"), "r_squared", "rss")
 
 
 @query("forest_importance")
 def forest_importance(spark, d):
-    frame = fitted_frame(spark, d)
-    return models.permutation_importance(models.forest(frame), frame)
+    return models.forest(fitted_frame(spark, d)).importance()
 
 
 @query("boosted_importance")

@@ -1,7 +1,7 @@
 """Regression, tree and boosting models on the master frame, and their diagnostics.
 
-Fits run on the cluster with MLlib; only per-variable results (a row per coefficient
-or feature) come back to the driver.
+Linear models are solved from one table of moments, trees are fitted on the cluster; only
+per-variable results (a row per coefficient or feature) come back to the driver.
 """
 
 from __future__ import annotations
@@ -12,16 +12,13 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import (
-    GBTRegressor,
-    LinearRegression,
-    LinearRegressionModel,
-    RandomForestRegressor,
-)
-from pyspark.ml.stat import Correlation
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from switchflow.functions.special import f_p_value, t_p_value
+from switchflow.operators.forest import ForestFit, grow_forest
+from switchflow.operators.moments import Moments, MomentTable, collect_moments, term_column
 from switchflow.operators.topk import positions
 from switchflow.session import materialize
 
@@ -78,9 +75,6 @@ READINGS = {
 # Memory for the split statistics of one pass: more nodes per pass, fewer passes.
 NODE_MEMORY_MB = 1024
 
-# MLlib grows no deeper trees.
-MAX_DEPTH = 30
-
 # Rows per partition of a tree fit's input, and its fewest partitions. The number follows
 # the rows alone, as bagging draws per partition.
 TREE_ROWS, TREE_PARTITIONS = 200_000, 8
@@ -122,17 +116,6 @@ def expand_terms(terms: Sequence[str]) -> list[str]:
     return mains + products
 
 
-def term_column(term: str) -> Column:
-    """Column of a term: a name, a square `a^2` or a product `a:b`."""
-    if term.endswith("^2"):
-        base = F.col(term[:-2])
-        return base * base
-    if ":" in term:
-        a, b = term.split(":")
-        return F.col(a) * F.col(b)
-    return F.col(term)
-
-
 def _design(df: DataFrame, y: str, terms: Sequence[str]) -> DataFrame:
     """(features, label) rows of a formula; incomplete rows are left out."""
     names = [f"_t{i}" for i in range(len(terms))]
@@ -140,9 +123,12 @@ def _design(df: DataFrame, y: str, terms: Sequence[str]) -> DataFrame:
     return VectorAssembler(inputCols=names, outputCol="features").transform(flat.dropna()).select("features", "label")
 
 
-def _correlation(design: DataFrame) -> np.ndarray:
-    """Correlation matrix of the predictors: k × k, computed on the cluster."""
-    return Correlation.corr(design, "features").head()[0].toArray()
+def _correlation(m: Moments) -> np.ndarray:
+    """Correlation matrix; NaN for a term that is constant but for rounding."""
+    spread = np.diag(m.cross).copy()
+    spread[spread <= 1e-14 * m.n * m.mean**2] = np.nan
+    scale = np.sqrt(spread)
+    return m.cross / np.outer(scale, scale)
 
 
 def aliased_terms(corr: np.ndarray, tolerance: float = ALIAS_TOLERANCE) -> list[int]:
@@ -166,51 +152,65 @@ def aliased_terms(corr: np.ndarray, tolerance: float = ALIAS_TOLERANCE) -> list[
 class LinearFit:
     """A least-squares fit with the terms that could be estimated."""
 
-    model: LinearRegressionModel
     terms: list[str]
     dropped: list[str]
     n: int
+    intercept: float
+    coefficients: np.ndarray
+    std_errors: np.ndarray
+    rss: float
+    tss: float
+
+    @property
+    def residual_df(self) -> int:
+        return self.n - len(self.terms) - 1
 
     @property
     def r2(self) -> float:
-        return self.model.summary.r2
+        return 1 - self.rss / self.tss if self.tss > 0 else float("nan")
 
     @property
     def adjusted_r2(self) -> float:
-        return self.model.summary.r2adj
+        return 1 - (self.rss / self.residual_df) / (self.tss / (self.n - 1)) if self.tss > 0 and self.residual_df > 0 else float("nan")
 
-    @property
-    def rss(self) -> float:
-        return self.model.summary.meanSquaredError * self.n
 
-    @property
-    def residual_df(self) -> int:
-        return self.n - len(self.terms) - 1
+def formula_moments(df: DataFrame, formulas: Sequence[Sequence[str]], y: str = TARGET) -> MomentTable:
+    """What every one of the formulas needs, from one scan."""
+    return collect_moments(df, [y, *(t for f in formulas for t in expand_terms(f))])
 
 
-def nested(df: DataFrame, small: Sequence[str], large: Sequence[str], y: str = TARGET) -> tuple[LinearFit, LinearFit]:
+def _table(data: DataFrame | MomentTable, formulas: Sequence[Sequence[str]], y: str) -> MomentTable:
+    return data if isinstance(data, MomentTable) else formula_moments(data, formulas, y)
+
+
+def nested(data: DataFrame | MomentTable, small: Sequence[str], large: Sequence[str], y: str = TARGET) -> tuple[LinearFit, LinearFit]:
     """A nested pair fitted on the same rows: those complete in the terms of both."""
-    terms = [*expand_terms(small), *expand_terms(large)]
-    rows = df
-    for c in (F.col(y), *map(term_column, terms)):
-        rows = rows.filter(c.isNotNull() & ~F.isnan(c.cast("double")))
-    return ols(rows, y, small), ols(rows, y, large)
+    table = _table(data, (small, large), y)
+    both = [*expand_terms(small), *expand_terms(large)]
+    return ols(table, y, small, both), ols(table, y, large, both)
 
 
-def ols(df: DataFrame, y: str = TARGET, terms: Sequence[str] = PREDICTORS) -> LinearFit:
+def ols(data: DataFrame | MomentTable, y: str = TARGET, terms: Sequence[str] = PREDICTORS, whole: Sequence[str] = ()) -> LinearFit:
     """Ordinary least squares by the normal equations; aliased terms are dropped.
 
-    One pass sums the k × k cross products on the executors.
+    Give a table of moments to fit many formulas from one scan. `whole`: further terms
+    that a row must have values in.
     """
     terms = expand_terms(terms)
-    design = _design(df, y, terms)
-    out = set(aliased_terms(_correlation(design)))
-    dropped = [t for i, t in enumerate(terms) if i in out]
-    if dropped:
-        terms = [t for i, t in enumerate(terms) if i not in out]
-        design = _design(df, y, terms)
-    model = LinearRegression(solver="normal", regParam=0.0, elasticNetParam=0.0).fit(design)
-    return LinearFit(model, terms, dropped, model.summary.numInstances)
+    m = _table(data, (terms, whole), y).of([*terms, y], whole)
+    out = set(aliased_terms(_correlation(m)[:-1, :-1])) if m.n else set(range(len(terms)))
+    kept, dropped = ([t for i, t in enumerate(terms) if (i in out) == gone] for gone in (False, True))
+    own = m.of([*kept, y])
+    # Solved in standardized terms: their scales may lie far apart.
+    scale = np.sqrt(np.diag(own.cross)[:-1])
+    inverse = np.linalg.inv(own.cross[:-1, :-1] / np.outer(scale, scale))
+    beta = inverse @ (own.cross[:-1, -1] / scale)
+    tss = float(own.cross[-1, -1])
+    rss = max(0.0, tss - float(beta @ (own.cross[:-1, -1] / scale)))
+    df = m.n - len(kept) - 1
+    errors = np.sqrt(np.diag(inverse) * rss / df) / scale if df > 0 else np.full(len(kept), np.nan)
+    coefficients = beta / scale
+    return LinearFit(kept, dropped, m.n, float(own.mean[-1] - coefficients @ own.mean[:-1]), coefficients, errors, rss, tss)
 
 
 def _reading(term: str, estimate: float, significant: bool) -> str:
@@ -222,21 +222,19 @@ def _reading(term: str, estimate: float, significant: bool) -> str:
 
 def ols_table(spark, fit: LinearFit, level: float = 0.05) -> DataFrame:
     """Coefficient table without the intercept, most significant first."""
-    s = fit.model.summary
-    rows = []
-    for i, term in enumerate(fit.terms):  # the intercept is the last entry of each list
-        est, p = float(fit.model.coefficients[i]), float(s.pValues[i])
-        significant = p < level
-        rows.append(
-            (
-                term, est, float(s.coefficientStandardErrors[i]), float(s.tValues[i]), p,
-                "YES" if significant else "NO",
-                "Positive (+)" if est > 0 else "Negative (-)",
-                _reading(term, est, significant),
-            )
-        )
-    names = "variable string, coefficient double, std_error double, t_value double, p_value double, significant string, direction string, interpretation string"
-    return spark.createDataFrame(rows, names).orderBy("p_value", "variable")
+    rows = [
+        (t, float(c), float(e), float(c / e) if e > 0 else float("inf"), fit.residual_df, _reading(t, c, True))
+        for t, c, e in zip(fit.terms, fit.coefficients, fit.std_errors)
+    ]
+    names = "variable string, coefficient double, std_error double, t_value double, df long, reading string"
+    found = spark.createDataFrame(rows, names).withColumn("p_value", t_p_value(F.col("t_value"), F.col("df")))
+    significant = F.coalesce(F.col("p_value") < level, F.lit(False))
+    return found.select(
+        "variable", "coefficient", "std_error", "t_value", "p_value",
+        F.when(significant, "YES").otherwise("NO").alias("significant"),
+        F.when(F.col("coefficient") > 0, "Positive (+)").otherwise("Negative (-)").alias("direction"),
+        F.when(significant, F.col("reading")).otherwise("See coefficient").alias("interpretation"),
+    ).orderBy("p_value", "variable")
 
 
 def top_significant(table: DataFrame, k: int = 10) -> DataFrame:
@@ -248,20 +246,19 @@ def fit_quality(spark, fit: LinearFit) -> DataFrame:
     return spark.createDataFrame([(fit.r2, fit.adjusted_r2, fit.n)], "r_squared double, adj_r_squared double, n long")
 
 
-def vif(df: DataFrame, terms: Sequence[str] = PREDICTORS, y: str = TARGET) -> DataFrame:
+def vif(spark, data: DataFrame | MomentTable, terms: Sequence[str] = PREDICTORS, y: str = TARGET) -> DataFrame:
     """Variance inflation factor per predictor, flagged above 5 and above 10."""
     terms = expand_terms(terms)
-    design = _design(df, y, terms)
-    corr = _correlation(design)
+    corr = _correlation(_table(data, (terms,), y).of([*terms, y]))[:-1, :-1]
     out = set(aliased_terms(corr))
     keep = [i for i in range(len(terms)) if i not in out]
     factors = np.diag(np.linalg.inv(corr[np.ix_(keep, keep)]))
     rows = [(terms[i], float(f), bool(f > 5), bool(f > 10)) for i, f in zip(keep, factors)]
-    return df.sparkSession.createDataFrame(rows, "variable string, vif double, moderate boolean, high boolean")
+    return spark.createDataFrame(rows, "variable string, vif double, moderate boolean, high boolean")
 
 
 def compare_nested(spark, small: LinearFit, large: LinearFit) -> DataFrame:
-    """F statistic of a nested pair with its degrees of freedom; both must be fitted on the same number of rows."""
+    """F statistic of a nested pair with its degrees of freedom and p-value; both must be fitted on the same number of rows."""
     if small.n != large.n:
         raise ValueError(f"the models were fitted on {small.n} and {large.n} rows; fit both on the complete rows of all terms")
     extra = small.residual_df - large.residual_df
@@ -270,9 +267,8 @@ def compare_nested(spark, small: LinearFit, large: LinearFit) -> DataFrame:
     else:
         f = None
     rows = [(small.residual_df, large.residual_df, small.rss, large.rss, extra, f)]
-    return spark.createDataFrame(
-        rows, "residual_df_1 long, residual_df_2 long, rss_1 double, rss_2 double, df long, f_value double"
-    )
+    found = spark.createDataFrame(rows, "residual_df_1 long, residual_df_2 long, rss_1 double, rss_2 double, df long, f_value double")
+    return found.withColumn("p_value", f_p_value(F.col("f_value"), F.col("df"), F.col("residual_df_2")))
 
 
 @dataclass
@@ -298,14 +294,22 @@ def _tree_design(df: DataFrame, y: str, features: Sequence[str], parts: int | No
 
 def forest(
     df: DataFrame, y: str = TARGET, features: Sequence[str] = TREE_FEATURES, trees: int = 500, per_split: int = 3,
-    depth: int = MAX_DEPTH, seed: int = 123, parts: int | None = None,
-) -> TreeFit:
-    """Random forest; trees end at leaves of five rows. `depth` is MLlib's own limit unless stated."""
-    rf = RandomForestRegressor(
-        numTrees=trees, featureSubsetStrategy=str(per_split), maxDepth=depth, minInstancesPerNode=5, seed=seed,
-        maxMemoryInMB=NODE_MEMORY_MB,
-    )
-    return TreeFit(rf.fit(_tree_design(df, y, features, parts)), list(features))
+    min_node: int = 5, seed: int = 123, others: DataFrame | None = None,
+) -> ForestFit:
+    """Random forest on the complete rows; nodes of five draws or fewer are not split, depth has no limit.
+
+    The fit holds the votes of all trees, so in-sample and out-of-bag predictions and the
+    importance come from one growth. `others`: rows without a target that get predictions.
+    """
+
+    def flat(rows: DataFrame, label: Column) -> DataFrame:
+        x = F.array(*[term_column(t).cast("double") for t in features])
+        whole = rows.select(label.cast("double").alias("label"), x.alias("x"))
+        return whole.filter(F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v)))
+
+    own = flat(df, F.col(y)).filter(F.col("label").isNotNull() & ~F.isnan("label"))
+    further = None if others is None else flat(others, F.col(y) if y in others.columns else F.lit(None))
+    return grow_forest(own, features, trees, per_split, min_node, seed, further)
 
 
 def boosted(

@@ -60,27 +60,27 @@ def study_models(data: DataFrame, trees: int = 500, rounds: int = 100) -> dict[s
     """Fit all five models; returns coefficient, importance and leaderboard frames."""
     spark = data.sparkSession
     frame = materialize(models.model_frame(data), "model")
-    linear = models.ols(frame, terms=models.PREDICTORS)
-    poly = models.ols(frame, terms=models.POLYNOMIAL)
-    inter = models.ols(frame, terms=models.INTERACTIONS)
+    # One scan serves the three linear models, the inflation factors and the nested pair.
+    sums = models.formula_moments(frame, (models.PREDICTORS, models.POLYNOMIAL, models.INTERACTIONS, models.PREDICTORS_9, models.POLYNOMIAL_9))
+    linear = models.ols(sums, terms=models.PREDICTORS)
+    poly = models.ols(sums, terms=models.POLYNOMIAL)
+    inter = models.ols(sums, terms=models.INTERACTIONS)
     rf = models.forest(frame, trees=trees)
     gbt = models.boosted(frame, rounds=rounds)
 
-    def score(fit: models.TreeFit) -> float:
-        return models.r2_of(models.predictions(fit, frame)).head()[0]
-
     scores = {
         "Linear Regression": linear.r2,
         "Polynomial Regression": poly.r2,
         "Interaction Model": inter.r2,
-        "Random Forest": score(rf),
-        "Boosted Trees": score(gbt),
+        "Random Forest": models.r2_of(rf.predictions()).head()[0],
+        "Boosted Trees": models.r2_of(models.predictions(gbt, frame)).head()[0],
     }
     return {
         "coefficients": models.ols_table(spark, linear),
         "fit_quality": models.fit_quality(spark, linear),
-        "vif": models.vif(frame),
-        "forest_importance": models.permutation_importance(rf, frame),
+        "vif": models.vif(spark, sums),
+        "nested": models.compare_nested(spark, *models.nested(sums, models.PREDICTORS_9, models.POLYNOMIAL_9)),
+        "forest_importance": rf.importance(),
         "boosted_importance": models.gain_importance(spark, gbt),
         "leaderboard": models.leaderboard(spark, scores),
     }
