@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import time
 
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from catalog.registry import FIN_QUARTER, FIN_YEAR, query, raw
@@ -13,7 +14,7 @@ from switchflow.operators import conform as conforming
 from switchflow.operators import joins, lookups, quality, reshape
 from switchflow.plans import bulk_load
 from switchflow.schema import STAGING, VIEW_COLUMNS
-from switchflow.session import scratch_path
+from switchflow.session import materialize, scratch_path
 from switchflow.sources import frames, manifest, staging
 from switchflow.sources import raw as raw_source
 from switchflow.streaming.ingest import ingest_stream
@@ -393,6 +394,20 @@ def read_raw_csv(spark, d):
     return totals(conforming.conform(raw_source.read_raw(spark, write_extracts(spark, d), NOW)))
 
 
+@query("read_quoted_breaks", f"{CONF} SELECT {_TOTALS}, (SELECT count(*) FROM conf) AS n_records, (SELECT count(*) FROM conf) AS n_notes FROM conf GROUP BY ALL")
+def read_quoted_breaks(spark, d):
+    """CSV files whose records have line breaks, quotes and commas inside quotes."""
+    path = scratch_path(spark, "quoted")
+    rows = extract(spark, d).drop("SOURCE FILE")
+    note = F.concat(F.lit("first, line\nsecond ""line"" of "), F.coalesce(F.col("`ID MTS2`").cast("string"), F.lit("none")), F.lit("\n\nlast"))
+    rows.withColumn("Note", note).write.csv(path, header=True, quoteAll=True, escape='"')
+    files = [r["path"] for r in raw_source.list_inputs(spark, path).select("path").collect()]
+    text = materialize(raw_source.read_raw(spark, files, NOW, multi_line=True), "quoted")
+    n = raw_source.raw_record_counts(spark, files).agg(F.sum("raw_count")).scalar()
+    whole = text.agg(F.count_if(F.col("note").rlike(r"(?s)^first, line\nsecond .* of .*\n\nlast$"))).scalar()
+    return totals(conforming.conform(text)).withColumn("n_records", n).withColumn("n_notes", whole)
+
+
 @query("bulk_load", f"{CONF} SELECT {_TOTALS} FROM conf GROUP BY ALL")
 def bulk(spark, d):
     """Batches of files into staging; a second run finds nothing left to do."""
@@ -453,6 +468,78 @@ def stream_ingest(spark, d):
     return totals(staging.read_staging(spark, f"{base}/out"))
 
 
+@query("failed_reload", f"{CONF} SELECT {_TOTALS} FROM conf GROUP BY ALL")
+def failed_reload(spark, d):
+    """All files loaded, then again by a run that fails half way: readers still see the first load, and no row twice."""
+    source, base = write_extracts(spark, d), scratch_path(spark, "reload")
+    bulk_load.run_bulk_load(spark, source, f"{base}/staging", f"{base}/manifest", now=NOW)
+    rows = conforming.conform(raw_source.read_raw(spark, source, NOW))
+    broken = F.when(F.col("stat_value") % 97 == 13, F.raise_error(F.lit("the disk is full"))).otherwise(F.col("stat_value"))
+    try:
+        staging.write_load(rows.filter("stat_value < 40"), f"{base}/staging", "half")  # what had come through
+        staging.write_load(rows.withColumn("stat_value", broken.cast("int")), f"{base}/staging", "half")
+        raise AssertionError("the second load should have failed")
+    except PySparkException:
+        pass
+    return totals(staging.read_staging(spark, f"{base}/staging", manifest.read_manifest(spark, f"{base}/manifest")))
+
+
+@query("reloaded", f"{CONF} SELECT {_TOTALS} FROM conf GROUP BY ALL")
+def reloaded(spark, d):
+    """Files loaded short of half their rows, then replaced by the whole ones under the same names, and dead loads removed."""
+    source, base = write_extracts(spark, d), scratch_path(spark, "reload")
+    paths = [r["path"] for r in raw_source.list_inputs(spark, source).select("path").collect()]
+    rows = conforming.conform(raw_source.read_raw(spark, paths, NOW)).filter("stat_value % 2 = 0")
+    staging.write_load(rows, f"{base}/staging", "short")
+    done = raw_source.list_inputs(spark, source).select("source_file", F.lit("short").alias("load"))
+    manifest.commit(spark, f"{base}/manifest", done)
+    bulk_load.reload(spark, paths, f"{base}/staging", f"{base}/manifest", NOW)
+    live = manifest.read_manifest(spark, f"{base}/manifest")
+    staging.remove_dead_loads(spark, f"{base}/staging", live, dt.timedelta(0))
+    return totals(staging.read_staging(spark, f"{base}/staging").filter("source_file IS NOT NULL"))
+
+
+@query("two_loaders", f"{CONF} SELECT {_TOTALS} FROM conf GROUP BY ALL")
+def two_loaders(spark, d):
+    """A second run loads everything while the first one is at its first batch: each file is visible once."""
+    source, base = write_extracts(spark, d), scratch_path(spark, "loaders")
+    files = [(r["path"], 1) for r in raw_source.list_inputs(spark, source).orderBy("path").collect()]
+    where = (f"{base}/staging", f"{base}/manifest")
+    second = []
+
+    def meanwhile(_rows, _names):
+        if not second:
+            second.extend(bulk_load.run_bulk_load(spark, source, *where, now=NOW))
+
+    first = staging.load_batches(spark, files, *where, now=NOW, on_batch=meanwhile)
+    if first or len(second) != len(files):
+        raise AssertionError("the second run should have all files")
+    return totals(staging.read_staging(spark, where[0], manifest.read_manifest(spark, where[1])))
+
+
+@query("stream_quarantine", f"""{CONF}, bad AS (SELECT 1 AS n) SELECT {_TOTALS}, (SELECT CAST(5 AS BIGINT) FROM bad) AS unknown_ids, 'missing required columns: frmp' AS lacking FROM conf GROUP BY ALL""")
+def stream_quarantine(spark, d):
+    """Good extracts in a batch with one of five unknown ids and one without a column: both are refused, the rest is loaded."""
+    source, base = scratch_path(spark, "extracts"), scratch_path(spark, "quarantine")
+    # The gate looks at small customers alone: rows without a losing id are made large ones.
+    blank = F.coalesce(F.trim("FRMP").isin("", "NA"), F.lit(True))
+    rows = extract(spark, d).drop("SOURCE FILE").withColumn("NMICLASSCODE", F.when(blank, "LARGE").otherwise(F.col("NMICLASSCODE")))
+    rows.write.csv(source, header=True)
+    lookup = rows.select(F.explode(F.array("FRMP", "NEWFRMP")).alias("id")).distinct()
+    table(spark, d, "region").limit(1).select(F.explode(F.sequence(F.lit(1), F.lit(5))).alias("i")).select(
+        F.lit("1/10/2025 0:00").alias("STAT_DATE"), F.lit("M71").alias("STAT_SHORTCUT"), F.lit(7).alias("STAT_VALUE"), F.lit("SMALL").alias("NMICLASSCODE"), F.concat(F.lit("nobody "), "i").alias("FRMP")
+    ).coalesce(1).write.csv(source, header=True, mode="append")
+    rows.limit(1).select("STAT_DATE", "STAT_SHORTCUT", "NMICLASSCODE").coalesce(1).write.csv(source, header=True, mode="append")
+    ingest_stream(spark, source, f"{base}/out", f"{base}/state", f"{base}/manifest", lookup, now=NOW, rejected_path=f"{base}/refused").awaitTermination()
+    refused = spark.read.parquet(f"{base}/refused")
+    lacking = F.regexp_extract("reason", "^(missing required columns: [a-z_, ]*) in a file", 1)
+    said = materialize(refused.agg(F.max("unknown_ids").alias("unknown_ids"), F.max(lacking).alias("lacking"), F.count("*").alias("n")), "refused")
+    if said.head()["n"] != 2:
+        raise AssertionError("two files should have been refused")
+    loaded = totals(staging.read_staging(spark, f"{base}/out", manifest.read_manifest(spark, f"{base}/manifest")))
+    return loaded.withColumn("unknown_ids", said.select("unknown_ids").scalar()).withColumn("lacking", said.select("lacking").scalar())
+
+
 @query("reload_lookup", f"WITH {_LOOKUP} SELECT id, licence_common_id, (SELECT count(*) FROM lookup) AS n FROM lookup")
 def reload_lookup(spark, d):
     path = scratch_path(spark, "lookup")

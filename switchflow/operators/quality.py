@@ -18,8 +18,8 @@ class ValidationError(ValueError):
 GATE_COLUMNS = ("stat_shortcut", "frmp", "nmiclasscode")
 
 
-def checked_ids(df: DataFrame) -> DataFrame:
-    """Distinct (measure, id column, id) that need a lookup entry; blank ids are null.
+def checked_ids(df: DataFrame, *by: str) -> DataFrame:
+    """Distinct (measure, id column, id), for each value of `by`, that need a lookup entry; blank ids are null.
 
     Base rows are checked on the losing id, daily rows on both. The ids are made
     distinct before any join, so what is compared is tiny next to the facts.
@@ -30,7 +30,7 @@ def checked_ids(df: DataFrame) -> DataFrame:
     if "newfrmp" in df.columns:
         checks.append(F.struct(code, F.lit("NEWFRMP").alias("id_type"), F.trim("newfrmp").alias("missing_id")))
     rows = df.filter(code.isin(CUSTOMER_BASE, TRANSFERS) & (F.col("nmiclasscode") == "SMALL"))
-    long = rows.select(F.explode(F.array(*checks)).alias("c")).select("c.*")
+    long = rows.select(*by, F.explode(F.array(*checks)).alias("c")).select(*by, "c.*")
     wanted = long.filter((F.col("id_type") == "FRMP") | (code == TRANSFERS))
     return wanted.withColumn("missing_id", F.when(F.col("missing_id") != "", F.col("missing_id"))).distinct()
 
@@ -79,6 +79,19 @@ def assert_ids(df: DataFrame, lookup: DataFrame, report_path: str | None = None)
     )
 
 
+def refused_files(df: DataFrame, lookup: DataFrame) -> DataFrame:
+    """(source_file, reason, unknown_ids, blank_measures) of the files that `assert_ids` would refuse, each judged alone.
+
+    One grouping over all files: what is compared are the distinct ids of each.
+    """
+    ids = checked_ids(df, "source_file")
+    bad = _unknown(ids, lookup).withColumn("kind", F.lit("unknown")).unionByName(blank_ids(ids).withColumn("kind", F.lit("blank")))
+    unknown, blank = (F.count_if(F.col("kind") == k) for k in ("unknown", "blank"))
+    counted = bad.groupBy("source_file").agg(unknown.alias("unknown_ids"), blank.alias("blank_measures"))
+    reason = F.format_string("%d unknown ids, blank losing ids in %d measures", "unknown_ids", "blank_measures")
+    return counted.select("source_file", reason.alias("reason"), "unknown_ids", "blank_measures")
+
+
 def file_audit(staging: DataFrame) -> DataFrame:
     """Row count and null dates per loaded file, in one pass."""
     nulls = [F.count_if(F.col(c).isNull()).alias(f"{c}_nulls") for c in DATE_COLUMNS]

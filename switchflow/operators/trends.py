@@ -10,10 +10,15 @@ from pyspark.sql import functions as F
 from switchflow.functions.dates import month_start, year_month
 from switchflow.functions.stats import total
 from switchflow.operators.joins import join_nullsafe
-from switchflow.schema import CUSTOMER_BASE, TRANSFERS
+from switchflow.schema import CUSTOMER_BASE, TRANSFERS, VIEW_COLUMNS
 
 TOTAL = "Total"
 
+# What the report groups by; ids and codes that its names and classes were made from are left out.
+SUM_KEYS = tuple(
+    c for c in VIEW_COLUMNS if c not in ("id_mts2", "stat_value", "lnsp", "lr", "frmp", "newfrmp", "crcode", "ESC_FRMP", "ESC_NEWFRMP")
+)
+
 
 def measure(df: DataFrame, code: str) -> DataFrame:
     """Rows of one measure code."""
@@ -58,6 +63,15 @@ def sum_by(df: DataFrame, grain: str, by: Sequence[str], value: str = "stat_valu
     return sums.select(year_month("stat_date").alias("YearMonth"), "stat_date", *by, alias)
 
 
+def partial_sums(df: DataFrame, *by: str) -> DataFrame:
+    """Enriched rows summed to what the report groups by: (by, SUM_KEYS, stat_value, n_rows).
+
+    Every frame of the report is made of sums, so it is the same from these rows as from
+    the facts, also when they are sums of several files put together.
+    """
+    return df.groupBy(*by, *SUM_KEYS).agg(F.sum("stat_value").alias("stat_value"), F.count(F.lit(1)).alias("n_rows"))
+
+
 def trend(
     df: DataFrame, grain: str, category: str = "FRMP_Retailer_size", value: str = "stat_value", alias: str = "transfers"
 ) -> DataFrame:
@@ -151,10 +165,10 @@ def distinct_sorted(df: DataFrame, col: str) -> DataFrame:
 
 
 def coverage(df: DataFrame, date: str = "stat_date") -> DataFrame:
-    """Row count, first and last date, label of the latest month: one row."""
+    """Row count (of the facts, also from `partial_sums`), first and last date, label of the latest month: one row."""
     d = F.col(date)
     return df.agg(
-        F.count(F.lit(1)).alias("total_records"),
+        (total("n_rows") if "n_rows" in df.columns else F.count(F.lit(1))).alias("total_records"),
         F.min(d).alias("first_date"),
         F.max(d).alias("last_date"),
         F.date_format(F.max(d), "MMMM yyyy").alias("latest_month"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,12 +31,17 @@ def run_bulk_load(
     if snapshot_path and loaded:
         stamp = (now or dt.datetime.now()).strftime("%Y%m%d_%H%M%S")
         names = spark.createDataFrame([(n,) for n in loaded], MANIFEST)
-        write_snapshot(read_staging(spark, staging_path, names), snapshot_path, stamp)
+        live = read_manifest(spark, manifest_path).join(names, "source_file", "left_semi")
+        write_snapshot(read_staging(spark, staging_path, live), snapshot_path, stamp)
     return loaded
 
 
 def audit(spark: SparkSession, raw_path: str, staging_path: str, manifest_path: str) -> DataFrame:
     """One row per completed file: missing, null dates, count mismatch."""
-    return verification_report(
-        read_staging(spark, staging_path), read_manifest(spark, manifest_path), raw_line_counts(spark, raw_path)
-    )
+    manifest = read_manifest(spark, manifest_path)
+    return verification_report(read_staging(spark, staging_path, manifest), manifest, raw_line_counts(spark, raw_path))
+
+
+def reload(spark: SparkSession, paths: Sequence[str], staging_path: str, manifest_path: str, now: dt.datetime | None = None) -> list[str]:
+    """Load files again, all at once; readers see their earlier rows until the new ones are complete."""
+    return load_batches(spark, [(p, 0) for p in paths], staging_path, manifest_path, len(paths), now, again=True)

@@ -6,6 +6,7 @@ import datetime as dt
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,12 +15,12 @@ from switchflow.operators import flows, periods, reshape, topk, trends
 from switchflow.operators.conform import conform
 from switchflow.operators.joins import enrich
 from switchflow.operators.quality import GATE_COLUMNS, assert_ids
-from switchflow.schema import EXCLUDED_FINYEARS, VIEW_COLUMNS
+from switchflow.schema import EXCLUDED_FINYEARS, LOADS, VIEW_COLUMNS
 from switchflow.session import materialize
 from switchflow.sources.frames import load_frame, with_calendar, write_snapshot
-from switchflow.sources.manifest import assert_new, mark_done, read_manifest
+from switchflow.sources.manifest import assert_new, commit, read_manifest, version
 from switchflow.sources.raw import list_inputs, newest_file, read_raw
-from switchflow.sources.staging import read_staging, replace_sources, upsert_by_source
+from switchflow.sources.staging import live_rows, new_load, read_staging, upsert_by_source, write_load
 
 
 @dataclass
@@ -34,17 +35,20 @@ class Paths:
     codes: str
     snapshots: str | None = None
     missing_ids: str | None = None
+    sums: str | None = None
 
 
 def run_month(spark: SparkSession, paths: Paths, source_file: str | None = None, now: dt.datetime | None = None) -> str:
     """Load the newest extract (or `source_file`) and refresh its enriched rows.
 
     The id gate runs first and stops the run, also for an extract without the columns
-    it checks; nothing is written then. Returns the
-    name of the file loaded. `source_file` repeats or completes a chosen file, so it
-    may be in the manifest already.
+    it checks; nothing is written then. Returns the name of the file loaded.
+    `source_file` repeats or completes a chosen file, so it may be in the manifest
+    already. Both tables get the rows as a load of their own, and one commit makes both
+    visible: until then, and if the run fails, readers see what they saw before.
     """
     files = list_inputs(spark, paths.raw)
+    seen = version(spark, paths.manifest)
     manifest = read_manifest(spark, paths.manifest)
     if source_file is None:
         chosen = newest_file(files)
@@ -59,13 +63,15 @@ def run_month(spark: SparkSession, paths: Paths, source_file: str | None = None,
     rows = conform(read_raw(spark, [path], now, required=GATE_COLUMNS))
     entities, codes = load_frame(spark, paths.entities), load_frame(spark, paths.codes)
     assert_ids(rows, entities, paths.missing_ids)
-    replace_sources(rows, paths.staging)
-    staged = read_staging(spark, paths.staging)
+    load = new_load()
+    write_load(rows, paths.staging, load)
+    done = spark.createDataFrame([(name, load)], LOADS)
+    staged = read_staging(spark, paths.staging, done)
     if paths.snapshots:
         stamp = (now or dt.datetime.now()).strftime("%Y%m%d_%H%M%S")
-        write_snapshot(staged.filter(F.col("source_file") == name), paths.snapshots, f"{name}_{stamp}")
-    upsert_by_source(staged, paths.enriched, name, lambda df: enrich(with_calendar(df), entities, codes))
-    mark_done(spark, [name], paths.manifest)
+        write_snapshot(staged, paths.snapshots, f"{name}_{stamp}")
+    upsert_by_source(staged, paths.enriched, name, lambda df: enrich(with_calendar(df), entities, codes), load)
+    commit(spark, paths.manifest, done, seen, "raise" if source_file is None else "replace")
     return name
 
 
@@ -112,11 +118,52 @@ def report(
     return out
 
 
+# Files whose partitions are named in a filter; more of them are joined.
+NAMED_FILES = 1000
+
+
+def refresh_sums(spark: SparkSession, paths: Paths) -> int:
+    """Add the partial sums of live loads that have none yet; returns the number of files summed.
+
+    Only the partitions of those files are read. Sums keep the load they were made from,
+    so a file that is loaded again is summed again and its earlier sums are dead.
+    """
+    live = read_manifest(spark, paths.manifest).filter("load IS NOT NULL")
+    try:
+        have = spark.read.schema(LOADS).parquet(paths.sums).select("source_file", "load").distinct()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        have = spark.createDataFrame([], LOADS)
+    todo = materialize(live.join(have, ["source_file", "load"], "left_anti"), "sums-due")
+    n = todo.count()
+    if not n:
+        return 0
+    rows = spark.read.schema(_enriched_schema(spark, paths, load=True)).parquet(paths.enriched)
+    if n <= NAMED_FILES:
+        rows = rows.filter(F.col("load").isin([r["load"] for r in todo.collect()]))  # prunes partitions
+    rows = rows.join(todo, ["source_file", "load"], "left_semi")
+    trends.partial_sums(rows, "source_file", "load").write.mode("append").partitionBy("source_file", "load").parquet(paths.sums)
+    return n
+
+
+def _enriched_schema(spark: SparkSession, paths: Paths, load: bool = False) -> T.StructType:
+    """Columns of the enriched table; partition names such as `201801` are text."""
+    found = [f for f in spark.read.parquet(paths.enriched).schema if f.name not in ("source_file", "load")]
+    return T.StructType([*found, *(LOADS.fields if load else LOADS.fields[:1])])
+
+
 def monthly_report(spark: SparkSession, paths: Paths) -> dict[str, DataFrame]:
-    """Report frames of the enriched table, completed files only."""
+    """Report frames of the live loads of completed files.
+
+    With `paths.sums` they are made from partial sums per file, and of the enriched facts
+    only those of files without sums are read; else from all facts.
+    """
     manifest = read_manifest(spark, paths.manifest)
-    # Partition names such as `201801` are text.
-    found = spark.read.parquet(paths.enriched).schema
-    stated = T.StructType([T.StructField("source_file", T.StringType()) if f.name == "source_file" else f for f in found])
-    rows = spark.read.schema(stated).parquet(paths.enriched).join(manifest, "source_file", "left_semi")
-    return report(rows.select(*VIEW_COLUMNS))
+    if not paths.sums:
+        return report(live_rows(spark, paths.enriched, manifest, _enriched_schema(spark, paths)).select(*VIEW_COLUMNS))
+    refresh_sums(spark, paths)
+    found = _enriched_schema(spark, paths)
+    kinds = {f.name: f for f in found}
+    shape = T.StructType([*[kinds[c] for c in trends.SUM_KEYS], T.StructField("stat_value", T.LongType()), T.StructField("n_rows", T.LongType()), LOADS.fields[0]])
+    return report(live_rows(spark, paths.sums, manifest, shape))

@@ -64,6 +64,7 @@ CHANGE_CODES = ("1000", "1010", "1020", "1030", "1040")
 EXCLUDED_FINYEARS = ("2017-18", "2018-19", "2019-20")
 
 MANIFEST = T.StructType([T.StructField("source_file", _S)])
+LOADS = T.StructType([*MANIFEST.fields, T.StructField("load", _S)])
 
 # Source and built columns of the two lookups.
 ENTITY_SOURCE_COLUMNS = ("PARTICIPANTID", "CORPORATIONID", "ESC RetailerCommonID")

@@ -13,6 +13,7 @@ from switchflow.functions.dates import local_now
 from switchflow.functions.text import clean_name_list
 from switchflow.operators.conform import blanks_to_null, clean_names
 from switchflow.operators.reshape import stack
+from switchflow.sources.records import read_records, record_counts
 
 CSV_GLOB = "*.[cC][sS][vV]"
 
@@ -60,7 +61,7 @@ def read_raw(
     read in one group per distinct header and put together by column name. Blank lines
     before the header are passed over; a file without any other line has no rows.
     `required` names (cleaned) columns that every file must have.
-    `multi_line` allows line breaks inside quotes, at the price of one task per file.
+    `multi_line` allows line breaks inside quotes (see `sources.records`).
     """
     if isinstance(paths, str):
         paths = [r["path"] for r in list_inputs(spark, paths).select("path").orderBy("path").collect()]
@@ -69,33 +70,52 @@ def read_raw(
     found = headers(spark, paths)
     if required:
         require_headers(found, paths, required)
+    groups = []
+    if multi_line:
+        groups = read_records(spark, paths)
+    else:
+        # One row per distinct header; file names only.
+        for group in found.groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths")).orderBy("header").collect():
+            raw = spark.read.csv([unquote(p) for p in group["paths"]], header=True, inferSchema=False, quote='"', escape='"')
+            groups.append(raw.select(*[F.col(f"`{c}`") for c in raw.columns], F.col("_metadata.file_path").alias("_path")))
     frames = []
-    # One row per distinct header; file names only.
-    for group in found.groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths")).orderBy("header").collect():
-        raw = spark.read.csv([unquote(p) for p in group["paths"]], header=True, inferSchema=False, quote='"', escape='"', multiLine=multi_line)
-        names = raw.columns
-        tagged = raw.select(*[F.col(f"`{c}`") for c in names], F.col("_metadata.file_path").alias("_path"))
+    for tagged in groups:
         text = clean_names(tagged.drop("_path"))
-        frame = tagged.toDF(*text.columns, "_path")
-        frames.append(blanks_to_null(frame, text.columns))
+        frames.append(blanks_to_null(tagged.toDF(*text.columns, "_path"), text.columns))
     if not frames:
         frames = [spark.createDataFrame([], "_path string")]
     return with_lineage(stack(frames), now)
 
 
+def header_names(found: DataFrame) -> DataFrame:
+    """`found` (path, header) with names: the column names, cleaned, read from the line as CSV."""
+    width = found.select(F.max(F.regexp_count("header", F.lit(","))) + 1).first()[0] or 1
+    # Commas inside quotes leave fields at the end without a value.
+    fields = [f"c{i}" for i in range(width)]
+    parsed = F.from_csv("header", ", ".join(f"{c} string" for c in fields), {"quote": '"', "escape": '"'})
+    lines = found.select("header").distinct().select("header", parsed.alias("c")).select("header", F.array(*[f"c.{c}" for c in fields]).alias("c"))
+    rows = [(r["header"], clean_name_list([n for n in r["c"] if n is not None])) for r in lines.collect()]  # a few distinct header lines
+    return found.join(found.sparkSession.createDataFrame(rows, "header string, names array<string>"), "header").select("path", "header", "names")
+
+
+def lacking_files(found: DataFrame, paths: Sequence[str], required: Sequence[str]) -> DataFrame:
+    """(source_file, reason) of files that lack a required column; a file without a header lacks them all."""
+    named = header_names(found).withColumn("absent", F.array_except(F.array(*map(F.lit, required)), "names"))
+    say = F.concat(F.lit("missing required columns: "), F.array_join("absent", ", "), F.lit(" in a file with the header "), F.substring("header", 1, 200))
+    bad = named.filter(F.size("absent") > 0).select(file_name(F.col("path")).alias("source_file"), say.alias("reason"))
+    asked = found.sparkSession.createDataFrame([(p.rstrip("/").rsplit("/", 1)[-1],) for p in paths], "source_file string")
+    empty = asked.join(found.select(file_name(F.col("path")).alias("source_file")), "source_file", "left_anti")
+    return bad.union(empty.select("source_file", F.lit(f"missing required columns: {', '.join(required)} in an empty file")))
+
+
 def require_headers(found: DataFrame, paths: Sequence[str], required: Sequence[str]) -> None:
     """Raise if a file lacks a required column; a file without a header lacks them all."""
-    known = found.select("header").distinct().collect()  # a few distinct header lines
-    for (line,) in known:
-        names = clean_name_list([c.strip().strip('"') for c in line.split(",")])
-        absent = [c for c in required if c not in names]
-        if absent:
-            raise ValueError(f"missing required columns: {', '.join(absent)} in a file with the header {line[:200]}")
-    if found.count() < len(set(paths)):
-        raise ValueError(f"missing required columns: {', '.join(required)} in an empty file")
+    bad = lacking_files(found, paths, required).select("reason").head(1)
+    if bad:
+        raise ValueError(bad[0][0])
 
 
-def _file_name(path: Column) -> Column:
+def file_name(path: Column) -> Column:
     """Base name of an encoded path, where a plus sign is a plus sign."""
     return F.url_decode(F.replace(F.element_at(F.split(path, "/"), -1), F.lit("+"), F.lit("%2B")))
 
@@ -103,16 +123,22 @@ def _file_name(path: Column) -> Column:
 def with_lineage(df: DataFrame, now: dt.datetime | None = None, path_col: str = "_path") -> DataFrame:
     """Tag rows with `source_file` (base name) and `date_imported` (naive local time)."""
     stamp = F.lit(now).cast("timestamp_ntz") if now is not None else local_now()
-    name = _file_name(F.col(path_col))
+    name = file_name(F.col(path_col))
     return df.withColumns({"source_file": name, "date_imported": stamp}).drop(path_col)
 
 
+def raw_record_counts(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Records minus the header per file; line breaks inside quotes belong to their record."""
+    counts = record_counts(spark, paths)
+    return counts.select(file_name(F.col("path")).alias("source_file"), (F.col("n") - 1).alias("raw_count"))
+
+
 def raw_line_counts(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Lines minus the header per file, blank lines aside. A line break inside quotes counts as a line."""
     if isinstance(paths, str):
         lines = spark.read.option("pathGlobFilter", CSV_GLOB).text(paths)
     else:
         lines = spark.read.text(list(paths))
-    name = _file_name(F.col("_metadata.file_path"))
+    name = file_name(F.col("_metadata.file_path"))
     counts = lines.filter(F.trim("value") != "").select(name.alias("source_file")).groupBy("source_file").agg(F.count(F.lit(1)).alias("n"))
     return counts.select("source_file", F.greatest(F.lit(0).cast("long"), F.col("n") - 1).alias("raw_count"))
