@@ -3,8 +3,10 @@
 E-mail and IP addresses, telephone, card and social security numbers, and names behind a
 title are found by one pattern. A surrogate is drawn from a keyed hash of what the mention
 names, so every spelling and every document gets the same one; it is poured into the
-mention's own format. Names keep gender and script. Where two entities draw one surrogate,
-or a surrogate names another real entity, all but one draw again until none do.
+mention's own format. Names keep gender and script; a name that was found behind a title
+is replaced wherever the same text repeats it. Where two entities draw one surrogate, or a
+surrogate names another real entity, all but one draw again, from a wider range after some
+draws; those for whom nothing is left change places among themselves.
 """
 
 from __future__ import annotations
@@ -16,14 +18,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from switchflow.llm.common import bind, whole_text
+from switchflow.operators.topk import positions
 from switchflow.session import materialize
 
-ROUNDS = 40
+ROUNDS = 12
+WIDER = 4  # draws after which private addresses are taken from all of 10.0.0.0/8
 HEX = "0123456789abcdef"
 
 # Titles, and syllables that names are put together from.
 TITLES_M = ("Mr", "Herr", "Monsieur", "Señor", "Sr", "Signor", "Господин", "г-н", "Κύριος")
 TITLES_F = ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "Signora", "Госпожа", "г-жа", "Κυρία")
+TITLES_N = ("Dr", "Prof", "Professor", "Doctor", "Docteur", "Доктор", "Профессор", "Δρ")
 SYLLABLES = {
     "latin": ("bar", "cor", "da", "del", "fen", "ga", "hol", "jo", "ka", "lin", "mar", "nor", "pe", "ros", "sel", "ta"),
     "cyrillic": ("бар", "вол", "га", "ден", "жу", "за", "кор", "лин", "ма", "нов", "пет", "ро", "сол", "та", "фед", "ча"),
@@ -38,16 +43,16 @@ PATTERNS = {
     "card": r"(?<![0-9A-Za-z])[0-9]{4}(?:[0-9]{12}|(?: [0-9]{4}){3}|(?:-[0-9]{4}){3})(?![0-9A-Za-z])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "phone": r"(?<![0-9])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])|(?<![0-9])\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])",
-    "name": rf"(?<!\p{{L}})(?:{'|'.join(sorted(TITLES_M + TITLES_F, key=len, reverse=True))})\.? +{_NAME}(?: +{_NAME})?",
+    "name": rf"(?<!\p{{L}})(?:{'|'.join(sorted(TITLES_M + TITLES_F + TITLES_N, key=len, reverse=True))})\.? +{_NAME}(?: +{_NAME})?",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
-FEMALE = rf"^(?:{'|'.join(TITLES_F)})\b"
+FEMALE, NEUTRAL = (rf"^(?:{'|'.join(t)})\b" for t in (TITLES_F, TITLES_N))
 TYPES = tuple(PATTERNS)
 
 
 def has_mentions(text: Column) -> Column:
     # Cheap tests first: most texts have neither digits in a row, nor @, nor the letters of a title.
-    titles = sorted(TITLES_M + TITLES_F, key=len)
+    titles = sorted(TITLES_M + TITLES_F + TITLES_N, key=len)
     shortest = [t for i, t in enumerate(titles) if not any(s in t for s in titles[:i])]
     titled = reduce(or_, [text.contains(t) for t in shortest])
     return (text.contains("@") | text.rlike(r"[0-9][ .()-]{0,2}[0-9]") | titled) & text.rlike(ANY)
@@ -71,7 +76,7 @@ def units(m: Column) -> Column:
     """What a mention names: (type, norm, surface) for each part that gets a surrogate."""
     kind, text = m["type"], m["mention"]
     words = F.split(F.regexp_replace(text, r"^\S+ +", ""), " +")
-    gender = F.when(text.rlike(FEMALE), "f").otherwise("m")
+    gender = F.when(text.rlike(FEMALE), "f").when(text.rlike(NEUTRAL), "n").otherwise("m")
 
     def named(w: Column, i: Column) -> Column:
         script = F.when(w.rlike(r"\p{IsCyrillic}"), "cyrillic").when(w.rlike(r"\p{IsGreek}"), "greek").otherwise("latin")
@@ -124,13 +129,14 @@ def _card(norm: Column, h: Column) -> Column:
     return F.concat(body, F.when(valid, check.cast("string")).otherwise(F.substr(drawn, F.length(norm), F.lit(1))))
 
 
-def _ip(norm: Column, h: Column) -> Column:
+def _ip(norm: Column, h: Column, attempt: Column) -> Column:
     octet = F.split(norm, r"\.")
     private = norm.rlike(r"^(10|127|192\.168|172\.(1[6-9]|2[0-9]|3[01]))\.")
     two = norm.rlike(r"^(192|172)\.")
     drawn = [(F.pmod(_number(h, 1 + 4 * i), F.lit(254)) + 1).cast("string") for i in range(4)]
     public = F.element_at(F.array(*[F.lit(str(x)) for x in (23, 34, 45, 52, 63, 78, 81, 95, 104, 118, 139, 151, 167, 185, 203, 212)]), F.pmod(_number(h, 1), F.lit(16)) + 1)
-    return F.concat_ws(".", F.when(private, octet[0]).otherwise(public), F.when(private & two, octet[1]).otherwise(drawn[1]), drawn[2], drawn[3])
+    first = F.when(~private, public).when(attempt < WIDER, octet[0]).otherwise("10")
+    return F.concat_ws(".", first, F.when(private & two & (attempt < WIDER), octet[1]).otherwise(drawn[1]), drawn[2], drawn[3])
 
 
 def _phone(norm: Column, h: Column) -> Column:
@@ -167,7 +173,7 @@ def surrogate(kind: Column, norm: Column, attempt: Column, key: str) -> Column:
     def of(h: Column) -> Column:
         return (
             F.when(kind == "email", _email(norm, h, k, attempt))
-            .when(kind == "ip", _ip(norm, h))
+            .when(kind == "ip", _ip(norm, h, attempt))
             .when(kind == "card", _card(norm, h))
             .when(kind == "ssn", F.substr(_digits(h), F.lit(1), F.length(norm)))
             .when(kind == "phone", _phone(norm, h))
@@ -195,12 +201,30 @@ def in_format(kind: Column, surface: Column, canonical: Column) -> Column:
     )
 
 
-def assign(entities: DataFrame, key: str) -> DataFrame:
-    """entities (type, norm), distinct -> (type, norm, canonical): a surrogate for each, all different and none a real entity."""
-    real = entities.select("type", F.col("norm").alias("canonical"))
+def _exchanged(rest: DataFrame, key: str) -> DataFrame:
+    """(type, norm, canonical): each of the entities gets the next one's norm, in a keyed order among those of its type and length.
+
+    An entity that is alone keeps its marks and gets zeros and x for digits and letters.
+    """
+    shaped = rest.select("type", F.length("norm").alias("size"), _hash(F.lit(key), F.lit("exchange"), "type", "norm").alias("h"), "norm")
+    numbered = materialize(positions(shaped, ["type", "size", "h", "norm"], "at"), "pii-exchange")
+    ends = numbered.groupBy("type", "size").agg(F.min("at").alias("lo"), F.max("at").alias("hi"))
+    asks = numbered.join(ends, ["type", "size"]).withColumn("next", F.when(F.col("at") < F.col("hi"), F.col("at") + 1).otherwise(F.col("lo")))
+    given = numbered.select(F.col("at").alias("next"), F.col("norm").alias("other"))
+    blank = F.regexp_replace(F.regexp_replace("norm", "[0-9]", "0"), r"\p{L}", "x")
+    return asks.join(given, "next").select("type", "norm", F.when(F.col("hi") > F.col("lo"), F.col("other")).otherwise(blank).alias("canonical"))
+
+
+def assign(entities: DataFrame, key: str, rounds: int = ROUNDS) -> DataFrame:
+    """entities (type, norm), distinct -> (type, norm, canonical): a surrogate for each, all different and none a real entity.
+
+    Entities that find no free surrogate in so many draws, as where most numbers of a
+    length are real ones, exchange their own: all surrogates stay different, and none is
+    the entity's own.
+    """
+    real = materialize(entities.select("type", F.col("norm").alias("canonical")), "pii-real")
     now = materialize(entities.withColumn("attempt", F.lit(0)), "pii-entities")
-    real = materialize(real, "pii-real")
-    for _ in range(ROUNDS):
+    for round_ in range(rounds):
         drawn = materialize(now.withColumn("canonical", surrogate(F.col("type"), F.col("norm"), F.col("attempt"), key)), "pii-drawn")
         # The entity that settled first keeps a surrogate; of equals, the first by norm.
         owner = drawn.groupBy("type", "canonical").agg(F.min(F.struct("attempt", "norm")).alias("owner"), F.count("*").alias("n")).filter("n > 1")
@@ -209,9 +233,22 @@ def assign(entities: DataFrame, key: str) -> DataFrame:
         again = materialize(taken.union(lost).distinct(), "pii-again")
         if again.isEmpty():
             return drawn.select("type", "norm", "canonical")
+        if round_ == rounds - 1:
+            break
         now = drawn.drop("canonical").join(again.withColumn("redo", F.lit(1)), ["type", "norm"], "left")
         now = now.select("type", "norm", (F.col("attempt") + F.coalesce("redo", F.lit(0))).alias("attempt"))
-    raise RuntimeError("more entities of one kind than surrogates")
+    return drawn.join(again, ["type", "norm"], "left_anti").select("type", "norm", "canonical").union(_exchanged(again, key))
+
+
+def renamed(text: Column, names: Column) -> Column:
+    """The text with the names (surface, new) replaced where they stand as words of their own, all in one pass."""
+    # Names are letters, apostrophes and hyphens. Longer ones first, so that a double name is not taken for its first half.
+    longest = F.array_sort(names, lambda a, b: F.length(b["surface"]) - F.length(a["surface"]))
+    pattern = F.concat(F.lit(r"(?<![\p{L}’'-])(?:"), F.array_join(F.transform(longest, lambda n: n["surface"]), "|"), F.lit(r")(?![\p{L}-])"))
+    to = F.map_from_entries(names)
+    found = F.transform(F.regexp_extract_all(text, pattern, F.lit(0)), lambda w: F.element_at(to, w))
+    put = F.zip_with(F.split(text, pattern, -1), found, lambda part, new: F.array(part, F.coalesce(new, F.lit(""))))
+    return F.concat_ws("", F.flatten(put))
 
 
 def replace_pii(docs: DataFrame, key: str = "switchflow", text_column: str = "text", counts: bool = True) -> DataFrame:
@@ -220,7 +257,8 @@ def replace_pii(docs: DataFrame, key: str = "switchflow", text_column: str = "te
     key should be the user's own secret; equal keys give equal surrogates. A null text
     stays null, other columns pass as they are (those named n_<type> are replaced when
     counts are asked for), repeated rows and null ids come back as often as they came,
-    an empty table stays empty.
+    an empty table stays empty. The counts are of mentions found, not of later repeats of
+    a name without its title, which are replaced too.
     """
     names = [f"n_{t}" for t in TYPES]
     kept = [c for c in docs.columns if not (counts and c in names)]
@@ -235,18 +273,24 @@ def replace_pii(docs: DataFrame, key: str = "switchflow", text_column: str = "te
     found = found.select("__id", "__h", "pos", "m", F.posexplode(units(F.col("m"))).alias("part", "u")).distinct()
     found = materialize(found.select("__id", "__h", "pos", "part", F.col("m.type").alias("kind"), F.col("m.mention").alias("mention"), "u.type", "u.norm", "u.surface"), "pii-mentions")
     drawn = materialize(assign(found.select("type", "norm").distinct(), key), "pii-surrogates")
-    new = found.join(drawn, ["type", "norm"]).select("__id", "__h", "pos", "part", "kind", "mention", in_format(F.col("type"), F.col("surface"), F.col("canonical")).alias("new"))
+    new = found.join(drawn, ["type", "norm"]).select("__id", "__h", "pos", "part", "kind", "mention", "surface", in_format(F.col("type"), F.col("surface"), F.col("canonical")).alias("new"))
     title = F.regexp_extract("mention", r"^(\S+ +)", 1)
     both = F.concat_ws(" ", F.transform(F.sort_array(F.collect_list(F.struct("part", "new"))), lambda x: x["new"]))
     whole = new.groupBy("__id", "__h", "pos", "kind", "mention").agg(both.alias("new"))
     whole = whole.withColumn("new", F.when(F.col("kind") == "name", F.concat(title, "new")).otherwise(F.col("new")))
+    # Names by their spelling in this text: where one stands for several entities, as a first and a last name, the first found.
+    names_of = new.filter("kind = 'name'").groupBy("__id", "__h", "surface").agg(F.min_by("new", F.struct("pos", "part")).alias("new"))
+    names_of = names_of.groupBy("__id", "__h").agg(F.collect_list(F.struct("surface", "new")).alias("__names"))
     per_row = whole.groupBy("__id", "__h").agg(
         F.transform(F.sort_array(F.collect_list(F.struct("pos", "new"))), lambda x: x["new"]).alias("__new"),
         *[F.count_if(F.col("kind") == t).alias(f"__{n}") for t, n in zip(TYPES, names, strict=True)],
     )
+    named = names_of.select(F.col("__id").alias("__id3"), F.col("__h").alias("__h3"), "__names")
+    per_row = per_row.join(named, F.col("__id").eqNullSafe(F.col("__id3")) & (F.col("__h") == F.col("__h3")), "left").drop("__id3", "__h3")
     per_row = materialize(per_row, "pii-rows").withColumnsRenamed({"__id": "__id2", "__h": "__h2"})
     joined = keyed.join(per_row, F.col("__id").eqNullSafe(F.col("__id2")) & (F.col("__h") == F.col("__h2")), "left")
     between = F.split(F.col(text_column), ANY, -1)
+    between = F.when(F.col("__names").isNotNull(), F.transform(between, lambda part: renamed(part, F.col("__names")))).otherwise(between)
     put = F.concat_ws("", F.flatten(F.zip_with(between, "__new", lambda p, n: F.array(p, F.coalesce(n, F.lit(""))))))
     new_text = F.when(F.col("__new").isNull(), F.col(text_column)).otherwise(put).alias(text_column)
     out = [new_text if c == text_column else F.col(c) for c in kept]

@@ -60,6 +60,39 @@ def test_distinct_entities_stay_distinct(spark):
     assert not {(r.type, r.canonical) for r in rows} & set(entities)
 
 
+def test_names_are_replaced_where_a_text_repeats_them(spark):
+    rows = [
+        (1, "Mr John Smith came. Smith said that John, not Smithson or Mc-Smith, wrote to Smith's friend smith."),
+        (2, "No title here: Smith and John stay."),
+        (3, "Dr Anna-Lena Weiß and Prof. Weiß: Anna-Lena, Anna, WEISS, Weiß."),
+        (4, "Mrs May left in May; O'Neill? Mr O'Neill! O'Neill."),
+    ]
+    got = {r.doc_id: r.text for r in run(spark, rows)}
+    m = re.fullmatch(r"Mr (\w+) (\w+) came\. (\w+) said that (\w+), not Smithson or Mc-Smith, wrote to (\w+)'s friend smith\.", got[1])
+    assert m and m[2] == m[3] == m[5] != "Smith" and m[1] == m[4] != "John"
+    assert got[2] == rows[1][1]
+    m = re.fullmatch(r"Dr (\w+) (\w+) and Prof\. (\w+): (\w+), Anna, WEISS, (\w+)\.", got[3])
+    assert m and m[2] == m[3] == m[5] and m[1] == m[4] and not m[1].endswith("ina")
+    m = re.fullmatch(r"Mrs (\w+) left in (\w+); (\w+)\? Mr (\w+)! (\w+)\.", got[4])
+    assert m and m[1] == m[2] and m[3] == m[4] == m[5]
+
+
+def test_full_spaces_end_in_an_exchange(spark):
+    # Every address of 192.168.0.0/16, most of the numbers of five digits behind a plus sign, and one that is alone.
+    ips = spark.range(65536).selectExpr("'ip' AS type", "concat('192.168.', id div 256, '.', id % 256) AS norm")
+    phones = spark.range(95000).selectExpr("'phone' AS type", "lpad(id, 5, '0') AS norm")
+    entities = ips.union(phones)
+    got = pii.assign(entities, "k", rounds=6)
+    assert got.count() == 160536 and got.select("type", "canonical").distinct().count() == 160536
+    assert got.filter("norm = canonical").count() == 0
+    ip = got.filter("type = 'ip'")
+    assert ip.join(ips.select(F.col("norm").alias("canonical")), "canonical", "left_semi").count() == 0
+    assert ip.filter("canonical LIKE '10.%' OR canonical LIKE '192.168.%'").count() >= 65535  # one alone after the last draw has zeros
+    assert got.filter("type = 'phone' AND length(canonical) <> 5").count() == 0
+    alone = pii._exchanged(spark.createDataFrame([("ssn", "123-45"), ("card", "9")], "type string, norm string"), "k")
+    assert {r.norm: r.canonical for r in alone.collect()} == {"123-45": "000-00", "9": "0"}
+
+
 def test_other_texts_pass_untouched(spark):
     docs = documents(spark, ODD).withColumn("n_words", F.lit(1))
     got = pii.replace_pii(docs, counts=False)
