@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from catalog.registry import FIN_QUARTER, FIN_YEAR, query, raw
 from catalog.views import FX_ENTITY_SOURCE, FX_RAW, spark_view, table
+from switchflow.functions.dates import LOCAL_ZONE, local_now
 from switchflow.operators import conform as conforming
 from switchflow.operators import joins, lookups, quality, reshape
 from switchflow.plans import bulk_load
@@ -296,6 +297,36 @@ def verification_report(spark, d):
     return quality.verification_report(dated(spark, d), some_done(spark, d), raw_counts(spark, d).union(ghost))
 
 
+@query("converted_types", f"{CONF} SELECT CAST(year(stat_date) AS INT) AS yr, count(*) AS n, CAST(sum(stat_value) AS BIGINT) AS v, count(frmp) AS n_from FROM conf GROUP BY ALL")
+def converted_types(spark, d):
+    """Types are parsed for the typed columns that a frame has, here two of them."""
+    some = conforming.clean_names(extract(spark, d).select("STAT_DATE", "STAT_VALUE", "FRMP"))
+    rows = conforming.convert_types(conforming.blanks_to_null(some))
+    return rows.groupBy(F.year("stat_date").alias("yr")).agg(F.count(F.lit(1)).alias("n"), F.sum("stat_value").alias("v"), F.count("frmp").alias("n_from"))
+
+
+@query("required_columns", f"{CONF} SELECT stat_shortcut, count(*) AS n, 'frmp, nmiclasscode' AS refused FROM conf GROUP BY ALL")
+def required_columns(spark, d):
+    """A frame with the gate's columns passes; one without two of them is refused, by name."""
+    rows, refused = conformed(spark, d), None
+    conforming.require_columns(rows, quality.GATE_COLUMNS)
+    try:
+        conforming.require_columns(rows.drop("frmp", "nmiclasscode"), quality.GATE_COLUMNS)
+    except ValueError as e:
+        refused = str(e).rpartition(": ")[2]
+    return rows.groupBy("stat_shortcut").agg(F.count(F.lit(1)).alias("n")).withColumn("refused", F.lit(refused))
+
+
+@query("import_stamp", f"{CONF} SELECT source_file, count(*) AS n, TRUE AS one_stamp, TRUE AS local_time FROM conf GROUP BY ALL")
+def import_stamp(spark, d):
+    """Rows of a load carry one stamp: the wall clock of the zone, without a zone, to the second."""
+    rows = extract(spark, d).select(F.col("SOURCE FILE").alias("source_file")).withColumn("at", local_now())
+    here = F.from_utc_timestamp(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), LOCAL_ZONE).cast("timestamp_ntz")
+    near = F.abs(F.timestamp_diff("SECOND", F.col("at"), here)) < 600
+    whole = F.col("at") == F.date_trunc("second", "at")
+    return rows.groupBy("source_file").agg(F.count(F.lit(1)).alias("n"), (F.countDistinct("at") == 1).alias("one_stamp"), F.bool_and(near & whole).alias("local_time"))
+
+
 # --- manifest --------------------------------------------------------------------------
 
 _FILES = f"{RAW}, files AS (SELECT DISTINCT \"SOURCE FILE\" AS source_file FROM raw), done AS (SELECT source_file FROM files WHERE source_file < 'extract_1998')"
