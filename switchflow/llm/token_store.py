@@ -34,7 +34,7 @@ from switchflow.llm.common import partitions, whole_text
 from switchflow.llm.tokens import id_encoder, vocabulary
 
 SHARD_IDS = 16_000_000  # ids after which a shard is closed
-BATCH = 512  # documents encoded at once
+BATCH = 2048  # documents encoded at once
 PER_BUCKET = 4
 MAGIC = b"TOKIDX01"
 HEAD = struct.Struct("<8sQQQQ")  # magic, width, documents, keys, buckets

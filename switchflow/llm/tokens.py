@@ -8,6 +8,8 @@ from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
 # White space other than the plain space; beside one of these a space does not start a piece by itself.
@@ -34,6 +36,14 @@ def plainly_spaced(text: str) -> bool:
     return not any(c in text and (c + " " in text or " " + c in text) for c in OTHER_SPACE)
 
 
+def parted(text: str) -> str:
+    """A plainly spaced text with a space before each line feed, where line feeds are its only other white
+    space and stand alone: a piece starts and ends at each of them, so lines part words as spaces do."""
+    if "\n" not in text or "\n\n" in text or any(c in text for c in OTHER_SPACE if c != "\n"):
+        return text
+    return text.replace("\n", " \n")
+
+
 class Pieces:
     """Ids of texts, as bytes, put together from those of their parts; `encode` gets whole pieces, many at once."""
 
@@ -50,11 +60,11 @@ class Pieces:
     def _learn_words(self, new: set[str]) -> tuple[list[str], list[str]]:
         """Letters alone, or with a mark behind them, need no pattern; returns what words and pieces were added."""
         plain = {w for w in new if w.isalpha()}
-        marked = [w for w in new if w[-1] in ".," and w[:-1].isalpha()]
+        marked = [w for w in new if w[-1:] in (".", ",") and w[:-1].isalpha()]
         plain.update(s for w in marked if (s := w[:-1]) not in self.words)
         added = list(plain)
         self.words.update(zip(added, self.encode([" " + w for w in added]), strict=True))
-        found = {w: self.find(" " + w) for w in new.difference(plain, marked)}
+        found = {w: self.find(w if w[:1] == "\n" else " " + w) for w in new.difference(plain, marked)}
         pieces = self._learn({".", ",", *(p for f in found.values() for p in f)})
         for w in marked:
             self.words[w] = self.words[w[:-1]] + self.pieces[w[-1]]
@@ -65,26 +75,49 @@ class Pieces:
     def __call__(self, texts: list[str]) -> list[bytes]:
         """The ids of each text."""
         out: list = [None] * len(texts)
-        cut = {}
+        cut = []
         for i, text in enumerate(texts):
             if any(s in text for s in self.special):
                 out[i] = self.encode([text])[0]  # a special token is found in the whole text only
             elif plainly_spaced(text):
-                cut[i] = text.split(" ")
-        known = self.words
-        words, pieces = self._learn_words({w for c in cut.values() for w in c[1:] if w not in known})
-        rest = {i: self.find(text) for i, text in enumerate(texts) if i not in cut and out[i] is None}
-        rest |= {i: self.find(c[0]) for i, c in cut.items()}
-        pieces += self._learn({p for f in rest.values() for p in f})
-        piece = self.pieces.__getitem__
+                cut.append(i)
+        whole = set(cut)
+        rest = {i: self.find(text) for i, text in enumerate(texts) if out[i] is None and i not in whole}
+        pieces = self._learn({p for f in rest.values() for p in f})
         for i, f in rest.items():
-            head = map(piece, f)
-            out[i] = b"".join([*head, *map(known.__getitem__, cut[i][1:])]) if i in cut else b"".join(head)
-        for memory, last in ((known, words), (self.pieces, pieces)):
+            out[i] = b"".join(map(self.pieces.__getitem__, f))
+        if cut:
+            for i, ids in zip(cut, self._cut([parted(texts[i]) for i in cut]), strict=True):
+                out[i] = ids
+        if len(self.pieces) > REMEMBERED:
+            for x in pieces:
+                self.pieces.pop(x, None)
+        return out
+
+    def _cut(self, texts: list[str]) -> list[bytes]:
+        """The ids of plainly spaced texts: every different word is looked up once, and ids are gathered by number."""
+        lists = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        coded = lists.values.dictionary_encode()
+        words, number = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy().astype(np.int64)
+        starts = lists.offsets.to_numpy()
+        # The first word of a text has no space before it: it gets a number of its own.
+        heads = [self.find(words[n]) for n in number[starts[:-1]].tolist()]
+        number[starts[:-1]] = len(words) + np.arange(len(texts))
+        added, pieces = self._learn_words({w for w in words if w not in self.words})
+        pieces += self._learn({p for f in heads for p in f})
+        known = [*map(self.words.__getitem__, words), *(b"".join(map(self.pieces.__getitem__, f)) for f in heads)]
+        for memory, last in ((self.words, added), (self.pieces, pieces)):
             if len(memory) > REMEMBERED:
                 for x in last:
-                    del memory[x]
-        return out
+                    memory.pop(x, None)
+        ids = np.frombuffer(b"".join(known), "<u4")
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        first = (np.cumsum(sizes) - sizes)[number]
+        sizes = sizes[number]
+        ends = np.cumsum(sizes)
+        flat = ids[np.repeat(first - (ends - sizes), sizes) + np.arange(ends[-1])]
+        cuts = [0, *ends[starts[1:] - 1].tolist()]
+        return [flat[a:b].tobytes() for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
 @lru_cache(maxsize=2)
@@ -104,17 +137,19 @@ def id_encoder(path: str) -> Pieces:
 
     def encode(pieces: list[str]) -> list[bytes]:
         # A space and letters is one piece wherever it stands, so such pieces are encoded in rows, and cut by their numbers.
-        plain = [p for p in pieces if p[:1] == " " and p[1:].isalpha()]
+        out: list = [None] * len(pieces)
+        plain = [i for i, p in enumerate(pieces) if p[:1] == " " and p[1:].isalpha()]
         rows = [plain[i : i + ROW] for i in range(0, len(plain), ROW)]
-        got: dict[str, bytes] = {}
-        for row, e in zip(rows, t.encode_batch(["".join(r) for r in rows], add_special_tokens=False), strict=True):
+        for row, e in zip(rows, t.encode_batch(["".join([pieces[i] for i in r]) for r in rows], add_special_tokens=False), strict=True):
             ids, of = np.array(e.ids, dtype="<u4").tobytes(), np.array(e.word_ids)
-            ends = [0, *(np.flatnonzero(of[1:] != of[:-1]) + 1).tolist(), len(of)]
+            ends = [0, *(4 * np.flatnonzero(of[1:] != of[:-1]) + 4).tolist(), 4 * len(of)]
             if len(ends) == len(row) + 1:
-                got.update((p, ids[4 * a : 4 * b]) for p, a, b in zip(row, ends, ends[1:], strict=False))
-        rest = [p for p in pieces if p not in got]
-        got.update(zip(rest, alone(rest), strict=True))
-        return [got[p] for p in pieces]
+                for i, a, b in zip(row, ends, ends[1:], strict=False):
+                    out[i] = ids[a:b]
+        rest = [i for i, ids in enumerate(out) if ids is None]
+        for i, ids in zip(rest, alone([pieces[i] for i in rest]), strict=True):
+            out[i] = ids
+        return out
 
     return Pieces(encode, PATTERN, [x.content for x in t.get_added_tokens_decoder().values()])
 

@@ -23,6 +23,11 @@ def test_encoding_in_parts_equals_whole_texts():
     alphabet = "ab .,'s \n\t  \xa0　 \x1c1é漢😀\r"
     texts = ["".join(rng.choices(alphabet, k=rng.randint(0, 40))) for _ in range(4000)]
     texts += ["x<|endoftext|> y", " a  b", "a\n b \n c", "", " ", "it's  we'll 're", "word " * 500, "日本 語  x"]
+    # Plainly spaced texts of several lines.
+    for seps in ([" ", "\n"], [" ", "\n", "\n\n"], [" ", "\n", "\t"], [" ", "\t\n\t"], ["\r\n", " "], [" ", "\n", "\x0b"]):
+        for _ in range(300):
+            words = ["".join(rng.choices("abcé.,'1%", k=rng.randint(1, 5))) for _ in range(rng.randint(1, 12))]
+            texts.append(rng.choice(["", "\n"]) + "".join(w + rng.choice(seps) for w in words[:-1]) + words[-1] + rng.choice(["", "\n", ".\n"]))
     got = id_encoder(vocabulary("byte_bpe_50k.json"))(texts)
     assert [np.frombuffer(g, "<u4").tolist() for g in got] == [HF.encode(t, add_special_tokens=False).ids for t in texts]
 
