@@ -211,6 +211,21 @@ def test_interval_explode_equals_the_range_join(spark, sf):
     assert "NestedLoop" not in offers.offer_snapshots(prepared, START, END)._jdf.queryExecution().executedPlan().toString()
 
 
+def test_the_sweep_equals_the_rows_of_every_week(spark):
+    """Open and closed, touching, empty and unknown intervals, with nulls among what is summed."""
+    import random
+
+    rng = random.Random(6)
+    day = lambda n: D(2022, 1, 1) + dt.timedelta(days=n)
+    data = [(rng.choice("ab") if rng.random() < 0.9 else None, day(rng.randint(-50, 200)) if rng.random() < 0.95 else None, day(rng.randint(-60, 260)) if rng.random() < 0.7 else None,
+             rng.choice([None, 0.1, 0.2, 1e6])) for _ in range(400)]
+    intervals = spark.createDataFrame(data, "k string, start_date date, end_date date, v double")
+    swept = joins.active_sums(intervals, "2022-01-03", "2022-06-30", ["k"], {"v": F.col("v")})
+    long = joins.active_on(intervals, "2022-01-03", "2022-06-30").groupBy("date", "k").agg(F.count("*").alias("n"), F.coalesce(F.sum("v"), F.lit(0.0)).alias("v"))
+    near = lambda df: rows(df.select("date", "k", "n", F.round("v", 6).alias("v")))
+    assert near(swept) == near(long) and swept.count() > 40
+
+
 def test_no_cartesian_products_in_the_study(spark, sf):
     plan = offer_queries.data(spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
