@@ -167,8 +167,9 @@ def enrich(facts: DataFrame, entities: DataFrame, codes: DataFrame) -> DataFrame
     reasons = unique_lookup(codes.select("crc_code", "reporting_group"), "crc_code").select(
         F.col("crc_code").alias("crcode"), F.col("reporting_group").alias("transfer_type")
     )
+    # Lookups are broadcast: a few codes and a null-heavy key would put whole groups of facts in one task.
     return (
-        facts.join(side("frmp", "FRMP"), "frmp", "left")
-        .join(side("newfrmp", "NEWFRMP"), "newfrmp", "left")
-        .join(reasons, "crcode", "left")
+        facts.join(F.broadcast(side("frmp", "FRMP")), "frmp", "left")
+        .join(F.broadcast(side("newfrmp", "NEWFRMP")), "newfrmp", "left")
+        .join(F.broadcast(reasons), "crcode", "left")
     )

@@ -154,7 +154,9 @@ def upsert_by_source(
     rows come beside those of other loads, else they replace the files' partitions.
     """
     if isinstance(source_files, DataFrame):
-        rows = staging.join(source_files.select("source_file"), "source_file", "left_semi").select(*staging.columns)
+        # A list of file names: broadcast, so that the rows keep their splits and no task gets a whole file.
+        names = F.broadcast(source_files.select("source_file").distinct())
+        rows = staging.join(names, "source_file", "left_semi").select(*staging.columns)
     else:
         names = [source_files] if isinstance(source_files, str) else list(source_files)
         rows = staging.filter(staging.source_file.isin(names))
