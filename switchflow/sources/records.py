@@ -3,8 +3,9 @@
 Spark's own reader takes a file with such records as a whole, in one task. Here files are
 read as lines, in splits. A line break belongs to a record when the quotes before it are
 odd in number, so the parity of quotes per split, summed up over the splits of a file,
-tells every split whether it starts inside a record. Only lines of records that span
-several are brought together.
+tells every split whether it starts inside a record. Each split is then read in its
+order by one task, without a shuffle of lines; only the pieces of records that cross
+the end of a split are brought together.
 """
 
 from __future__ import annotations
@@ -19,22 +20,62 @@ from switchflow.session import materialize
 _SPLIT = ["path", "block"]
 
 
-def _lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """(path, block, line, value, opens, part, inside): lines with their place.
-
-    opens: the line has an odd number of quotes. part: number of odd lines before it in
-    its split. inside: the line goes on with the record of the one before.
-    """
-    read = spark.read.text(list(paths)).select(
+def _scan(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """(path, block, line, value): the lines of the files, in their order within each split."""
+    return spark.read.text(list(paths)).select(
         F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"), "value"
     )
-    odd = read.withColumn("opens", (F.regexp_count("value", F.lit('"')) % 2).cast("int"))
-    splits = odd.groupBy(*_SPLIT).agg((F.sum("opens") % 2).alias("odd"))
+
+
+def _carries(spark: SparkSession, paths: Sequence[str]) -> dict[tuple[str, int], int]:
+    """Per split: 1 if it starts inside a record (the quotes of the splits before it are odd)."""
+    splits = _scan(spark, paths).groupBy(*_SPLIT).agg((F.sum(F.regexp_count("value", F.lit('"'))) % 2).alias("odd"))
     before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)  # a row per split
     carried = splits.select(*_SPLIT, F.coalesce(F.sum("odd").over(before) % 2, F.lit(0)).alias("carry"))
-    own = Window.partitionBy(*_SPLIT).orderBy("line").rowsBetween(Window.unboundedPreceding, -1)  # the lines of a split
-    placed = odd.withColumn("part", F.coalesce(F.sum("opens").over(own), F.lit(0))).join(carried, _SPLIT)
-    return placed.withColumn("inside", ((F.col("carry") + F.col("part")) % 2) == 1).drop("carry")
+    return {(r["path"], r["block"]): int(r["carry"]) for r in carried.collect()}  # one small row per split of a file
+
+
+_PLACED = "path string, block long, line long, value string, piece boolean, starts boolean"
+
+
+def _placed(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """(path, block, line, value, piece, starts): records put together within each split, without a shuffle.
+
+    A row is a record that lies in its split (line: its first line), or, with `piece`,
+    the part in one split of a record that crosses the split's end or comes from before
+    it. starts: the record begins on this row's line.
+    """
+    carries = _carries(spark, paths)
+
+    def place(batches):
+        import pandas as pd
+
+        key, odd, rec = None, 0, None  # rec: [first line, starts here, lines]
+        for b in batches:
+            out = []
+            for path, block, line, value in zip(b["path"].tolist(), b["block"].tolist(), b["line"].tolist(), b["value"].tolist()):
+                if (path, block) != key:
+                    if rec is not None:  # goes on in the next split
+                        out.append((key[0], key[1], rec[0], "\n".join(rec[2]), True, rec[1]))
+                    key, odd = (path, block), carries.get((path, block), 0)
+                    rec = [line, False, []] if odd else None
+                opens = value.count('"') % 2
+                if not odd:
+                    if opens:
+                        rec = [line, True, [value]]
+                    elif value.strip(" ") != "":
+                        out.append((path, block, line, value, False, True))
+                else:
+                    rec[2].append(value)
+                    if opens:
+                        out.append((path, block, rec[0], "\n".join(rec[2]), not rec[1], rec[1]))
+                        rec = None
+                odd ^= opens
+            yield pd.DataFrame(out, columns=["path", "block", "line", "value", "piece", "starts"])
+        if rec is not None:
+            yield pd.DataFrame([(key[0], key[1], rec[0], "\n".join(rec[2]), True, rec[1])], columns=["path", "block", "line", "value", "piece", "starts"])
+
+    return _scan(spark, paths).mapInPandas(place, _PLACED)
 
 
 def record_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
@@ -43,27 +84,21 @@ def record_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     Blank lines between records are left out. A quote that is never closed makes one
     record of all that follows in its file.
     """
-    lines = materialize(_lines(spark, paths), "csv-lines")
-    alone = lines.filter("NOT inside AND opens = 0 AND trim(value) <> ''")
-    several = lines.filter("inside OR opens = 1")
-    # The first line of a record lies in its split, or in the last split before it that starts one.
-    first = several.withColumn("starts", F.when(~F.col("inside"), F.col("line")))
-    latest = Window.partitionBy(*_SPLIT).orderBy("line").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    known = first.withColumn("own", F.last("starts", ignorenulls=True).over(latest))
-    ends = known.groupBy(*_SPLIT).agg(F.max("starts").alias("last"))
-    before = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    at = F.struct(F.col("block").alias("block"), F.col("last").alias("line"))
-    ends = ends.withColumn("open", F.last(F.when(F.col("last").isNotNull(), at), ignorenulls=True).over(before)).drop("last")
-    keyed = known.join(ends, _SPLIT).withColumn("head", F.when(F.col("own").isNotNull(), F.struct("block", F.col("own").alias("line"))).otherwise(F.col("open")))
-    parts = F.array_sort(F.collect_list(F.struct("block", "line", "value")))  # the lines of one record
-    whole = keyed.groupBy("path", "head").agg(F.array_join(F.transform(parts, lambda p: p["value"]), "\n").alias("value"))
-    return alone.select("path", "block", "line", "value").union(whole.select("path", "head.block", "head.line", "value"))
+    placed = materialize(_placed(spark, paths), "csv-lines")
+    whole = placed.filter("NOT piece").select("path", "block", "line", "value")
+    # Pieces: at most two a split. One that does not start its record belongs to the last record started before it.
+    pieces = placed.filter("piece")
+    upto = Window.partitionBy("path").orderBy("block", "line").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    at = F.struct(F.col("block").alias("block"), F.col("line").alias("line"))
+    keyed = pieces.withColumn("head", F.last(F.when(F.col("starts"), at), ignorenulls=True).over(upto))
+    parts = F.array_sort(F.collect_list(F.struct("block", "line", "value")))  # the pieces of one record
+    joined = keyed.groupBy("path", "head").agg(F.array_join(F.transform(parts, lambda p: p["value"]), "\n").alias("value"))
+    return whole.union(joined.select("path", "head.block", "head.line", "value"))
 
 
 def record_counts(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """(path, n): records per file, the header among them."""
-    starts = _lines(spark, paths).filter("NOT inside AND trim(value) <> ''")
-    return starts.groupBy("path").agg(F.count(F.lit(1)).alias("n"))
+    return _placed(spark, paths).filter("starts").groupBy("path").agg(F.count(F.lit(1)).alias("n"))
 
 
 def read_records(spark: SparkSession, paths: Sequence[str]) -> list[DataFrame]:

@@ -422,3 +422,26 @@ def test_upsert_and_enrich_keep_groups_out_of_one_task(spark, tmp_path):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     out = spark.read.parquet(target)
     assert out.count() == 6 and out.filter("FRMP_Retailer_name = 'One'").count() == 3 and out.filter("transfer_type IS NULL").count() == 0
+
+
+def test_quoted_records_across_splits_without_a_shuffle_of_lines(spark, tmp_path):
+    from switchflow.sources import records
+
+    lines = ['"a","b"']
+    for i in range(60):
+        lines.append(f'{i},"x\n\n""{i}"", y\nz"' if i % 3 else f"{i},plain")
+    lines.append('99,"never closed\nto the end')
+    path = tmp_path / "q"
+    path.mkdir()
+    (path / "q.csv").write_text("\n".join(lines) + "\n")
+    files = [str(path / "q.csv")]
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "97")
+    try:
+        got = [r.value for r in records.record_lines(spark, files).orderBy("block", "line").collect()]
+        n = records.record_counts(spark, files).first()["n"]
+        plan = records._placed(spark, files)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == lines and n == len(lines)
+    assert "Exchange" not in plan
