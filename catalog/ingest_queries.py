@@ -660,7 +660,7 @@ def listed_files(spark, d):
     rows.filter("even").repartition(2).write.csv(path, header=True)
     before = raw_source.list_inputs(spark, path).select("source_file").collect()  # two names
     time.sleep(1.1)  # file times may have whole seconds
-    rows.filter("NOT even").coalesce(1).write.csv(path, header=True, mode="append")
+    rows.filter("NOT even").repartition(1).write.csv(path, header=True, mode="append")
     files = raw_source.list_inputs(spark, path)
     newest = raw_source.newest_file(files)
     late = ~F.col("source_file").isin([r[0] for r in before])
