@@ -39,23 +39,30 @@ def with_running(
     frame. `order` is a number; nulls come first. Groups of up to `rows` rows are ordered
     in one sort. A larger group is cut at values that a sketch spaces evenly, every piece
     is ordered on its own and starts from the totals of the pieces below it, one row per
-    piece of a large group, so no task ever orders more.
+    piece of a large group, so no task ever orders more. Only the large groups are cut;
+    the others are still ordered in one sort.
     """
     keys = list(keys)
     if not keys:
         out = with_running(cells.withColumn("_all", F.lit(0)), ["_all"], order, count, upto, whole, rows)
         return out.drop("_all")
     current = (W.unboundedPreceding, W.currentRow)
+
+    def one_sort(df: DataFrame) -> DataFrame:
+        group = W.partitionBy(*keys)
+        return df.withColumn(upto, F.sum(count).over(group.orderBy(order).rowsBetween(*current))).withColumn(whole, F.sum(count).over(group))
+
     n = cells.count()  # of a written frame: read from its footers
     if n <= rows:
-        group = W.partitionBy(*keys)
-        return cells.withColumn(upto, F.sum(count).over(group.orderBy(order).rowsBetween(*current))).withColumn(whole, F.sum(count).over(group))
+        return one_sort(cells)
     large = cells.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size")).filter(F.col("_size") > rows).drop("_size")
-    large = materialize(large, "large-groups")  # at most n / rows of them
+    large = F.broadcast(materialize(large, "large-groups"))  # at most n / rows of them
+    small = one_sort(join_nullsafe(cells, large, keys, "left_anti"))
+    big = join_nullsafe(cells, large, keys, "left_semi")
     parts = 2 * -(-n // rows)
     spaced = F.percentile_approx(order, [i / parts for i in range(1, parts)], 20 * parts)
-    cuts = materialize(join_nullsafe(cells, large, keys, "left_semi").groupBy(*keys).agg(spaced.alias("_cuts")), "cuts")
-    placed = left_join_nullsafe(cells, cuts, keys).withColumn("_k", smaller(F.col("_cuts"), F.col(order))).drop("_cuts")
+    cuts = materialize(big.groupBy(*keys).agg(spaced.alias("_cuts")), "cuts")
+    placed = left_join_nullsafe(big, cuts, keys).withColumn("_k", smaller(F.col("_cuts"), F.col(order))).drop("_cuts")
     totals = placed.groupBy(*keys, "_k").agg(F.sum(count).alias("_t"))
     group = W.partitionBy(*keys)
     before = F.coalesce(F.sum("_t").over(group.orderBy("_k").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
@@ -63,4 +70,5 @@ def with_running(
     inside = W.partitionBy(*keys, "_k").orderBy(order).rowsBetween(*current)
     summed = placed.withColumn("_s", F.sum(count).over(inside))
     joined = join_nullsafe(summed, offsets, [*keys, "_k"], "inner")
-    return joined.withColumn(upto, F.col("_o") + F.col("_s")).select(*cells.columns, upto, whole)
+    pieces = joined.withColumn(upto, F.col("_o") + F.col("_s")).select(*cells.columns, upto, whole)
+    return small.select(*cells.columns, upto, whole).unionByName(pieces)

@@ -214,3 +214,19 @@ def test_scratch_folders_go_with_their_owner(spark):
         assert held.count() == 3 and os.path.isdir(folder)
     assert not os.path.exists(folder)
     assert scratch_path(spark, "a") != scratch_path(spark, "a")
+
+
+def test_running_totals_cut_only_the_large_groups(spark):
+    from switchflow.operators import running
+    from switchflow.session import materialize
+
+    rng = np.random.default_rng(5)
+    hot = [("hot", float(v), int(c)) for v, c in zip(rng.permutation(300), rng.integers(1, 9, 300))]
+    cold = [(f"c{i % 7}", float(i), 1 + i % 3) for i in range(60)]
+    cells = materialize(spark.createDataFrame([*hot, *cold, (None, 1.0, 2), (None, 3.0, 5)], "k string, v double, c long"))
+    cut = running.with_running(cells, ["k"], "v", "c", rows=40)
+    assert rows(cut) == rows(running.with_running(cells, ["k"], "v", "c"))
+    got = {(r.k, r.v): (r._to, r._n) for r in cut.collect()}
+    assert got[None, 3.0] == (7, 7) and got["c0", 56.0] == (sum(1 + i % 3 for i in range(0, 57, 7)),) * 2
+    # The groups within the bound are ordered in one sort, apart from the cut ones.
+    assert "LeftAnti" in cut._jdf.queryExecution().executedPlan().toString()
