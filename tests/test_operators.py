@@ -226,6 +226,19 @@ def test_the_sweep_equals_the_rows_of_every_week(spark):
     assert near(swept) == near(long) and swept.count() > 40
 
 
+
+def test_active_sums_add_counts_in_longs(spark):
+    """Whole-number sums need no decimals; they stay exact, the others keep their decimals."""
+    import re
+
+    D2 = dt.date
+    data = [("a", D2(2022, 1, 3), D2(2022, 1, 20), 1, 0.1), ("a", D2(2022, 1, 10), None, 0, None), ("b", None, None, 1, 2.0), (None, D2(2022, 1, 4), D2(2022, 1, 5), None, 0.2)]
+    intervals = spark.createDataFrame(data, "k string, start_date date, end_date date, yes int, v double")
+    swept = joins.active_sums(intervals, "2022-01-03", "2022-01-31", ["k"], {"yes": F.col("yes"), "big": F.col("yes").cast("long") * 10**17, "v": F.col("v")})
+    assert dict(swept.dtypes)["yes"] == "double" and swept.filter("k = 'a' AND date = '2022-01-10'").select("n", "yes", "big", "v").first() == (2, 1.0, 1e17, 0.1)
+    plan = swept._jdf.queryExecution().optimizedPlan().toString()
+    assert "decimal(28,10)" in plan and not re.search(r"cast\(yes#\d+ as decimal", plan)
+
 def test_no_cartesian_products_in_the_study(spark, sf):
     plan = offer_queries.data(spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
