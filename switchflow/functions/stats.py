@@ -15,7 +15,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from switchflow.operators.joins import join_nullsafe
-from switchflow.operators.running import RUN_ROWS, with_running
+from switchflow.operators.running import RUN_ROWS, around_ranks, with_running
 from switchflow.session import materialize
 
 
@@ -54,22 +54,32 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[
     """Exact interpolated quantiles per group, one column per entry of `probs`.
 
     Values are counted (on the map side first), the counts written and summed up in the
-    order of the values; the wanted ranks are then picked. `rows`: see `with_running`.
+    order of the values; the wanted ranks are then picked. Of more than `rows` counts only
+    those near the ranks are ordered, see `around_ranks` and `with_running`.
     Nulls and NaN have no rank; groups without any other value do not appear.
     """
     return weighted_quantiles(df.withColumn("_c", F.lit(1)), keys, value, "_c", probs, rows)
 
 
 def weighted_quantiles(
-    cells: DataFrame, keys: Sequence[str], value: str, count: str, probs: dict[str, float], rows: int = RUN_ROWS
+    cells: DataFrame, keys: Sequence[str], value: str, count: str, probs: dict[str, float], rows: int = RUN_ROWS, written: bool = False
 ) -> DataFrame:
-    """`exact_quantiles` of values that are counted already."""
+    """`exact_quantiles` of values that are counted already.
+
+    `written`: `cells` is a written frame; a large one is then read as it is, not counted and written once more.
+    """
     keys = list(keys)
+    if not keys:
+        return weighted_quantiles(cells.withColumn("_all", F.lit(0)), ["_all"], value, count, probs, rows, written).drop("_all")
     v = _col(value).cast("double")
     own = cells.select(*keys, v.alias("_at"), _col(count).cast("long").alias("_c")).filter(F.col("_at").isNotNull() & ~F.isnan("_at"))
-    counted = materialize(own.groupBy(*keys, "_at").agg(F.sum("_c").alias("_c")), "counted")
-    ranked = with_running(counted, keys, "_at", "_c", rows=rows)
+    large = written and cells.count() > rows
+    if not large:
+        own = materialize(own.groupBy(*keys, "_at").agg(F.sum("_c").alias("_c")), "counted")
+        large = own.count() > rows
     pos = {name: (F.col("_n") - 1) * F.lit(float(p)) for name, p in probs.items()}
+    ranks = [end(p) + 1 for p in pos.values() for end in (F.floor, F.ceil)]
+    ranked = around_ranks(own, keys, "_at", "_c", ranks, rows=rows) if large else with_running(own, keys, "_at", "_c", rows=rows)
 
     def at_rank(rank: Column) -> Column:
         return F.max(F.when((F.col("_to") >= rank) & (F.col("_to") - F.col("_c") < rank), F.col("_at")))

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from switchflow.functions.labels import CONDITIONAL, GUARANTEED, NO_DISCOUNT, contract_years, offer_category
 from switchflow.functions.stats import average_rank, weighted_quantiles
@@ -37,9 +38,12 @@ def filter_offers(df: DataFrame, year: int = 2022, offer_type: str = "market off
     )
 
 
-def offer_end_date(df: DataFrame) -> DataFrame:
-    """End of the month of the last sighting; null where that is the data's last date."""
-    last = df.agg(F.max("identifier_date")).scalar()
+def offer_end_date(df: DataFrame, of: DataFrame | None = None) -> DataFrame:
+    """End of the month of the last sighting; null where that is the data's last date.
+
+    The last date is taken over `of` (default: `df`), so a caller can pass rows that are cheaper to read.
+    """
+    last = (of if of is not None else df).agg(F.max("identifier_date")).scalar()
     seen = F.col("identifier_date")
     return df.withColumn("end_date", F.when(seen == last, F.lit(None)).otherwise(F.last_day(seen)).cast("date"))
 
@@ -47,16 +51,27 @@ def offer_end_date(df: DataFrame) -> DataFrame:
 def prepare_offers(df: DataFrame) -> DataFrame:
     """Latest sightings with end date and offer class."""
     latest = latest_per_key(df, "offer_id", "identifier_date")
-    dated = offer_end_date(
-        latest.withColumns({c: F.col(c).cast("date") for c in ("identifier_date", "start_date")})
-    )
+    dates = {c: F.col(c).cast("date") for c in ("identifier_date", "start_date")}
+    # The last date of all sightings is a latest one: a scan finds it, without the join. Texts need not sort as dates do.
+    of = df if isinstance(df.schema["identifier_date"].dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)) else latest
+    dated = offer_end_date(latest.withColumns(dates), of.withColumns(dates))
     return dated.withColumn("offer_category", offer_category("has_discount", "has_disc_conditional"))
 
 
 def price_cells(
     offers: DataFrame, start: dt.date | str | Column, end: dt.date | str | Column, keys: Sequence[str] = ("retailer",)
 ) -> DataFrame:
-    """Counts and sums of the active offers per Monday, key and price: all that the snapshot's measures need."""
+    """Number of active offers per Monday, key and price: what the snapshot's medians and price range need."""
+    return active_sums(offers, start, end, [*keys, PRICE]).withColumnRenamed("n", "n_offers")
+
+
+def offer_sums(
+    offers: DataFrame, start: dt.date | str | Column, end: dt.date | str | Column, keys: Sequence[str] = ("retailer",)
+) -> DataFrame:
+    """Counts and sums of the active offers per Monday, key and retailer size: what the snapshot's other measures need.
+
+    Without the price among the keys these are few rows, summed on the map side.
+    """
     kind, incentive = F.col("offer_category"), F.col("has_incentive")
 
     def share(condition: Column, name: str) -> dict[str, Column]:
@@ -77,17 +92,15 @@ def price_cells(
         **mean(F.col("total_late_payment_fee"), "late_fee"),
     }
     # The retailer's size is a key, as a smallest value can't be taken off again.
-    return active_sums(offers, start, end, [*keys, PRICE, "cprg_retailer_size"], sums).withColumnRenamed("n", "n_offers")
+    return active_sums(offers, start, end, [*keys, "cprg_retailer_size"], sums).withColumnRenamed("n", "n_offers")
 
 
-def snapshot_metrics(cells: DataFrame, keys: Sequence[str] = ("date", "retailer")) -> DataFrame:
-    """Count, price range, class shares, terms and fees per cell, from `price_cells`."""
+def snapshot_metrics(sums: DataFrame, prices: DataFrame, keys: Sequence[str] = ("date", "retailer")) -> DataFrame:
+    """Count, price range, class shares, terms and fees per cell, from `offer_sums` and `price_cells`."""
     pct = lambda name: (F.sum(f"{name}_yes") / F.nullif(F.sum(f"{name}_n"), F.lit(0)) * 100)
     mean = lambda name: F.sum(f"{name}_sum") / F.nullif(F.sum(f"{name}_n"), F.lit(0))
-    return cells.groupBy(*keys).agg(
+    measures = sums.groupBy(*keys).agg(
         F.sum("n_offers").alias("n_offers"),
-        F.min(PRICE).alias("min_price"),
-        F.max(PRICE).alias("max_price"),
         pct("guaranteed").alias("pct_guaranteed_discount"),
         pct("conditional").alias("pct_conditional_discount"),
         pct("no_discount").alias("pct_no_discount"),
@@ -98,6 +111,8 @@ def snapshot_metrics(cells: DataFrame, keys: Sequence[str] = ("date", "retailer"
         mean("late_fee").alias("avg_late_fee"),
         F.min("cprg_retailer_size").alias("cprg_retailer_size"),
     )
+    span = prices.groupBy(*keys).agg(F.min(PRICE).alias("min_price"), F.max(PRICE).alias("max_price"))
+    return left_join_nullsafe(measures, span, keys)
 
 
 def market_median(offers: DataFrame, start: dt.date | str | Column, end: dt.date | str | Column) -> DataFrame:
@@ -117,14 +132,19 @@ def offer_snapshots(
 ) -> DataFrame:
     """One row per (Monday, retailer) with the metrics of the offers active that day.
 
-    A sweep over the offers' first and last Mondays sums them to (Monday, retailer,
-    price), without a row per offer and week; that written frame gives every measure and
-    both medians. `dense` adds the empty cells (`n_offers` = 0) of every retailer.
+    Sweeps over the offers' first and last Mondays sum them to (Monday, retailer) and
+    count them per price, without a row per offer and week; the written counts give the
+    price range and both medians, the written sums every other measure. `dense` adds the
+    empty cells (`n_offers` = 0) of every retailer.
     """
     cell = ["date", "retailer"]
     prices = materialize(price_cells(offers, start, end), "price-cells")
-    medians = [weighted_quantiles(prices, keys, PRICE, "n_offers", {name: 0.5}) for keys, name in ((cell, "median_price"), (["date"], "vic_median"))]
-    cells = left_join_nullsafe(snapshot_metrics(prices, cell), medians[0], cell)
+    sums = materialize(offer_sums(offers, start, end), "offer-sums")
+    medians = [
+        weighted_quantiles(prices, keys, PRICE, "n_offers", {name: 0.5}, written=True)
+        for keys, name in ((cell, "median_price"), (["date"], "vic_median"))
+    ]
+    cells = left_join_nullsafe(snapshot_metrics(sums, prices, cell), medians[0], cell)
     cells = left_join_nullsafe(cells, medians[1], ["date"])
     # A grid cell of an unknown retailer never matches an offer.
     cells = price_vs_market(cells.filter(F.col("retailer").isNotNull()))

@@ -15,6 +15,8 @@ from switchflow.session import materialize
 RUN_ROWS = 1_000_000
 # Halvings of a sorted list of cuts: enough for a million of them.
 HALVINGS = 20
+# Cells of all groups' histograms together, and the most and least of one group.
+HISTOGRAM, MOST_BINS, LEAST_BINS = 1 << 18, 1024, 8
 
 
 def smaller(cuts: Column, value: Column) -> Column:
@@ -72,3 +74,38 @@ def with_running(
     joined = join_nullsafe(summed, offsets, [*keys, "_k"], "inner")
     pieces = joined.withColumn(upto, F.col("_o") + F.col("_s")).select(*cells.columns, upto, whole)
     return small.select(*cells.columns, upto, whole).unionByName(pieces)
+
+
+def around_ranks(
+    cells: DataFrame, keys: Sequence[str], order: str, count: str, ranks: Sequence[Column], upto: str = "_to", whole: str = "_n",
+    rows: int = RUN_ROWS,
+) -> DataFrame:
+    """Those rows of `with_running` that hold the ranks (functions of `whole`), and rows near them.
+
+    Nothing but the bins that hold a rank is ordered: a histogram of each group, between
+    its least and its greatest value, is summed on the map side, and says which bins these
+    are and what lies below them. Values that crowd into a bin are only more rows to
+    order, by `with_running`. Groups too many for a histogram go there whole. `cells` is a
+    written frame without nulls and NaN in `order`; repeated (keys, order) are added up.
+    """
+    keys = list(keys)
+    span = materialize(cells.groupBy(*keys).agg(F.min(order).alias("_lo"), F.max(order).alias("_hi"), F.sum(count).alias(whole)), "span")
+    bins = min(MOST_BINS, HISTOGRAM // max(span.count(), 1))
+    if bins < LEAST_BINS:
+        once = materialize(cells.groupBy(*keys, order).agg(F.sum(count).alias(count)), "counted")
+        return with_running(once, keys, order, count, upto, whole, rows)
+    width = F.col("_hi") - F.col("_lo")
+    place = F.least(F.floor((F.col(order) - F.col("_lo")) / width * bins), F.lit(bins - 1))
+    spread = (width > 0) & (width < float("inf"))
+    # Broadcast: the bound on the histogram bounds the groups.
+    placed = join_nullsafe(cells, F.broadcast(span), keys, "inner").withColumn("_b", F.when(spread, place).otherwise(0)).drop("_lo", "_hi")
+    below = W.partitionBy(*keys).orderBy("_b").rowsBetween(W.unboundedPreceding, W.currentRow)
+    sums = placed.groupBy(*keys, whole, "_b").agg(F.sum(count).alias("_t")).withColumn("_s", F.sum("_t").over(below))
+    holds = F.lit(False)
+    for rank in ranks:
+        holds |= (F.col("_s") >= rank) & (F.col("_s") - F.col("_t") < rank)
+    wanted = materialize(sums.filter(holds).select(*keys, "_b", (F.col("_s") - F.col("_t")).alias("_below")), "bins")
+    near = join_nullsafe(placed, F.broadcast(wanted), [*keys, "_b"], "inner")
+    near = materialize(near.groupBy(*keys, "_b", "_below", whole, order).agg(F.sum(count).alias(count)), "near")
+    ranked = with_running(near, [*keys, "_b"], order, count, "_upto", "_in_bin", rows)
+    return ranked.select(*keys, order, count, (F.col("_below") + F.col("_upto")).alias(upto), whole)

@@ -30,7 +30,8 @@ def study_dataset(
     faithful_fanout: bool = False,
 ) -> DataFrame:
     """Master frame from enriched movements and prepared offers."""
-    weekly = weekly_transfers(daily_transfers(facts, year))
+    # Written: its rows and its entities' row counts are read apart, each of them would join the facts anew.
+    weekly = materialize(weekly_transfers(daily_transfers(facts, year)), "weekly")
     base = customer_base(facts, year)
     # Empty cells carry only nulls into the left joins of the lags, apart from their
     # offer count, so the dense grid is kept.

@@ -230,3 +230,45 @@ def test_running_totals_cut_only_the_large_groups(spark):
     assert got[None, 3.0] == (7, 7) and got["c0", 56.0] == (sum(1 + i % 3 for i in range(0, 57, 7)),) * 2
     # The groups within the bound are ordered in one sort, apart from the cut ones.
     assert "LeftAnti" in cut._jdf.queryExecution().executedPlan().toString()
+
+
+def test_quantiles_order_only_the_rows_near_them(spark):
+    """Even, crowded, equal and infinite values; null keys; the rest of the rows only counted."""
+    from switchflow.functions import stats
+    from switchflow.operators import running
+    from switchflow.session import materialize
+
+    rng = np.random.default_rng(8)
+    inf = float("inf")
+    data = [("even", float(v), 1 + v % 3) for v in range(2000)] + [("even", float(v), 2) for v in range(0, 2000, 7)]
+    data += [("crowded", 1e9, 1), *[("crowded", float(v), 1) for v in rng.normal(0, 1, 900)], ("wide", -1e308, 3), ("wide", 1e308, 2), ("wide", 5.0, 1)]
+    data += [("equal", 4.0, 9), ("ends", -inf, 1), *[("ends", float(v), 1) for v in range(10)], ("ends", inf, 1), (None, 3.0, 2), (None, 8.0, 2), (None, None, 9), ("gone", float("nan"), 1)]
+    cells = materialize(spark.createDataFrame([(k, v, int(c)) for k, v, c in data], "k string, v double, c long"))
+    probs = {"a": 0.1, "m": 0.5, "z": 0.93}
+    plain = rows(stats.weighted_quantiles(cells, ["k"], "v", "c", probs))
+    assert rows(stats.weighted_quantiles(cells, ["k"], "v", "c", probs, rows=1000, written=True)) == plain
+    assert rows(stats.weighted_quantiles(cells, ["k"], "v", "c", probs, rows=40)) == plain
+    long = {}
+    for k, v, c in data:
+        if v is not None and v == v:
+            long.setdefault(k, []).extend([v] * int(c))
+    assert len(plain) == 6
+    for k, *got in plain:
+        if k not in ("ends", "wide"):
+            assert np.allclose(got, np.quantile(long[k], list(probs.values())))
+    whole = stats.weighted_quantiles(cells, [], "v", "c", probs)
+    assert whole.collect() == stats.weighted_quantiles(cells, [], "v", "c", probs, rows=50, written=True).collect()
+    known = materialize(cells.filter("v IS NOT NULL AND NOT isnan(v)"))
+    near = running.around_ranks(known, ["k"], "v", "c", [F.floor((F.col("_n") - 1) * 0.5) + 1])
+    assert near.filter("k = 'even'").count() < 10 and near.filter("k = 'even' AND _to >= _n / 2 AND _to - c < _n / 2").count() == 1
+
+
+def test_quantiles_of_more_groups_than_a_histogram_has_room_for(spark, monkeypatch):
+    from switchflow.functions import stats
+    from switchflow.operators import running
+    from switchflow.session import materialize
+
+    cells = materialize(spark.range(900).selectExpr("id % 90 AS k", "CAST((id * 37) % 53 AS DOUBLE) AS v", "id % 3 + 1 AS c"))
+    plain = rows(stats.weighted_quantiles(cells, ["k"], "v", "c", {"m": 0.5}))
+    monkeypatch.setattr(running, "HISTOGRAM", 256)
+    assert rows(stats.weighted_quantiles(cells, ["k"], "v", "c", {"m": 0.5}, rows=20, written=True)) == plain and len(plain) == 90

@@ -275,6 +275,52 @@ def test_snapshots_by_hand(spark):
     assert [(r["n_offers"], r["median_price"], r["vic_median"], r["price_competitiveness_rank"]) for r in empty] == [(0, None, None, None)] * 2
 
 
+def test_the_last_sighting_is_found_by_a_scan(spark):
+    prepared = offers.prepare_offers(spark.createDataFrame(OFFERS, OFFER_SCHEMA))
+    assert prepared._jdf.queryExecution().optimizedPlan().toString().count("LeftSemi") == 1
+    texts = spark.createDataFrame(OFFERS, OFFER_SCHEMA).withColumn("identifier_date", F.col("identifier_date").cast("string"))
+    assert rows(offers.prepare_offers(texts)) == rows(prepared)
+    unseen = offers.prepare_offers(spark.createDataFrame([(7, "A", None, *OFFERS[0][3:])], OFFER_SCHEMA))
+    assert unseen.isEmpty()
+
+
+def test_snapshots_equal_those_of_the_rows_of_every_week(spark):
+    """Prices repeat and are null, as are retailers and sizes; a retailer has several sizes."""
+    import random
+
+    rng = random.Random(11)
+    some = lambda *values: rng.choice(values)
+    day = lambda n: D(2022, 1, 1) + dt.timedelta(days=n)
+    data = [
+        (i, some("A", "B", "C", None), day(rng.randint(20, 90)), day(rng.randint(-20, 60)), some(None, 50.0, 60.0, 70.5, float(i)), some(0, 1, None), some(0, 1), some("1 year", "2 year", None),
+         some("Yes", "No", None), some("Yes", "No", None), some(None, 10.5, 20.25), some(None, 5.0), some("Small", "Large", None))
+        for i in range(200)
+    ]
+    prepared = offers.prepare_offers(spark.createDataFrame(data, OFFER_SCHEMA))
+    cells = offers.price_cells(prepared, "2022-01-03", "2022-03-28")
+    assert cells.columns == ["date", "retailer", offers.PRICE, "n_offers"]
+    assert offers.offer_sums(prepared, "2022-01-03", "2022-03-28").count() < cells.count()
+    active = joins.active_on(prepared, "2022-01-03", "2022-03-28").filter("retailer IS NOT NULL")
+    yes = lambda c: f"avg(CAST({c} AS DOUBLE)) * 100"
+    kind = "offer_category = 'Market offers with\nguaranteed discounts'"
+    wanted = active.groupBy("date", "retailer").agg(
+        F.count("*"), F.round(F.expr(f"median({offers.PRICE})"), 6), F.min(offers.PRICE), F.max(offers.PRICE), F.round(F.expr(yes(kind)), 6),
+        F.round(F.expr("avg(CASE contract_term WHEN '1 year' THEN 1.0D WHEN '2 year' THEN 2.0D ELSE 0.0D END)"), 6), F.round(F.expr(yes("has_incentive = 'Yes'")), 6),
+        F.round(F.avg("total_annual_fee"), 6), F.round(F.avg("total_late_payment_fee"), 6), F.min("cprg_retailer_size"),
+    )
+    got = offers.offer_snapshots(prepared, "2022-01-03", "2022-03-28").filter("n_offers > 0").select(
+        "date", "retailer", "n_offers", F.round("median_price", 6), "min_price", "max_price", F.round("pct_guaranteed_discount", 6), F.round("avg_contract_term", 6),
+        F.round("pct_with_incentive", 6), F.round("avg_annual_fee", 6), F.round("avg_late_fee", 6), "cprg_retailer_size",
+    )
+    assert rows(got) == rows(wanted) and got.count() > 25
+
+
+def test_the_study_joins_its_facts_once(spark, sf):
+    """Weekly rows are written: their number per entity is not counted from the facts again."""
+    plan = offer_queries.data(spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "lineitem.parquet" not in plan and plan.count("orders.parquet") == 1
+
+
 def study_frames(spark):
     daily = spark.createDataFrame(
         [
